@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from convoy.plans import quality as Q
 from convoy.plans import reports as R
 from convoy.sources.fleet import Fleet, fleet_from_tpch
 
@@ -36,6 +37,12 @@ def _registry() -> dict[str, QueryFn]:
         "q10_driver_efficiency_ranking": _on_fleet(R.driver_efficiency_ranking),
         "q10_fixed": _on_fleet(R.driver_efficiency_ranking_fixed),
         "q11_monthly_trend": _on_fleet(R.monthly_trend),
+        # data quality
+        "dq_checks": _on_fleet(Q.validation_checks),
+        "dq_constraints": _on_fleet(Q.constraint_audit),
+        "summary_counts": _on_fleet(Q.table_counts),
+        "trip_delivery_stats": _on_fleet(Q.trip_delivery_stats),
+        "summary_json": _on_fleet(Q.summary_json, generated_at="2001-08-01 00:00:00"),
     }
     return q
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from convoy.functions import columns as C
+from convoy.operators.lineage import materialize
 from convoy.operators.ranking import with_ranks
 from convoy.sources.fleet import Fleet
 
@@ -224,6 +225,9 @@ def _driver_metrics(fleet: Fleet) -> DataFrame:
 
 
 def _ranked(metrics: DataFrame, consumo_ascending: bool, k: int) -> DataFrame:
+    # One row per driver name, read by four branches (three rank tables and
+    # the rows themselves): checkpoint it once instead of recomputing it.
+    metrics = materialize(metrics)
     m = with_ranks(metrics, [("consumo_km", "rank_consumo", consumo_ascending),
                              ("promedio_entregas", "rank_entregas", False),
                              ("promedio_retraso_s", "rank_retraso", True)])

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 
 from convoy.sources.schemas import FLEET_SCHEMAS
 
+# Fixed value of the fleet mapping: route ids are origin * 25 + destination.
+ROUTE_KEY_SPACE = 25
+
 FLEET_TABLES = ("vehicles", "drivers", "routes", "trips", "deliveries", "maintenance")
 
 
@@ -108,16 +111,15 @@ def fleet_from_tpch(spark: SparkSession, sf_dir: str) -> Fleet:
         F.when(c % 20 == 19, "inactive").otherwise("active").alias("status"),
     )
 
-    # routes <- ordered pairs of distinct nations. Each origin is expanded to
-    # the other (n - 1) nation keys by offset and resolved with an equi-join,
-    # so no pair enumeration is needed. Size is n*(n-1) for the fixed
-    # 25-row nation table.
+    # routes <- ordered pairs of distinct nations. Route ids are
+    # origin * 25 + destination, so the key space is 25 nations; each origin
+    # is expanded to the other keys of that space and resolved with an
+    # equi-join (no pair enumeration, no nested-loop join).
     nation = read("nation").select("n_nationkey", "n_name")
-    n_nations = nation.select(F.count(F.lit(1))).scalar()
     origins = nation.select(
         F.col("n_nationkey").alias("o_key"), F.col("n_name").alias("origin_city"),
-        F.explode(F.sequence(F.lit(1), (n_nations - 1).cast("int"))).alias("step"))
-    origins = origins.withColumn("d_key", ((F.col("o_key") + F.col("step")) % n_nations).cast("int"))
+        F.explode(F.sequence(F.lit(0), F.lit(ROUTE_KEY_SPACE - 1))).alias("d_key")
+    ).where(F.col("d_key") != F.col("o_key"))
     dest = nation.select(F.col("n_nationkey").alias("d_key"), F.col("n_name").alias("destination_city"))
     pairs = origins.join(F.broadcast(dest), "d_key")
     prod = (F.col("o_key") + 1) * (F.col("d_key") + 1)
