@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from convoy.plans import quality as Q
 from convoy.plans import reports as R
+from convoy.plans import warehouse_queries as WQ
 from convoy.sources.fleet import Fleet, fleet_from_tpch
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,14 @@ def _on_fleet(fn, **kw) -> QueryFn:
     return run
 
 
+def _with_spark(fn, **kw) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(spark, fleet_from_tpch(spark, sf_dir), **kw)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def _registry() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "q1_vehicles_by_type": _on_fleet(R.vehicles_by_type),
@@ -43,6 +52,19 @@ def _registry() -> dict[str, QueryFn]:
         "summary_counts": _on_fleet(Q.table_counts),
         "trip_delivery_stats": _on_fleet(Q.trip_delivery_stats),
         "summary_json": _on_fleet(Q.summary_json, generated_at="2001-08-01 00:00:00"),
+        # star-schema batch
+        "daily_extract": _on_fleet(WQ.daily_extract),
+        "fact_measures": _on_fleet(WQ.fact_measures),
+        "fact_rejects": _on_fleet(WQ.fact_rejects),
+        "daily_totals": _on_fleet(WQ.daily_totals),
+        "dim_customer": _on_fleet(WQ.dim_customer),
+        "dim_vehicle": _on_fleet(WQ.dim_vehicle),
+        "dim_driver": _on_fleet(WQ.dim_driver),
+        "dim_route": _on_fleet(WQ.dim_route),
+        "dim_date": _on_fleet(WQ.dim_date),
+        "scd2_drivers": _on_fleet(WQ.scd2_drivers),
+        "v_sales": _with_spark(WQ.v_sales),
+        "v_operations": _with_spark(WQ.v_operations),
     }
     return q
 

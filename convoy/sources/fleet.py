@@ -92,7 +92,7 @@ def fleet_from_tpch(spark: SparkSession, sf_dir: str) -> Fleet:
         F.when(k % 4 == 0, 5000).when(k % 4 == 1, 3000).when(k % 4 == 2, 1500)
          .otherwise(50).cast("decimal(10,2)").alias("capacity_kg"),
         F.when(k % 4 < 2, "diesel").otherwise("gasolina").alias("fuel_type"),
-        F.date_add(F.lit("2010-01-01").cast("date"), (k % 3000).cast("int")).alias("acquisition_date"),
+        F.date_add(F.lit("1990-01-01").cast("date"), (k % 3000).cast("int")).alias("acquisition_date"),
         F.when(k % 10 == 9, "maintenance").otherwise("active").alias("status"),
     )
 
