@@ -126,8 +126,9 @@ def hour_key(ts) -> Column:
 
 
 def zero_pad_code(prefix: str, n, width: int) -> Column:
-    """'R' + zero-padded number, e.g. R007."""
-    return F.concat(F.lit(prefix), F.lpad(_c(n).cast("string"), width, "0"))
+    """'R' + number zero-padded to at least ``width`` digits (R007, R1234)."""
+    s = _c(n).cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s))
 
 
 def missing(c) -> Column:

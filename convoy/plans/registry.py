@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from convoy.plans import quality as Q
 from convoy.plans import reports as R
+from convoy.plans import schedules as S
 from convoy.plans import warehouse_queries as WQ
 from convoy.sources.fleet import Fleet, fleet_from_tpch
 
@@ -65,6 +66,13 @@ def _registry() -> dict[str, QueryFn]:
         "scd2_drivers": _on_fleet(WQ.scd2_drivers),
         "v_sales": _with_spark(WQ.v_sales),
         "v_operations": _with_spark(WQ.v_operations),
+        # re-aimed generator work
+        "vehicle_span_as_written": _on_fleet(S.vehicle_span_as_written),
+        "vehicle_span": _on_fleet(S.vehicle_span),
+        "maintenance_schedule": _with_spark(S.maintenance_schedule),
+        "stop_schedule": _on_fleet(S.stop_schedule),
+        "weight_allocation": _on_fleet(S.weight_allocation),
+        "route_table": _on_fleet(S.route_table),
     }
     return q
 
