@@ -11,6 +11,7 @@ from convoy.plans import reports as R
 from convoy.plans import schedules as S
 from convoy.plans import warehouse_queries as WQ
 from convoy.sources.fleet import Fleet, fleet_from_tpch
+from convoy.streaming import queries as SQ
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +74,12 @@ def _registry() -> dict[str, QueryFn]:
         "stop_schedule": _on_fleet(S.stop_schedule),
         "weight_allocation": _on_fleet(S.weight_allocation),
         "route_table": _on_fleet(S.route_table),
+        # event handlers (batch twins of the streaming jobs) and a streaming run
+        "verify_delivery": SQ.verify_delivery,
+        "vehicle_eta": SQ.vehicle_eta,
+        "route_deviation": SQ.route_deviation,
+        "deviation_alerts": SQ.deviation_alerts,
+        "stream_deviation_alerts": SQ.stream_deviation_alerts,
     }
     return q
 
