@@ -11,6 +11,7 @@ from convoy.plans import reports as R
 from convoy.plans import schedules as S
 from convoy.plans import warehouse_queries as WQ
 from convoy.sources.fleet import Fleet, fleet_from_tpch
+from convoy.sources import queries as SRC
 from convoy.streaming import queries as SQ
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +81,10 @@ def _registry() -> dict[str, QueryFn]:
         "route_deviation": SQ.route_deviation,
         "deviation_alerts": SQ.deviation_alerts,
         "stream_deviation_alerts": SQ.stream_deviation_alerts,
+        "latest_ping_per_vehicle": SQ.latest_ping_per_vehicle,
+        # sources and sinks
+        "staging_variant": SRC.staging_variant,
+        "snapshot_reconcile": SRC.snapshot_reconcile,
     }
     return q
 

@@ -41,3 +41,8 @@ def stream_deviation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  f"{base}/messages", f"{base}/_checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/alerts").drop("batch_id")
+
+
+def latest_ping_per_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from convoy.sources.sinks import latest_per_vehicle
+    return latest_per_vehicle(EV.gps_pings(spark, sf_dir))
