@@ -20,7 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,10 +39,6 @@ class Rule:
         return f"{self.rule}:{self.table}.{self.column}{ref}"
 
 
-def _count(df: DataFrame) -> Column:
-    return F.count(F.lit(1))
-
-
 def _violations(rule: Rule, tables: dict[str, DataFrame]) -> DataFrame:
     df = tables[rule.table]
     c = F.col(rule.column)
@@ -63,19 +59,37 @@ def _violations(rule: Rule, tables: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown rule {rule.rule}")
 
 
+def _row(r: Rule, v: F.Column) -> F.Column:
+    return F.struct(
+        F.lit(r.rule_id).alias("rule_id"), F.lit(r.rule).alias("rule"),
+        F.lit(r.table).alias("table_name"), F.lit(r.column).alias("column_name"),
+        F.lit(r.ref_table).cast("string").alias("ref_table"),
+        F.lit(r.ref_column).cast("string").alias("ref_column"),
+        v.cast("bigint").alias("violations"))
+
+
 def audit(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
-    """One row per rule with its violation count."""
-    rows = []
+    """One row per rule with its violation count.
+
+    NULL-type rules (``not_null``, ``default``) of one table are counted in a
+    single aggregation pass over that table; key and foreign-key rules need
+    their own aggregation or anti join each.
+    """
+    parts = []
+    null_rules: dict[str, list[Rule]] = {}
     for r in rules:
-        v = _violations(r, tables)
-        rows.append(v.select(
-            F.lit(r.rule_id).alias("rule_id"), F.lit(r.rule).alias("rule"),
-            F.lit(r.table).alias("table_name"), F.lit(r.column).alias("column_name"),
-            F.lit(r.ref_table).cast("string").alias("ref_table"),
-            F.lit(r.ref_column).cast("string").alias("ref_column"),
-            F.col("v").cast("bigint").alias("violations"),
-            (F.col("v") == 0).alias("ok")))
-    return reduce(DataFrame.unionByName, rows)
+        if r.rule in ("not_null", "default"):
+            null_rules.setdefault(r.table, []).append(r)
+        else:
+            v = _violations(r, tables)
+            parts.append(v.select(F.explode(F.array(_row(r, F.col("v")))).alias("r")))
+    for table, rs in null_rules.items():
+        counts = tables[table].agg(*[F.count_if(F.col(r.column).isNull()).alias(f"v{i}")
+                                     for i, r in enumerate(rs)])
+        parts.append(counts.select(F.explode(F.array(
+            *[_row(r, F.col(f"v{i}")) for i, r in enumerate(rs)])).alias("r")))
+    out = reduce(DataFrame.unionByName, parts).select("r.*")
+    return out.withColumn("ok", F.col("violations") == 0)
 
 
 def rules_frame(spark, rules: list[Rule]) -> DataFrame:

@@ -10,7 +10,7 @@ from convoy.plans import quality as Q
 from convoy.plans import reports as R
 from convoy.plans import schedules as S
 from convoy.plans import warehouse_queries as WQ
-from convoy.sources.fleet import Fleet, fleet_from_tpch
+from convoy.sources.fleet import Fleet, cached_fleet
 from convoy.sources import queries as SRC
 from convoy.streaming import queries as SQ
 
@@ -19,7 +19,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def _on_fleet(fn, **kw) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(fleet_from_tpch(spark, sf_dir), **kw)
+        return fn(cached_fleet(spark, sf_dir), **kw)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -27,7 +27,7 @@ def _on_fleet(fn, **kw) -> QueryFn:
 
 def _with_spark(fn, **kw) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(spark, fleet_from_tpch(spark, sf_dir), **kw)
+        return fn(spark, cached_fleet(spark, sf_dir), **kw)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -93,4 +93,4 @@ QUERIES: dict[str, QueryFn] = _registry()
 
 
 def fleet(spark: SparkSession, sf_dir: str) -> Fleet:
-    return fleet_from_tpch(spark, sf_dir)
+    return cached_fleet(spark, sf_dir)

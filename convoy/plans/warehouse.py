@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.functions import columns as C
+from convoy.operators.lineage import materialize
 from convoy.operators.merge import point_in_time, scd2_apply, surrogate_key
 from convoy.sources.fleet import Fleet
 
@@ -432,7 +433,9 @@ def build(spark: SparkSession, fleet: Fleet, as_of, batch_id: int = 1,
     (``None`` = initial load), validity starts at the batch date."""
     ex = extract(fleet, start, end, last_day)
     acc, rej = measures(ex)
-    facts = fact_rows(acc)
+    # The fact rows feed five consumers (fact keys, customers, driver
+    # ratings, calendar span, first date): write them once.
+    facts = materialize(fact_rows(acc))
     batch_date = F.to_date(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
     if prev_vehicle is None and prev_driver is None:
         # Initial load: open every version from the earliest fact date so

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from convoy.session import checkpoint_dir
 from convoy.sources import sinks
-from convoy.sources.fleet import fleet_from_tpch, read_driver_table
+from convoy.sources.fleet import cached_fleet, read_driver_table
 
 LOAD_TS = "2001-08-01 00:00:00"
 
@@ -22,6 +22,6 @@ def staging_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy all fleet tables to a snapshot folder, then compare counts."""
-    fleet = fleet_from_tpch(spark, sf_dir)
+    fleet = cached_fleet(spark, sf_dir)
     out = f"{checkpoint_dir(spark).rstrip('/')}/convoy-snapshot-{uuid.uuid4().hex}"
     return sinks.reconcile(spark, fleet, sinks.snapshot(fleet, out))

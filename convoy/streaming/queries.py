@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from convoy.session import checkpoint_dir
 from convoy.sources import events as EV
-from convoy.sources.fleet import fleet_from_tpch
+from convoy.sources.fleet import cached_fleet
 from convoy.streaming import handlers as H
 from convoy.streaming import jobs as J
 
 
 def verify_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = EV.delivery_status(fleet_from_tpch(spark, sf_dir))
+    status = EV.delivery_status(cached_fleet(spark, sf_dir))
     return H.verify_deliveries(EV.delivery_marks(spark, sf_dir), status).drop("body")
 
 
