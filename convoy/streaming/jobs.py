@@ -12,9 +12,12 @@ bus in production). Sinks:
 * route deviation: ``foreachBatch`` with two sinks keyed by batch id - the
   alert history table and the JSON message outbox.
 
-Pings pass ``dropDuplicatesWithinWatermark(vehicle_id, ts)`` first: a
-retried delivery of the same ping inside the watermark delay is dropped, and
-the dedup state lives in the checkpoint.
+Retried pings are made harmless by the keys, not by dropping input: the
+alert and tracking tables are keyed by ``(vehicle_id, ts)`` and read with
+:func:`read_keyed` (newest write per key), which is the keyed-put semantics
+of the source. ``dedupe_delay`` opts into ``dropDuplicatesWithinWatermark``
+as well; note that a watermark also drops events that arrive later than the
+delay, so it is off by default.
 """
 
 from __future__ import annotations
@@ -57,19 +60,25 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def _maybe_dedupe(pings: DataFrame, delay: str | None) -> DataFrame:
+    return dedupe_pings(pings, delay) if delay else pings
+
+
 def vehicle_tracking(pings: DataFrame, out: str, checkpoint: str,
-                     trigger: str | None = "5 minutes") -> StreamingQuery:
+                     trigger: str | None = "5 minutes", dedupe_delay: str | None = None
+                     ) -> StreamingQuery:
     """ETA for every ping (the source recomputes every 5 minutes)."""
     def each(batch: DataFrame, batch_id: int) -> None:
         _write_batch(H.vehicle_eta(batch), out, batch_id)
-    w = (dedupe_pings(pings).writeStream.foreachBatch(each)
+    w = (_maybe_dedupe(pings, dedupe_delay).writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
 def route_deviation_alerts(pings: DataFrame, waypoints: DataFrame, alerts_out: str,
                            messages_out: str, checkpoint: str,
-                           trigger: str | None = None) -> StreamingQuery:
+                           trigger: str | None = None, dedupe_delay: str | None = None
+                           ) -> StreamingQuery:
     def each(batch: DataFrame, batch_id: int) -> None:
         alerts = H.deviation_alerts(H.route_deviation(batch, waypoints)).persist()
         try:
@@ -77,7 +86,7 @@ def route_deviation_alerts(pings: DataFrame, waypoints: DataFrame, alerts_out: s
             _write_batch(H.alert_messages(alerts), messages_out, batch_id)
         finally:
             alerts.unpersist()
-    w = (dedupe_pings(pings).writeStream.foreachBatch(each)
+    w = (_maybe_dedupe(pings, dedupe_delay).writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
