@@ -20,6 +20,7 @@ Scale notes:
 
 from __future__ import annotations
 
+import datetime as _dt
 import time
 from dataclasses import dataclass
 
@@ -62,35 +63,42 @@ def pd_round(x, scale: int = 2):
 
 # L1 ----------------------------------------------------------------------
 def extract(fleet: Fleet, start=None, end=None, last_day: bool = True) -> DataFrame:
-    """Deliveries with their trip, route and vehicle attributes.
+    """Deliveries with their trip, route and vehicle attributes, plus the
+    number of extracted deliveries of each trip.
 
     Default window: ``[max(delivered) - 1 day, max(delivered))`` (the newest
-    delivery itself is excluded, as in the source). ``last_day=False`` with no
-    bounds extracts the whole history (backfill).
+    delivery itself is excluded, as in the source). The bounds are resolved
+    first (one aggregate over one column) so they reach the parquet scan as
+    literal filters. ``last_day=False`` with no bounds extracts the whole
+    history (backfill).
     """
     d = fleet.deliveries
     if start is None and end is None and last_day:
-        newest = d.select(F.max("delivered_datetime")).scalar()
-        start, end = newest - F.expr("INTERVAL 1 DAY"), newest
-    cond = F.lit(True)
+        newest = d.agg(F.max("delivered_datetime")).first()[0]
+        if newest is not None:
+            start, end = newest - _dt.timedelta(days=1), newest
+        else:
+            d = d.limit(0)
+    ts = lambda v: F.lit(v).cast("timestamp_ntz") if not isinstance(v, F.Column) else v
     if start is not None:
-        cond = cond & (F.col("delivered_datetime") >= (F.lit(start).cast("timestamp_ntz")
-                                                      if isinstance(start, str) else start))
+        d = d.where(F.col("delivered_datetime") >= ts(start))
     if end is not None:
-        cond = cond & (F.col("delivered_datetime") < (F.lit(end).cast("timestamp_ntz")
-                                                     if isinstance(end, str) else end))
-    d = d.where(cond)
+        d = d.where(F.col("delivered_datetime") < ts(end))
+    # Every other extract condition (driver, route, vehicle exist) is a
+    # property of the trip, so a trip's count is taken on the deliveries
+    # alone (partial aggregation by trip) rather than on the joined rows.
+    per_trip = d.groupBy("trip_id").agg(F.count(F.lit(1)).alias("deliveries_in_trip"))
     t = fleet.trips.select("trip_id", "vehicle_id", "driver_id", "route_id",
                            "fuel_consumed_liters", "departure_datetime", "arrival_datetime")
     r = F.broadcast(fleet.routes.select("route_id", "distance_km", "estimated_duration_hours",
                                         "toll_cost", "destination_city"))
     v = fleet.vehicles.select("vehicle_id", "license_plate")
     drivers = fleet.drivers.select("driver_id")
-    x = (d.join(t, "trip_id")
+    x = (d.join(per_trip, "trip_id").join(t, "trip_id")
          .join(drivers, "driver_id", "left_semi")
          .join(r, "route_id")
          .join(v, "vehicle_id"))
-    return x.select(*EXTRACT_COLUMNS)
+    return x.select(*EXTRACT_COLUMNS, "deliveries_in_trip")
 
 
 # L2-L5 -------------------------------------------------------------------
@@ -101,8 +109,9 @@ def measures(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
     time, or a package weight outside (0, 10000) kg.
     """
     x = extracted
-    per_trip = x.groupBy("trip_id").agg(F.count(F.lit(1)).alias("deliveries_in_trip"))
-    x = x.join(per_trip, "trip_id")
+    if "deliveries_in_trip" not in x.columns:
+        per_trip = x.groupBy("trip_id").agg(F.count(F.lit(1)).alias("deliveries_in_trip"))
+        x = x.join(per_trip, "trip_id")
     minutes = pd_round(C.minutes_between("scheduled_datetime", "delivered_datetime"))
     fuel = F.col("fuel_consumed_liters").cast("double")
     km = F.col("distance_km").cast("double")

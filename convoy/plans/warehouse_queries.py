@@ -28,7 +28,7 @@ def backfill_facts(fleet: Fleet) -> DataFrame:
 
 
 def daily_extract(fleet: Fleet) -> DataFrame:
-    return W.extract(fleet)
+    return W.extract(fleet).drop("deliveries_in_trip")
 
 
 def fact_measures(fleet: Fleet) -> DataFrame:

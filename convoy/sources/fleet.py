@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -220,6 +221,7 @@ def write_fleet(fleet: Fleet, base: str, mode: str = "overwrite") -> None:
 
 
 _CACHE: dict[tuple[str, str], str] = {}
+_PROCESS_TOKEN = uuid.uuid4().hex[:12]
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -244,7 +246,7 @@ def cached_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
     key = (root, _fingerprint(sf_dir))
     base = _CACHE.get(key)
     if base is None:
-        base = f"{root}/convoy-fleet-{key[1]}"
+        base = f"{root}/convoy-fleet-{key[1]}-{_PROCESS_TOKEN}"
         write_fleet(fleet_from_tpch(spark, sf_dir), base)
         _CACHE[key] = base
     return load_fleet(spark, base)
