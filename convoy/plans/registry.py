@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from convoy.plans import quality as Q
+from convoy.session import configure
 from convoy.plans import reports as R
 from convoy.plans import schedules as S
 from convoy.plans import warehouse_queries as WQ
@@ -68,6 +69,7 @@ def _registry() -> dict[str, QueryFn]:
         "scd2_drivers": _on_fleet(WQ.scd2_drivers),
         "v_sales": _with_spark(WQ.v_sales),
         "v_operations": _with_spark(WQ.v_operations),
+        "daily_run": _with_spark(WQ.daily_run),
         # re-aimed generator work
         "vehicle_span_as_written": _on_fleet(S.vehicle_span_as_written),
         "vehicle_span": _on_fleet(S.vehicle_span),
@@ -89,7 +91,18 @@ def _registry() -> dict[str, QueryFn]:
     return q
 
 
-QUERIES: dict[str, QueryFn] = _registry()
+def _configured(fn: QueryFn) -> QueryFn:
+    """Apply the runtime SQL settings the plans are written against (UTC
+    session zone, ANSI, AQE) to whatever session the caller passes."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES: dict[str, QueryFn] = {k: _configured(v) for k, v in _registry().items()}
 
 
 def fleet(spark: SparkSession, sf_dir: str) -> Fleet:

@@ -494,7 +494,11 @@ def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
                          ("dim_customer", wh.dim_customer), ("dim_route", wh.dim_route),
                          ("dim_date", wh.dim_date)):
             df.write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
-        facts.write.mode("overwrite").partitionBy("date_key").parquet(f"{out}/fact_deliveries")
+        # Range-partition on (date_key, delivery_id): each task writes a
+        # contiguous run of days (few files), and a very large day is still
+        # split over several tasks.
+        (facts.repartitionByRange("date_key", "delivery_id")
+         .write.mode("overwrite").partitionBy("date_key").parquet(f"{out}/fact_deliveries"))
         loaded = obs_t.get.get("records_loaded", 0)
     else:
         loaded = 0

@@ -110,3 +110,18 @@ def v_operations(spark: SparkSession, fleet: Fleet) -> DataFrame:
     wh = _full_build(spark, fleet)
     return W.v_operations(wh.fact_deliveries, wh.dim_date, wh.dim_time, wh.dim_vehicle,
                           wh.dim_driver, wh.dim_route, wh.dim_customer)
+
+
+def daily_run(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    """End-to-end daily batch as the source runs it (last-day window) into a
+    fresh folder under the shared checkpoint folder: dimensions, facts,
+    totals and metrics are written; the loaded fact table is read back
+    (without the hash keys and the load timestamp)."""
+    import uuid
+
+    from convoy.session import checkpoint_dir
+    out = f"{checkpoint_dir(spark).rstrip('/')}/convoy-warehouse-{uuid.uuid4().hex}"
+    W.run_daily(spark, fleet, out, DEFAULT_AS_OF, batch_id=1)
+    facts = spark.read.parquet(f"{out}/fact_deliveries")
+    return facts.drop("delivery_key", "vehicle_key", "driver_key", "route_key", "customer_key",
+                      "etl_timestamp")
