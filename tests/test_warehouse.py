@@ -68,11 +68,11 @@ def test_daily_totals_empty_day_gives_one_row(spark):
 def test_run_daily_is_rerun_safe(spark, tmp_dir):
     fleet = cached_fleet(spark, SF_SMALL)
     out = os.path.join(tmp_dir, "wh")
-    m1 = W.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1, last_day=False)
+    m1 = W.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1)
     facts1 = spark.read.parquet(f"{out}/fact_deliveries").drop("etl_timestamp")
     n1 = facts1.count()
     assert m1["records_loaded"] == n1 > 0
-    W.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1, last_day=False)
+    W.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1)
     facts2 = spark.read.parquet(f"{out}/fact_deliveries").drop("etl_timestamp")
     assert facts2.count() == n1
     assert facts2.select("delivery_id").distinct().count() == n1
