@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from convoy.operators.lineage import materialize
+
 DEFAULT_BUCKETS = 256
 
 
@@ -60,13 +62,30 @@ def rank_table(df: DataFrame, key: str, ascending: bool = True,
         .cast("bigint").alias("_rank"))
 
 
+_EXACT_IN_DOUBLE = {"tinyint", "smallint", "int", "float", "double"}
+
+
 def with_ranks(df: DataFrame, specs: list[tuple[str, str, bool]],
                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``rank() over (order by key asc|desc)`` columns.
 
-    ``specs`` is a list of ``(key, output_column, ascending)``. Every rank table
-    is computed from ``df`` itself, then joined back on the (NULL-safe) value.
+    ``specs`` is a list of ``(key, output_column, ascending)``. When every key
+    is exactly representable as a double, all keys are ranked in one pass
+    (:func:`_stacked_rank_table`); otherwise one :func:`rank_table` per key.
+    Ranks are joined back on the (NULL-safe) value.
     """
+    types = dict(df.dtypes)
+    if len(specs) > 1 and all(types[k] in _EXACT_IN_DOUBLE for k, _, _ in specs):
+        # One row per (key, distinct value), read by one join per key: written
+        # once, otherwise each join would re-run the whole ranking (the
+        # per-key filter is pushed below the windows, so plans differ).
+        ranked = materialize(_stacked_rank_table(df, specs, buckets))
+        out = df
+        for i, (key, name, _) in enumerate(specs):
+            rt = ranked.where(F.col("_m") == i).select(F.col("_v").alias("_rv"),
+                                                       F.col("_rank").alias(name))
+            out = out.join(rt, F.col(key).cast("double").eqNullSafe(F.col("_rv")), "left").drop("_rv")
+        return out
     out = df
     for key, name, asc in specs:
         rt = rank_table(df, key, ascending=asc, buckets=buckets)
@@ -75,6 +94,42 @@ def with_ranks(df: DataFrame, specs: list[tuple[str, str, bool]],
     return out
 
 
+def _stacked_rank_table(df: DataFrame, specs: list[tuple[str, str, bool]], buckets: int,
+                        accuracy: int = 10000) -> DataFrame:
+    """Ranks of several numeric keys at once: rows ``(_m, _v, _rank)`` with
+    ``_m`` the spec index and ``_v`` the key value as double.
+
+    Descending keys are ranked as ascending on ``-v``; NULL goes to bucket
+    ``buckets`` (ascending, NULLS LAST) or ``-1`` (descending, NULLS FIRST).
+    """
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_m"),
+                 (F.col(k).cast("double") if asc else -F.col(k).cast("double")).alias("_o"))
+        for i, (k, _, asc) in enumerate(specs)])).alias("_s")).select("_s.*")
+    counts = stacked.groupBy("_m", "_o").agg(F.count(F.lit(1)).alias("_n"))
+    probs = [i / buckets for i in range(1, buckets)]
+    # One row per key: bounded broadcast.
+    bounds = (counts.where(F.col("_o").isNotNull()).groupBy("_m")
+              .agg(F.percentile_approx("_o", probs, accuracy).alias("_bounds")))
+    null_bucket = F.element_at(F.array(*[F.lit(buckets if asc else -1) for _, _, asc in specs]),
+                               F.col("_m") + 1)
+    below = F.size(F.filter("_bounds", lambda b: b < F.col("_o")))
+    keyed = (counts.join(F.broadcast(bounds), "_m", "left")
+             .withColumn("_b", F.when(F.col("_o").isNull(), null_bucket).otherwise(below))
+             .drop("_bounds"))
+    # At most len(specs) * (buckets + 1) rows.
+    per_bucket = keyed.groupBy("_m", "_b").agg(F.sum("_n").alias("_bn"))
+    before = Window.partitionBy("_m").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select("_m", "_b", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_m", "_b").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
+    sign = F.element_at(F.array(*[F.lit(1.0 if asc else -1.0) for _, _, asc in specs]),
+                        F.col("_m") + 1)
+    return keyed.join(F.broadcast(offsets), ["_m", "_b"]).select(
+        "_m", (F.col("_o") * sign).alias("_v"),
+        (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        .cast("bigint").alias("_rank"))
+
+
 def global_rank(df: DataFrame, key: str, out: str, ascending: bool = True,
                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     return with_ranks(df, [(key, out, ascending)], buckets)
