@@ -68,21 +68,48 @@ def _row(r: Rule, v: F.Column) -> F.Column:
         v.cast("bigint").alias("violations"))
 
 
+def _key_rules(table: DataFrame, rs: list[Rule]) -> DataFrame:
+    """All unique / primary-key rules of one table in one shuffle: rows are
+    stacked as (rule index, value as text), counted per pair, and pairs seen
+    more than once are summed per rule. The text form is injective per
+    column type, so equal texts mean equal values."""
+    stacked = table.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.col(r.column).cast("string").alias("_k"))
+        for i, r in enumerate(rs)])).alias("_s")).select("_s.*")
+    per_key = stacked.where(F.col("_k").isNotNull()).groupBy("_i", "_k") \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    dups = per_key.where(F.col("_n") > 1).groupBy("_i").agg(F.sum("_n").alias("_d"))
+    nulls = table.agg(*[F.count_if(F.col(r.column).isNull()).alias(f"_z{i}")
+                        for i, r in enumerate(rs)])
+    # pivot the (at most len(rs)) duplicate sums to one row next to the nulls
+    dup_row = dups.agg(*[F.coalesce(F.sum(F.when(F.col("_i") == i, F.col("_d"))), F.lit(0))
+                         .alias(f"_d{i}") for i in range(len(rs))])
+    both = dup_row.withColumn("_j", F.lit(1)).join(nulls.withColumn("_j", F.lit(1)), "_j")
+    rows = [_row(r, F.col(f"_d{i}") + (F.col(f"_z{i}") if r.rule == "primary_key" else F.lit(0)))
+            for i, r in enumerate(rs)]
+    return both.select(F.explode(F.array(*rows)).alias("r"))
+
+
 def audit(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     """One row per rule with its violation count.
 
-    NULL-type rules (``not_null``, ``default``) of one table are counted in a
-    single aggregation pass over that table; key and foreign-key rules need
-    their own aggregation or anti join each.
+    Per table, all NULL-type rules (``not_null``, ``default``) are counted in
+    one aggregation pass and all key rules (``unique``, ``primary_key``) in
+    one shuffle; each foreign key is one anti join.
     """
     parts = []
     null_rules: dict[str, list[Rule]] = {}
+    key_rules: dict[str, list[Rule]] = {}
     for r in rules:
         if r.rule in ("not_null", "default"):
             null_rules.setdefault(r.table, []).append(r)
+        elif r.rule in ("unique", "primary_key"):
+            key_rules.setdefault(r.table, []).append(r)
         else:
             v = _violations(r, tables)
             parts.append(v.select(F.explode(F.array(_row(r, F.col("v")))).alias("r")))
+    for table, rs in key_rules.items():
+        parts.append(_key_rules(tables[table], rs))
     for table, rs in null_rules.items():
         counts = tables[table].agg(*[F.count_if(F.col(r.column).isNull()).alias(f"v{i}")
                                      for i, r in enumerate(rs)])

@@ -31,6 +31,7 @@ from convoy.functions import columns as C
 from convoy.operators.lineage import materialize
 from convoy.operators.merge import point_in_time, scd2_apply, surrogate_key
 from convoy.sources.fleet import Fleet
+from convoy.sources.sinks import stage_raw_json
 
 # Fixed values of the cost model of the source batch.
 FUEL_PRICE_PER_LITER = 5000
@@ -472,8 +473,9 @@ def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
               start=None, end=None, last_day: bool = True) -> dict:
     """Extract, transform, load dimensions and facts, roll up the day.
 
-    Layout under ``out``: ``fact_deliveries/date_key=..`` (dynamic partition
-    overwrite: a rerun of the same day replaces it), dimensions as versioned
+    Layout under ``out``: ``raw-data/staging_daily_load/batch=..`` (the
+    extracted rows as VARIANT with their load time), ``fact_deliveries/date_key=..``
+    (dynamic partition overwrite: a rerun of the same day replaces it), dimensions as versioned
     folders ``dim_x/batch=<id>`` (readers take the newest complete one),
     ``daily_totals/date_key=..`` and ``etl_metrics``. Loads are skipped when
     the extract is empty; totals still run (one row per day, as the source).
@@ -493,6 +495,10 @@ def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
     extracted_n = wh.extracted.observe(obs_x, F.count(F.lit(1)).alias("records_extracted")) \
         .agg(F.count(F.lit(1))).first()[0]
     if extracted_n:
+        # raw zone: the extracted rows as they arrived (VARIANT + load time)
+        raw = stage_raw_json(
+            wh.extracted.select(F.to_json(F.struct(*EXTRACT_COLUMNS)).alias("raw")), "raw")
+        raw.write.mode("overwrite").parquet(f"{out}/raw-data/staging_daily_load/batch={batch_id}")
         for name, df in (("dim_vehicle", wh.dim_vehicle), ("dim_driver", wh.dim_driver),
                          ("dim_customer", wh.dim_customer), ("dim_route", wh.dim_route),
                          ("dim_date", wh.dim_date)):

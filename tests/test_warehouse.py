@@ -78,5 +78,9 @@ def test_run_daily_is_rerun_safe(spark, tmp_dir):
     assert facts2.select("delivery_id").distinct().count() == n1
     dims = spark.read.parquet(f"{out}/dim_driver")
     assert dims.where("is_current").groupBy("driver_id").count().where("count > 1").count() == 0
+    raw = spark.read.parquet(f"{out}/raw-data/staging_daily_load")
+    assert raw.count() == m1["records_extracted"]
+    assert raw.selectExpr("variant_get(raw_data, '$.delivery_id', 'bigint') as d") \
+        .where("d is null").count() == 0
     # every fact found its driver and vehicle version
     assert facts2.where((F.col("driver_key") == -1) | (F.col("vehicle_key") == -1)).count() == 0
