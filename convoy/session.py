@@ -21,6 +21,21 @@ BASE_CONF = {
 }
 
 
+# Settings for large inputs (applied with ``configure(spark, scale=True)``):
+# AQE picks the reducer count from runtime sizes starting high, splits skewed
+# join partitions, and file splits stay at a size a task can hold in memory.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "convoy", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster, use the cluster's session and call
@@ -36,9 +51,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the plans rely on to an existing session."""
-    for k, v in BASE_CONF.items():
+def configure(spark: SparkSession, scale: bool = False) -> SparkSession:
+    """Apply the runtime SQL settings the plans rely on to an existing
+    session; ``scale=True`` adds :data:`CLUSTER_CONF`."""
+    conf = dict(BASE_CONF)
+    if scale:
+        conf.update(CLUSTER_CONF)
+    for k, v in conf.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     return spark

@@ -213,10 +213,14 @@ def write_fleet(fleet: Fleet, base: str, mode: str = "overwrite") -> None:
     skip most files, and no task writes more than its share of the range.
     """
     base = base.rstrip("/")
-    order = {"trips": "departure_datetime", "deliveries": "delivered_datetime"}
+    # The id is a second range key: rows sharing one timestamp value (e.g.
+    # the NULL delivered time of every pending delivery) are still split
+    # over many tasks instead of forming one huge range.
+    order = {"trips": ["departure_datetime", "trip_id"],
+             "deliveries": ["delivered_datetime", "delivery_id"]}
     for name, df in fleet.items():
         if name in order:
-            df = df.repartitionByRange(order[name]).sortWithinPartitions(order[name])
+            df = df.repartitionByRange(*order[name]).sortWithinPartitions(*order[name])
         df.write.mode(mode).parquet(f"{base}/{name}")
 
 
