@@ -70,24 +70,22 @@ def _row(r: Rule, v: F.Column) -> F.Column:
 
 def _key_rules(table: DataFrame, rs: list[Rule]) -> DataFrame:
     """All unique / primary-key rules of one table in one shuffle: rows are
-    stacked as (rule index, value as text), counted per pair, and pairs seen
-    more than once are summed per rule. The text form is injective per
-    column type, so equal texts mean equal values."""
+    stacked as (rule index, value as text) and counted per pair; per rule,
+    pairs seen more than once are duplicate rows and the NULL pair counts
+    NULL keys. The text form is injective per column type, so equal texts
+    mean equal values."""
     stacked = table.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_i"), F.col(r.column).cast("string").alias("_k"))
         for i, r in enumerate(rs)])).alias("_s")).select("_s.*")
-    per_key = stacked.where(F.col("_k").isNotNull()).groupBy("_i", "_k") \
-        .agg(F.count(F.lit(1)).alias("_n"))
-    dups = per_key.where(F.col("_n") > 1).groupBy("_i").agg(F.sum("_n").alias("_d"))
-    nulls = table.agg(*[F.count_if(F.col(r.column).isNull()).alias(f"_z{i}")
-                        for i, r in enumerate(rs)])
-    # pivot the (at most len(rs)) duplicate sums to one row next to the nulls
-    dup_row = dups.agg(*[F.coalesce(F.sum(F.when(F.col("_i") == i, F.col("_d"))), F.lit(0))
-                         .alias(f"_d{i}") for i in range(len(rs))])
-    both = dup_row.withColumn("_j", F.lit(1)).join(nulls.withColumn("_j", F.lit(1)), "_j")
-    rows = [_row(r, F.col(f"_d{i}") + (F.col(f"_z{i}") if r.rule == "primary_key" else F.lit(0)))
-            for i, r in enumerate(rs)]
-    return both.select(F.explode(F.array(*rows)).alias("r"))
+    per_key = stacked.groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    k, n = F.col("_k"), F.col("_n")
+    per_rule = per_key.groupBy("_i").agg(
+        F.coalesce(F.sum(F.when(k.isNotNull() & (n > 1), n)), F.lit(0)).alias("_dups"),
+        F.coalesce(F.sum(F.when(k.isNull(), n)), F.lit(0)).alias("_nulls"))
+    pk = F.element_at(F.array(*[F.lit(r.rule == "primary_key") for r in rs]), F.col("_i") + 1)
+    v = F.col("_dups") + F.when(pk, F.col("_nulls")).otherwise(F.lit(0))
+    meta = F.element_at(F.array(*[_row(r, F.lit(0)) for r in rs]), F.col("_i") + 1)
+    return per_rule.select(meta.withField("violations", v.cast("bigint")).alias("r"))
 
 
 def audit(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:

@@ -119,13 +119,15 @@ def summary_json(fleet: Fleet, generated_at=None) -> DataFrame:
     valid = validation_checks(fleet).agg(F.bool_and("ok").alias("validations_passed"))
     stats = trip_delivery_stats(fleet)
     ts = F.lit(generated_at).cast("timestamp_ntz") if generated_at else F.localtimestamp()
-    # Each side is a single-row aggregate, so the zip below is 1 x 1 x 1.
-    one = counts.withColumn("_k", F.lit(1))
-    body = (one.join(valid.withColumn("_k", F.lit(1)), "_k")
-            .join(stats.withColumn("_k", F.lit(1)), "_k")
-            .select(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss").alias("generation_date"),
-                    "total_records", "table_counts", "validations_passed",
-                    "avg_deliveries_per_trip", "min_deliveries", "max_deliveries"))
+    # The validation flag and the per-trip stats are single-row aggregates,
+    # attached as scalar subqueries.
+    body = counts.select(
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss").alias("generation_date"),
+        "total_records", "table_counts",
+        valid.select("validations_passed").scalar().alias("validations_passed"),
+        stats.select("avg_deliveries_per_trip").scalar().alias("avg_deliveries_per_trip"),
+        stats.select("min_deliveries").scalar().alias("min_deliveries"),
+        stats.select("max_deliveries").scalar().alias("max_deliveries"))
     return body.select(F.to_json(F.struct(*body.columns)).alias("summary"))
 
 

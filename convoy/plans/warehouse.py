@@ -299,7 +299,7 @@ def _calendar(days: DataFrame, holidays: DataFrame | None) -> DataFrame:
         out = out.withColumn("holiday_name", F.lit(None).cast("string"))
     else:
         h = holidays.select(F.col("holiday_date").alias("full_date"), "holiday_name")
-        out = out.join(F.broadcast(h), "full_date", "left")
+        out = out.join(h, "full_date", "left")
     return out.withColumn("is_holiday", F.col("holiday_name").isNotNull()).select(
         "date_key", "full_date", "day_of_week", "day_name", "day_of_month", "day_of_year",
         "week_of_year", "month_num", "month_name", "quarter", "year", "is_weekend",
