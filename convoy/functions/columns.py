@@ -87,14 +87,11 @@ def pct(num, den, scale: int = 2) -> Column:
     return round2(ratio(num, den) * F.lit(100.0), scale)
 
 
-def even_round(x, scale: int = 2) -> Column:
-    """Half-to-even rounding (the host-language rounding of the source)."""
-    return F.bround(_c(x), scale)
-
-
 def dsum(x) -> Column:
-    """Exact decimal sum, widened to decimal(38,2)."""
-    return F.sum(_c(x)).cast("decimal(38,2)")
+    """Exact decimal sum in decimal(38,2). The input is widened before the
+    sum, so a fact table of any size cannot overflow the default
+    decimal(p+10) sum type (an error under ANSI mode)."""
+    return F.sum(_c(x).cast("decimal(38,2)"))
 
 
 def planar_km(lat1, lon1, lat2, lon2) -> Column:
@@ -130,8 +127,3 @@ def zero_pad_code(prefix: str, n, width: int) -> Column:
     s = _c(n).cast("string")
     return F.concat(F.lit(prefix), F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s))
 
-
-def missing(c) -> Column:
-    """Python-style falsy test on a required field: NULL, 0 or ''."""
-    col = _c(c)
-    return col.isNull() | (col.cast("string") == F.lit("")) | (col.cast("string") == F.lit("0"))

@@ -131,7 +131,11 @@ def summary_json(fleet: Fleet, generated_at=None) -> DataFrame:
     return body.select(F.to_json(F.struct(*body.columns)).alias("summary"))
 
 
-def table_inventory(spark: SparkSession, fleet: Fleet) -> DataFrame:
-    """Column count per table, ordered by table name (schema metadata only)."""
+def table_inventory(spark: SparkSession, fleet: Fleet, like: str | None = None) -> DataFrame:
+    """Column count per table, ordered by table name (schema metadata only);
+    ``like`` keeps the table names matching an SQL LIKE pattern."""
     rows = [(name, len(df.columns)) for name, df in fleet.items()]
-    return spark.createDataFrame(rows, "table_name string, column_count int").orderBy("table_name")
+    out = spark.createDataFrame(rows, "table_name string, column_count int")
+    if like is not None:
+        out = out.where(F.col("table_name").like(like))
+    return out.orderBy("table_name")

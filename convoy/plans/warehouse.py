@@ -147,16 +147,6 @@ def measures(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted, rejected
 
 
-MEASURE_COLUMNS = [
-    "delivery_id", "trip_id", "vehicle_id", "driver_id", "route_id", "customer_name",
-    "tracking_number", "date_key", "scheduled_time_key", "delivered_time_key",
-    "package_weight_kg", "distance_km", "fuel_consumed_liters", "delivery_time_minutes",
-    "delay_minutes", "deliveries_per_hour", "fuel_efficiency_km_per_liter",
-    "cost_per_delivery", "revenue_per_delivery", "is_on_time", "is_damaged", "has_signature",
-    "delivery_status",
-]
-
-
 def fact_rows(accepted: DataFrame) -> DataFrame:
     """Typed fact columns (natural ids, no surrogate keys yet)."""
     return accepted.select(

@@ -55,6 +55,9 @@ def test_cached_fleet_equals_derived(spark):
 def test_inventory(spark):
     inv = {r.table_name: r.column_count for r in Q.table_inventory(spark, cached_fleet(spark, SF_SMALL)).collect()}
     assert inv == {"deliveries": 10, "drivers": 9, "maintenance": 8, "routes": 7, "trips": 9, "vehicles": 7}
+    fleet = cached_fleet(spark, SF_SMALL)
+    assert [r.table_name for r in Q.table_inventory(spark, fleet, like="d%").collect()] == \
+        ["deliveries", "drivers"]
 
 
 def test_dim_time_and_dim_date(spark):
