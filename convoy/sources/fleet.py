@@ -156,7 +156,10 @@ def fleet_from_tpch(spark: SparkSession, sf_dir: str) -> Fleet:
 
     # deliveries <- lineitem: one delivery per order line, numbered within the
     # order (window partitioned by l_orderkey: the shuffle on the order key is
-    # reused by the join to trips below).
+    # reused by the join to trips below). The window group is one order's
+    # lines, which the TPC-H layout bounds (a handful per order), so no group
+    # grows with the data; this numbering is part of the test-data mapping,
+    # not of the reports.
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     lines = read("lineitem").select(
