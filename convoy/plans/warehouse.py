@@ -39,6 +39,16 @@ REVENUE_BASE = 20000
 REVENUE_PER_KG = 500
 MAX_PACKAGE_KG = 10000
 
+# The labels the source's dimensional model declares.
+TIME_OF_DAY_LABELS = ("Madrugada", "Mañana", "Tarde", "Noche")
+SHIFT_LABELS = ("Turno 1", "Turno 2", "Turno 3")
+PERFORMANCE_LABELS = ("Alto", "Medio", "Bajo")
+DIFFICULTY_LABELS = ("Fácil", "Medio", "Difícil")
+ROUTE_TYPE_LABELS = ("Urbana", "Interurbana", "Rural")
+CUSTOMER_CATEGORY_LABELS = ("Ocasional", "Regular", "Premium")
+DEFAULT_CUSTOMER_TYPE = "Individual"
+EXCLUDED_SALES_CUSTOMER_TYPE = "Gobierno"
+
 # Label thresholds where the source names labels but gives no rule
 # (our choice, all parameters).
 ROUTE_TYPE_KM = (150, 600)            # Urbana < 150 <= Interurbana < 600 <= Rural
@@ -201,8 +211,9 @@ def driver_snapshot(fleet: Fleet, as_of, rates: DataFrame | None = None) -> Data
         base = base.withColumn("on_time_rate", F.lit(None).cast("double"))
     hi, mid = PERFORMANCE_ON_TIME
     rate = F.col("on_time_rate")
-    category = (F.when(rate >= hi, "Alto").when(rate >= mid, "Medio")
-                .when(rate.isNotNull(), "Bajo").otherwise("Medio"))
+    alto, medio, bajo = PERFORMANCE_LABELS
+    category = (F.when(rate >= hi, alto).when(rate >= mid, medio)
+                .when(rate.isNotNull(), bajo).otherwise(medio))
     return base.select("driver_id", "employee_code", C.full_name().alias("full_name"),
                        "license_number", "license_expiry", "phone", "hire_date",
                        _months(d, F.col("hire_date")).alias("experience_months"), "status",
@@ -216,14 +227,21 @@ def dim_route(fleet: Fleet) -> DataFrame:
     return fleet.routes.select(
         surrogate_key("route_id").alias("route_key"), "route_id", "route_code",
         "origin_city", "destination_city", "distance_km", "estimated_duration_hours", "toll_cost",
-        F.when(km < e, "Fácil").when(km < m, "Medio").otherwise("Difícil").alias("difficulty_level"),
-        F.when(km < u, "Urbana").when(km < i, "Interurbana").otherwise("Rural").alias("route_type"))
+        F.when(km < e, DIFFICULTY_LABELS[0]).when(km < m, DIFFICULTY_LABELS[1])
+        .otherwise(DIFFICULTY_LABELS[2]).alias("difficulty_level"),
+        F.when(km < u, ROUTE_TYPE_LABELS[0]).when(km < i, ROUTE_TYPE_LABELS[1])
+        .otherwise(ROUTE_TYPE_LABELS[2]).alias("route_type"))
+
+
+def _customer_category(n: F.Column) -> F.Column:
+    lo, hi = CUSTOMER_CATEGORY_N
+    ocasional, regular, premium = CUSTOMER_CATEGORY_LABELS
+    return F.when(n < lo, ocasional).when(n < hi, regular).otherwise(premium)
 
 
 def customer_rows(facts: DataFrame) -> DataFrame:
     """One row per customer name seen in the facts (namesakes merge, as the
     source keys customers by name)."""
-    lo, hi = CUSTOMER_CATEGORY_N
     agg = facts.groupBy("customer_name").agg(
         F.min_by("destination_city", "delivery_id").alias("city"),
         F.min(F.to_date("scheduled_datetime")).alias("first_delivery_date"),
@@ -231,10 +249,9 @@ def customer_rows(facts: DataFrame) -> DataFrame:
     n = F.col("total_deliveries")
     return agg.select(
         surrogate_key("customer_name").alias("customer_key"),
-        "customer_name", F.lit("Individual").alias("customer_type"), "city",
+        "customer_name", F.lit(DEFAULT_CUSTOMER_TYPE).alias("customer_type"), "city",
         "first_delivery_date", n.cast("int").alias("total_deliveries"),
-        F.when(n < lo, "Ocasional").when(n < hi, "Regular").otherwise("Premium")
-        .alias("customer_category"))
+        _customer_category(n).alias("customer_category"))
 
 
 def merge_customers(current: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -242,7 +259,6 @@ def merge_customers(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     re-derive the category (first date and city stay)."""
     if current is None:
         return batch
-    lo, hi = CUSTOMER_CATEGORY_N
     b = batch.select("customer_name", F.col("total_deliveries").alias("_add"),
                      F.col("city").alias("_city"), F.col("first_delivery_date").alias("_first"),
                      F.col("customer_key").alias("_key"))
@@ -250,12 +266,11 @@ def merge_customers(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     n = F.coalesce(F.col("total_deliveries"), F.lit(0)) + F.coalesce(F.col("_add"), F.lit(0))
     return j.select(
         F.coalesce("customer_key", "_key").alias("customer_key"), "customer_name",
-        F.coalesce("customer_type", F.lit("Individual")).alias("customer_type"),
+        F.coalesce("customer_type", F.lit(DEFAULT_CUSTOMER_TYPE)).alias("customer_type"),
         F.coalesce("city", "_city").alias("city"),
         F.coalesce("first_delivery_date", "_first").alias("first_delivery_date"),
         n.cast("int").alias("total_deliveries"),
-        F.when(n < lo, "Ocasional").when(n < hi, "Regular").otherwise("Premium")
-        .alias("customer_category"))
+        _customer_category(n).alias("customer_category"))
 
 
 def dim_date(spark: SparkSession, start, end, holidays: DataFrame | None = None) -> DataFrame:
@@ -305,14 +320,14 @@ def dim_time(spark: SparkSession) -> DataFrame:
     return m.select(
         (h * 100 + mi).alias("time_key"), h.alias("hour"), mi.alias("minute"),
         F.lit(0).alias("second"),
-        F.when(h < 6, "Madrugada").when(h < 12, "Mañana").when(h < 18, "Tarde")
-        .otherwise("Noche").alias("time_of_day"),
+        F.when(h < 6, TIME_OF_DAY_LABELS[0]).when(h < 12, TIME_OF_DAY_LABELS[1])
+        .when(h < 18, TIME_OF_DAY_LABELS[2]).otherwise(TIME_OF_DAY_LABELS[3]).alias("time_of_day"),
         F.format_string("%02d:%02d", h, mi).alias("hour_24"),
         F.format_string("%02d:%02d %s", h12, mi, F.when(h < 12, "AM").otherwise("PM")).alias("hour_12"),
         F.when(h < 12, "AM").otherwise("PM").alias("am_pm"),
         ((h >= 8) & (h < 18)).alias("is_business_hour"),
-        F.when((h >= 6) & (h < 14), "Turno 1").when((h >= 14) & (h < 22), "Turno 2")
-        .otherwise("Turno 3").alias("shift"))
+        F.when((h >= 6) & (h < 14), SHIFT_LABELS[0]).when((h >= 14) & (h < 22), SHIFT_LABELS[1])
+        .otherwise(SHIFT_LABELS[2]).alias("shift"))
 
 
 # Facts and totals ---------------------------------------------------------
@@ -388,7 +403,7 @@ def daily_totals(fact: DataFrame, date_key: int | None = None, batch_id: str = "
 def v_sales(fact: DataFrame, dim_date_df: DataFrame, customers: DataFrame) -> DataFrame:
     return (fact.join(dim_date_df.select("date_key", "full_date"), "date_key")
             .join(customers.select("customer_key", "customer_name", "customer_type"), "customer_key")
-            .where(F.col("customer_type") != "Gobierno")
+            .where(F.col("customer_type") != EXCLUDED_SALES_CUSTOMER_TYPE)
             .select("full_date", "customer_name", "customer_type", "package_weight_kg",
                     "delivery_status", "revenue_per_delivery"))
 

@@ -19,6 +19,12 @@ from convoy.functions import columns as C
 from convoy.plans.warehouse import pd_round
 
 
+# Fixed values of the source handlers' responses.
+ERROR_MISSING_DELIVERY_ID = "delivery_id es requerido"
+ERROR_DELIVERY_NOT_FOUND = "Entrega no encontrada"
+ALERT_TYPE = "ROUTE_DEVIATION"
+
+
 def _falsy(c: str) -> F.Column:
     col = F.col(c)
     return col.isNull() | (col == 0)
@@ -33,8 +39,8 @@ def verify_deliveries(marks: DataFrame, status: DataFrame) -> DataFrame:
     code = (F.when(_falsy("delivery_id"), F.lit(400))
             .when(F.col("_sid").isNull(), F.lit(404)).otherwise(F.lit(200)))
     ok = code == 200
-    body = (F.when(code == 400, F.to_json(F.struct(F.lit("delivery_id es requerido").alias("error"))))
-            .when(code == 404, F.to_json(F.struct(F.lit("Entrega no encontrada").alias("error"),
+    body = (F.when(code == 400, F.to_json(F.struct(F.lit(ERROR_MISSING_DELIVERY_ID).alias("error"))))
+            .when(code == 404, F.to_json(F.struct(F.lit(ERROR_DELIVERY_NOT_FOUND).alias("error"),
                                                   F.col("delivery_id"))))
             .otherwise(F.to_json(F.struct(
                 F.col("delivery_id"), F.col("_trk").alias("tracking_number"),
@@ -92,7 +98,7 @@ def deviation_alerts(checked: DataFrame) -> DataFrame:
     """Alert rows (the alert history item / message of the source)."""
     return checked.where(F.col("is_deviated")).select(
         "vehicle_id", "driver_id", "route_id", "deviation_km", "current_location",
-        F.col("ts").alias("timestamp"), F.lit("ROUTE_DEVIATION").alias("alert_type"))
+        F.col("ts").alias("timestamp"), F.lit(ALERT_TYPE).alias("alert_type"))
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
