@@ -33,7 +33,12 @@ DEFAULT_WATERMARK = "10 minutes"
 
 
 def _trigger(writer, trigger: str | None):
-    if trigger is None or trigger == "availableNow":
+    """``None``: Spark's default (next micro-batch as soon as the previous one
+    ends, for per-event handlers); ``"availableNow"``: process what is there
+    and stop (backfills, tests); otherwise a processing-time interval."""
+    if trigger is None:
+        return writer
+    if trigger == "availableNow":
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=trigger)
 

@@ -38,7 +38,8 @@ def stream_deviation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     EV.write_event_files(EV.gps_pings(spark, sf_dir), f"{base}/pings")
     q = J.route_deviation_alerts(EV.read_event_stream(spark, f"{base}/pings", "gps"),
                                  EV.route_waypoints(spark, sf_dir), f"{base}/alerts",
-                                 f"{base}/messages", f"{base}/_checkpoint")
+                                 f"{base}/messages", f"{base}/_checkpoint",
+                                 trigger="availableNow")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/alerts").drop("batch_id")
 

@@ -40,7 +40,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_dir):
 
     def run():
         q = J.route_deviation_alerts(EV.read_event_stream(spark, src, "gps", 1), wp,
-                                     alerts, msgs, ck)
+                                     alerts, msgs, ck, trigger="availableNow")
         q.awaitTermination()
 
     run()
@@ -77,7 +77,7 @@ def test_delivery_verification_stream(spark, tmp_dir):
     status = EV.delivery_status(cached_fleet(spark, SF_SMALL))
     out = os.path.join(tmp_dir, "responses")
     J.delivery_verification(EV.read_event_stream(spark, src, "marks"), status, out,
-                            os.path.join(tmp_dir, "ck")).awaitTermination()
+                            os.path.join(tmp_dir, "ck"), trigger="availableNow").awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == marks.count()
     codes = {r.status_code for r in got.select("status_code").distinct().collect()}
