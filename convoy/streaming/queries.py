@@ -14,21 +14,38 @@ from convoy.streaming import handlers as H
 from convoy.streaming import jobs as J
 
 
+def flat_points(df: DataFrame) -> DataFrame:
+    """Point structs as plain columns (``current_location`` ->
+    ``current_location_lat``, ``current_location_lon``), so results compare
+    cell by cell with any engine."""
+    cols = []
+    for f in df.schema.fields:
+        if f.dataType.typeName() == "struct" and {x.name for x in f.dataType.fields} == {"lat", "lon"}:
+            cols += [df[f.name]["lat"].alias(f"{f.name}_lat"), df[f.name]["lon"].alias(f"{f.name}_lon")]
+        else:
+            cols.append(df[f.name])
+    return df.select(*cols)
+
+
 def verify_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = EV.delivery_status(cached_fleet(spark, sf_dir))
     return H.verify_deliveries(EV.delivery_marks(spark, sf_dir), status).drop("body")
 
 
 def vehicle_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.vehicle_eta(EV.gps_pings(spark, sf_dir))
+    return flat_points(H.vehicle_eta(EV.gps_pings(spark, sf_dir)))
 
 
-def route_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.route_deviation(EV.gps_pings(spark, sf_dir), EV.route_waypoints(spark, sf_dir))
 
 
+def route_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_points(_checked(spark, sf_dir))
+
+
 def deviation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.deviation_alerts(route_deviation(spark, sf_dir))
+    return flat_points(H.deviation_alerts(_checked(spark, sf_dir)))
 
 
 def stream_deviation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,9 +58,9 @@ def stream_deviation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  f"{base}/messages", f"{base}/_checkpoint",
                                  trigger="availableNow")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/alerts").drop("batch_id")
+    return flat_points(spark.read.parquet(f"{base}/alerts").drop("batch_id"))
 
 
 def latest_ping_per_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from convoy.sources.sinks import latest_per_vehicle
-    return latest_per_vehicle(EV.gps_pings(spark, sf_dir))
+    return flat_points(latest_per_vehicle(EV.gps_pings(spark, sf_dir)))
