@@ -36,7 +36,7 @@ def duck():
 def test_every_query_has_oracle_or_is_documented():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"summary_json", "stream_deviation_alerts"}
+    assert set(q) - set(o) == {"summary_json"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
