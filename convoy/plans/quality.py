@@ -115,7 +115,9 @@ def summary_json(fleet: Fleet, generated_at=None) -> DataFrame:
     per-trip delivery stats and whether every validation passed."""
     counts = table_counts(fleet).agg(
         F.sum("row_count").alias("total_records"),
-        F.map_from_entries(F.collect_list(F.struct("table_name", "row_count"))).alias("table_counts"))
+        # entries sorted by table name: the JSON text is reproducible
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("table_name", "row_count"))))
+        .alias("table_counts"))
     valid = validation_checks(fleet).agg(F.bool_and("ok").alias("validations_passed"))
     stats = trip_delivery_stats(fleet)
     ts = F.lit(generated_at).cast("timestamp_ntz") if generated_at else F.localtimestamp()
