@@ -70,10 +70,14 @@ def _maybe_dedupe(pings: DataFrame, delay: str | None) -> DataFrame:
 
 
 def vehicle_tracking(pings: DataFrame, out: str, checkpoint: str,
-                     trigger: str | None = "5 minutes", dedupe_delay: str | None = None
-                     ) -> StreamingQuery:
-    """ETA for every ping (the source recomputes every 5 minutes)."""
+                     trigger: str | None = "5 minutes", dedupe_delay: str | None = None,
+                     latest_only: bool = True) -> StreamingQuery:
+    """Every 5 minutes, the ETA of each vehicle from its newest position in
+    the interval (``latest_only=False``: an ETA for every ping)."""
     def each(batch: DataFrame, batch_id: int) -> None:
+        if latest_only:
+            batch = latest_per_key(batch.withColumn("_o", F.struct("ts", "event_id")),
+                                   ["vehicle_id"], "_o").drop("_o")
         _write_batch(H.vehicle_eta(batch), out, batch_id)
     w = (_maybe_dedupe(pings, dedupe_delay).writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint))

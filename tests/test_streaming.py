@@ -64,7 +64,8 @@ def test_watermark_dedupe_is_opt_in(spark, tmp_dir):
     EV.write_event_files(pings.unionByName(pings.limit(30)), src, files=1)
     out = os.path.join(tmp_dir, "tracking")
     J.vehicle_tracking(EV.read_event_stream(spark, src, "gps"), out, os.path.join(tmp_dir, "ck"),
-                       trigger="availableNow", dedupe_delay="100000 days").awaitTermination()
+                       trigger="availableNow", dedupe_delay="100000 days",
+                       latest_only=False).awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == pings.dropDuplicates(["vehicle_id", "ts"]).count()
 
@@ -91,6 +92,19 @@ def test_eta_tracking_keyed_table(spark, tmp_dir):
     EV.write_event_files(pings, src)
     out = os.path.join(tmp_dir, "tracking")
     J.vehicle_tracking(EV.read_event_stream(spark, src, "gps", 2), out,
-                       os.path.join(tmp_dir, "ck"), trigger="availableNow").awaitTermination()
+                       os.path.join(tmp_dir, "ck"), trigger="availableNow",
+                       latest_only=False).awaitTermination()
     table = J.read_keyed(spark, out, ["vehicle_id", "ts"])
     assert table.count() == pings.select("vehicle_id", "ts").distinct().count()
+
+
+def test_eta_latest_position_per_vehicle(spark, tmp_dir):
+    pings = EV.gps_pings(spark, SF_SMALL)
+    src = os.path.join(tmp_dir, "pings")
+    EV.write_event_files(pings, src)
+    out = os.path.join(tmp_dir, "tracking")
+    J.vehicle_tracking(EV.read_event_stream(spark, src, "gps"), out, os.path.join(tmp_dir, "ck"),
+                       trigger="availableNow").awaitTermination()
+    got = {r.vehicle_id: r.ts for r in spark.read.parquet(out).collect()}
+    want = {r.vehicle_id: r.ts for r in pings.groupBy("vehicle_id").agg(F.max("ts").alias("ts")).collect()}
+    assert got == want
