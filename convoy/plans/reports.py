@@ -12,8 +12,8 @@ Scale notes (what each plan shuffles):
   cities) and is broadcast; every other table is joined by shuffle or by the
   runtime broadcast decision of AQE;
 * where a report joins a per-row fact to a dimension only to group by a
-  dimension attribute, the fact is first reduced by the join key (Q5, Q9), so
-  the join sees one row per key instead of one per fact row;
+  dimension attribute, the fact is first reduced by the join key (Q5, Q6,
+  Q9, Q10), so the join sees one row per key instead of one per fact row;
 * the only global windows (Q11) run over one row per calendar month; the
   driver ranking (Q10) uses :func:`convoy.operators.ranking.global_rank`
   instead of a single-partition window.
@@ -90,16 +90,24 @@ def driver_workload(fleet: Fleet) -> DataFrame:
 # Q6 ---------------------------------------------------------------------
 def driver_productivity(fleet: Fleet, as_of=DEFAULT_AS_OF, months: int = 6) -> DataFrame:
     """As written: averages the delivery id and sums trip measures once per
-    delivery (kept for parity; see :func:`driver_productivity_fixed`)."""
+    delivery (kept for parity; see :func:`driver_productivity_fixed`).
+
+    Deliveries are reduced per driver id before the names are joined, so the
+    drivers join sees one row per driver instead of one per delivery.
+    """
     since = _ts(as_of) - F.make_ym_interval(months=F.lit(months))
     d = fleet.deliveries.where(F.col("delivered_datetime") >= since) \
         .select("delivery_id", "trip_id")
     t = fleet.trips.select("trip_id", "driver_id", "total_weight_kg", "fuel_consumed_liters")
-    return (d.join(t, "trip_id").join(_named_drivers(fleet), "driver_id")
+    per_driver = (d.join(t, "trip_id").groupBy("driver_id")
+                  .agg(F.sum("delivery_id").alias("id_sum"), F.count("delivery_id").alias("n"),
+                       F.sum(F.col("total_weight_kg").cast("decimal(38,2)")).alias("kg"),
+                       F.sum(F.col("fuel_consumed_liters").cast("decimal(38,2)")).alias("fuel")))
+    return (per_driver.join(_named_drivers(fleet), "driver_id")
             .groupBy("nombre")
-            .agg(C.round2(F.avg("delivery_id"), 0).alias("promedio_entregas"),
-                 C.dsum("total_weight_kg").alias("total_kg"),
-                 C.dsum("fuel_consumed_liters").alias("consumo"))
+            .agg(C.round2(C.ratio(F.sum("id_sum"), F.sum("n")), 0).alias("promedio_entregas"),
+                 F.sum("kg").alias("total_kg"),
+                 F.sum("fuel").alias("consumo"))
             .orderBy(F.col("promedio_entregas").desc_nulls_first(), "nombre"))
 
 
@@ -194,9 +202,12 @@ def _driver_metrics(fleet: Fleet) -> DataFrame:
     r = F.broadcast(fleet.routes.select("route_id", "distance_km"))
     t = fleet.trips.select("trip_id", "driver_id", "route_id", "fuel_consumed_liters")
 
-    consumo = (t.join(r, "route_id").join(names, "driver_id")
+    # Trip measures are reduced per driver id before the names are joined.
+    per_driver = (t.join(r, "route_id").groupBy("driver_id")
+                  .agg(F.sum("distance_km").alias("km"), F.sum("fuel_consumed_liters").alias("fuel")))
+    consumo = (per_driver.join(names, "driver_id")
                .groupBy("nombre")
-               .agg(F.sum("distance_km").alias("km"), F.sum("fuel_consumed_liters").alias("fuel"))
+               .agg(F.sum("km").alias("km"), F.sum("fuel").alias("fuel"))
                .select("nombre", C.round2(C.ratio("km", "fuel")).alias("consumo_km")))
 
     # One pass over deliveries feeds both delivery metrics: per (name, week)
@@ -209,10 +220,14 @@ def _driver_metrics(fleet: Fleet) -> DataFrame:
          .select("trip_id", "delivered_datetime",
                  delivered.alias("is_del"), late.alias("is_late"),
                  F.when(late, late_s).alias("late_s")))
-    weekly = (d.join(t.select("trip_id", "driver_id"), "trip_id").join(names, "driver_id")
-              .groupBy("nombre", C.week_start("delivered_datetime").alias("semana"))
-              .agg(F.count_if("is_del").alias("n_del"),
-                   F.count_if("is_late").alias("n_late"),
+    per_driver_week = (d.join(t.select("trip_id", "driver_id"), "trip_id")
+                       .groupBy("driver_id", C.week_start("delivered_datetime").alias("semana"))
+                       .agg(F.count_if("is_del").alias("n_del"),
+                            F.count_if("is_late").alias("n_late"),
+                            F.sum("late_s").alias("late_s")))
+    weekly = (per_driver_week.join(names, "driver_id")
+              .groupBy("nombre", "semana")
+              .agg(F.sum("n_del").alias("n_del"), F.sum("n_late").alias("n_late"),
                    F.sum("late_s").alias("late_s")))
     per_name = (weekly.groupBy("nombre")
                 .agg(F.avg(F.when(F.col("n_del") > 0, F.col("n_del"))).alias("avg_week"),
