@@ -45,12 +45,14 @@ def vehicle_span_as_written(fleet: Fleet) -> DataFrame:
     departure joined to the distinct (vehicle, arrival) pairs.
     """
     vt = fleet.vehicles.select("vehicle_id", "vehicle_type")
-    t = fleet.trips.select("vehicle_id", "trip_id", "departure_datetime", "arrival_datetime") \
-        .join(vt, "vehicle_id")
+    t = fleet.trips.select("vehicle_id", "trip_id", "departure_datetime", "arrival_datetime")
+    # Trips are reduced per vehicle (and per distinct arrival) before the
+    # vehicle type is joined: the inner join on vehicle_id commutes with
+    # grouping by vehicle_id.
     per_vehicle = t.groupBy("vehicle_id").agg(
-        F.count("trip_id").alias("trip_count"), F.min("departure_datetime").alias("first_trip"))
-    arrivals = t.select("vehicle_id", "vehicle_type",
-                        F.col("arrival_datetime").alias("last_trip")).distinct()
+        F.count("trip_id").alias("trip_count"), F.min("departure_datetime").alias("first_trip")) \
+        .join(vt, "vehicle_id")
+    arrivals = t.select("vehicle_id", F.col("arrival_datetime").alias("last_trip")).distinct()
     return (arrivals.join(per_vehicle, "vehicle_id")
             .select("vehicle_id", "vehicle_type", "trip_count", "first_trip", "last_trip")
             .orderBy("vehicle_id", F.col("last_trip").desc_nulls_first()))
