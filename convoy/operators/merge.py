@@ -48,12 +48,15 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], order_col: st
 
 
 def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, key: str, tracked: list[str],
-               batch_date, surrogate: str) -> DataFrame:
+               batch_date, surrogate: str, type1: list[str] | None = None) -> DataFrame:
     """Apply one snapshot of a source table to a type-2 dimension.
 
     ``dim`` has the snapshot columns plus ``surrogate``, ``valid_from``,
     ``valid_to``, ``is_current``; ``None`` starts a new dimension.
-    Keys missing from the snapshot stay open (the source never deletes).
+    A change in a ``tracked`` column closes the current version and opens a
+    new one; ``type1`` columns are overwritten in the current version
+    without a new one (derived ratings, for example). Keys missing from the
+    snapshot stay open (the source never deletes).
     """
     d = F.lit(batch_date).cast("date") if isinstance(batch_date, str) else batch_date
     attrs = [c for c in snapshot.columns if c != key]
@@ -80,6 +83,11 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, key: str, tracked: li
     new_keys = cmp.where(F.col("_h_old").isNull()).select(key)
 
     keep = current.join(changed_keys, key, "left_anti")
+    if type1:
+        fresh = snapshot.select(key, *[F.col(c).alias(f"_t1_{c}") for c in type1])
+        keep = keep.join(fresh, key, "left")
+        for c in type1:
+            keep = keep.withColumn(c, F.coalesce(F.col(f"_t1_{c}"), F.col(c))).drop(f"_t1_{c}")
     closed = (current.join(changed_keys, key, "left_semi")
               .withColumn("valid_to", d).withColumn("is_current", F.lit(False)))
     reopened = opened(snapshot.join(changed_keys.unionByName(new_keys), key, "left_semi"))

@@ -461,10 +461,13 @@ def build(spark: SparkSession, fleet: Fleet, as_of, batch_id: int = 1,
         start_date = batch_date
     dv = scd2_apply(prev_vehicle, vehicle_snapshot(fleet, as_of), "vehicle_id",
                     ["license_plate", "vehicle_type", "capacity_kg", "fuel_type", "status"],
-                    start_date, "vehicle_key")
+                    start_date, "vehicle_key", type1=["age_months", "last_maintenance_date"])
+    # The rating is derived from each batch's deliveries: overwritten in the
+    # current version (type 1) instead of opening a version per batch.
     dd = scd2_apply(prev_driver, driver_snapshot(fleet, as_of, on_time_rates(facts)), "driver_id",
                     ["employee_code", "full_name", "license_number", "license_expiry", "phone",
-                     "status", "performance_category"], start_date, "driver_key")
+                     "status"], start_date, "driver_key",
+                    type1=["performance_category", "experience_months"])
     dr = dim_route(fleet)
     dc = merge_customers(prev_customer, customer_rows(facts))
     ddate = dim_date_from(facts)

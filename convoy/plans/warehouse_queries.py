@@ -60,9 +60,9 @@ def dim_vehicle(fleet: Fleet) -> DataFrame:
 
 def dim_driver(fleet: Fleet) -> DataFrame:
     snap = W.driver_snapshot(fleet, DEFAULT_AS_OF, W.on_time_rates(backfill_facts(fleet)))
-    return scd2_apply(None, snap, "driver_id", ["employee_code", "full_name", "status",
-                                                "performance_category"],
-                      BATCH_DATE, "driver_key").drop("driver_key")
+    return scd2_apply(None, snap, "driver_id", ["employee_code", "full_name", "status"],
+                      BATCH_DATE, "driver_key",
+                      type1=["performance_category", "experience_months"]).drop("driver_key")
 
 
 def dim_route(fleet: Fleet) -> DataFrame:

@@ -52,3 +52,15 @@ def test_insert_missing_and_latest(spark):
     assert sorted(insert_missing(t, s, ["name"]).collect()) == [("x", 1), ("y", 2)]
     ev = spark.createDataFrame([(1, 10, "a"), (1, 20, "b"), (2, 5, "c")], "k int, ts int, v string")
     assert sorted(latest_per_key(ev, ["k"], "ts").collect()) == [(1, 20, "b"), (2, 5, "c")]
+
+
+def test_scd2_type1_columns_overwrite_in_place(spark):
+    schema = "driver_id bigint, status string, rating string"
+    b1 = spark.createDataFrame([(1, "active", "Alto"), (2, "active", "Bajo")], schema)
+    b2 = spark.createDataFrame([(1, "active", "Medio"), (2, "inactive", "Alto")], schema)
+    d1 = scd2_apply(None, b1, "driver_id", ["status"], "2001-07-01", "k", type1=["rating"])
+    d2 = scd2_apply(d1, b2, "driver_id", ["status"], "2001-08-01", "k", type1=["rating"])
+    rows = sorted((r.driver_id, r.status, r.rating, r.is_current) for r in d2.collect())
+    assert rows == [(1, "active", "Medio", True),          # rating updated, no new version
+                    (2, "active", "Bajo", False),          # status change closes the old version
+                    (2, "inactive", "Alto", True)]

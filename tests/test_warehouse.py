@@ -84,3 +84,32 @@ def test_run_daily_is_rerun_safe(spark, tmp_dir):
         .where("d is null").count() == 0
     # every fact found its driver and vehicle version
     assert facts2.where((F.col("driver_key") == -1) | (F.col("vehicle_key") == -1)).count() == 0
+
+
+def test_second_batch_versions_changed_drivers(spark, tmp_dir):
+    from dataclasses import replace
+
+    fleet = cached_fleet(spark, SF_SMALL)
+    out = os.path.join(tmp_dir, "wh2")
+    W.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1)
+    flip = F.when(F.col("status") == "active", "inactive").otherwise("active")
+    changed = fleet.drivers.withColumn("status", F.when(F.col("driver_id") % 5 == 0, flip)
+                                       .otherwise(F.col("status")))
+    W.run_daily(spark, replace(fleet, drivers=changed), out, "2001-08-02 00:00:00", batch_id=2)
+
+    dims = spark.read.parquet(f"{out}/dim_driver")
+    d1 = dims.where("batch = 1")
+    d2 = dims.where("batch = 2")
+    n_drivers = fleet.drivers.count()
+    assert d1.count() == n_drivers
+    n_changed = fleet.drivers.where(F.col("driver_id") % 5 == 0).count()
+    assert d2.count() == n_drivers + n_changed                  # closed + reopened rows
+    assert d2.where("is_current").count() == n_drivers
+    closed = d2.where("not is_current")
+    assert closed.count() == n_changed
+    assert {str(r.valid_to) for r in closed.select("valid_to").distinct().collect()} == {"2001-08-02"}
+    # facts of batch 2 are scheduled before the change: they keep the old versions
+    facts = spark.read.parquet(f"{out}/fact_deliveries").where("etl_batch_id = 2")
+    old_keys = {r.driver_key for r in d1.select("driver_key").collect()}
+    assert facts.count() > 0
+    assert {r.driver_key for r in facts.select("driver_key").collect()} <= old_keys
