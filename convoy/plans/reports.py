@@ -15,8 +15,9 @@ Scale notes (what each plan shuffles):
   dimension attribute, the fact is first reduced by the join key (Q5, Q6,
   Q9, Q10), so the join sees one row per key instead of one per fact row;
 * the only global windows (Q11) run over one row per calendar month; the
-  driver ranking (Q10) uses :func:`convoy.operators.ranking.global_rank`
-  instead of a single-partition window.
+  driver ranking (Q10) uses :func:`convoy.operators.ranking.with_ranks`
+  (quantile buckets, partitioned windows) instead of a single-partition
+  window.
 """
 
 from __future__ import annotations
@@ -210,8 +211,9 @@ def _driver_metrics(fleet: Fleet) -> DataFrame:
                .agg(F.sum("km").alias("km"), F.sum("fuel").alias("fuel"))
                .select("nombre", C.round2(C.ratio("km", "fuel")).alias("consumo_km")))
 
-    # One pass over deliveries feeds both delivery metrics: per (name, week)
-    # count the delivered rows and accumulate the late seconds.
+    # One pass over deliveries feeds both delivery metrics: per (driver, week)
+    # count the delivered rows and accumulate the late seconds, then merge
+    # namesakes per (name, week).
     late = F.col("delivered_datetime").isNotNull() & C.is_late()
     late_s = F.timestamp_diff("SECOND", F.col("scheduled_datetime") + F.expr("INTERVAL 2 HOURS"),
                               F.col("delivered_datetime"))
@@ -240,8 +242,8 @@ def _driver_metrics(fleet: Fleet) -> DataFrame:
 
 
 def _ranked(metrics: DataFrame, consumo_ascending: bool, k: int) -> DataFrame:
-    # One row per driver name, read by four branches (three rank tables and
-    # the rows themselves): checkpoint it once instead of recomputing it.
+    # One row per driver name, read twice (by the rank table and by the rows
+    # the ranks are joined to): checkpoint it once instead of recomputing it.
     metrics = materialize(metrics)
     m = with_ranks(metrics, [("consumo_km", "rank_consumo", consumo_ascending),
                              ("promedio_entregas", "rank_entregas", False),
