@@ -119,6 +119,21 @@ def measures(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
     Rejected rows carry a ``reject_reason``: negative or unknown delivery
     time, or a package weight outside (0, 10000) kg.
     """
+    return split_measured(measured(extracted))
+
+
+def split_measured(x: DataFrame) -> tuple[DataFrame, DataFrame]:
+    accepted = (x.where(F.col("reject_reason").isNull()).drop("reject_reason")
+                .withColumn("valid_from", F.to_date("scheduled_datetime"))
+                .withColumn("valid_to", F.lit(C.OPEN_VALID_TO).cast("date"))
+                .withColumn("is_current", F.lit(True)))
+    rejected = x.where(F.col("reject_reason").isNotNull())
+    return accepted, rejected
+
+
+def measured(extracted: DataFrame) -> DataFrame:
+    """Every extracted row with its measures and ``reject_reason`` (NULL when
+    the row passes the quality filters)."""
     x = extracted
     if "deliveries_in_trip" not in x.columns:
         per_trip = x.groupBy("trip_id").agg(F.count(F.lit(1)).alias("deliveries_in_trip"))
@@ -148,13 +163,7 @@ def measures(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
     weight_ok = F.coalesce((kg > 0) & (kg < MAX_PACKAGE_KG), F.lit(False))
     reason = (F.when(~time_ok, F.lit("delivery_time"))
               .when(~weight_ok, F.lit("package_weight")))
-    x = x.withColumn("reject_reason", reason)
-    accepted = (x.where(F.col("reject_reason").isNull()).drop("reject_reason")
-                .withColumn("valid_from", F.to_date("scheduled_datetime"))
-                .withColumn("valid_to", F.lit(C.OPEN_VALID_TO).cast("date"))
-                .withColumn("is_current", F.lit(True)))
-    rejected = x.where(F.col("reject_reason").isNotNull())
-    return accepted, rejected
+    return x.withColumn("reject_reason", reason)
 
 
 def fact_rows(accepted: DataFrame) -> DataFrame:
@@ -428,7 +437,7 @@ def v_operations(fact: DataFrame, dim_date_df: DataFrame, dim_time_df: DataFrame
 # One batch in memory ------------------------------------------------------
 @dataclass
 class Warehouse:
-    extracted: DataFrame
+    measured: DataFrame       # every extracted row, measures and reject reason
     facts: DataFrame          # typed fact rows with natural ids
     rejected: DataFrame
     dim_vehicle: DataFrame
@@ -446,11 +455,12 @@ def build(spark: SparkSession, fleet: Fleet, as_of, batch_id: int = 1,
           prev_customer: DataFrame | None = None, etl_ts=None) -> Warehouse:
     """Plan one batch: dimensions are merged into the previous versions
     (``None`` = initial load), validity starts at the batch date."""
-    ex = extract(fleet, start, end, last_day)
-    acc, rej = measures(ex)
-    # The fact rows feed five consumers (fact keys, customers, driver
-    # ratings, calendar span, first date): write them once.
-    facts = materialize(fact_rows(acc))
+    # The measured extract feeds the raw zone, the rejects, the counts and
+    # five consumers of the facts (keys, customers, ratings, calendar span,
+    # first date): written once, then every branch reads that copy.
+    m = materialize(measured(extract(fleet, start, end, last_day)))
+    acc, rej = split_measured(m)
+    facts = fact_rows(acc)
     batch_date = F.to_date(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
     if prev_vehicle is None and prev_driver is None:
         # Initial load: open every version from the earliest fact date so
@@ -473,7 +483,7 @@ def build(spark: SparkSession, fleet: Fleet, as_of, batch_id: int = 1,
     ddate = dim_date_from(facts)
     dt = dim_time(spark)
     fd = keyed_facts(facts, dv, dd, dr, dc, batch_id, etl_ts)
-    return Warehouse(ex, facts, rej, dv, dd, dr, dc, ddate, dt, fd)
+    return Warehouse(m, facts, rej, dv, dd, dr, dc, ddate, dt, fd)
 
 
 # L17-L18: the daily run ---------------------------------------------------
@@ -495,17 +505,18 @@ def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
             for n in ("dim_vehicle", "dim_driver", "dim_customer")}
     wh = build(spark, fleet, as_of, batch_id, start, end, last_day,
                prev["dim_vehicle"], prev["dim_driver"], prev["dim_customer"])
-    obs_x, obs_t = Observation("extracted"), Observation("loaded")
+    obs_t = Observation("loaded")
     # Observed above the range exchange: the exchange's sampling pass must
     # not be counted as loaded rows.
     facts = (wh.fact_deliveries.repartitionByRange("date_key", "delivery_id")
              .observe(obs_t, F.count(F.lit(1)).alias("records_loaded")))
-    extracted_n = wh.extracted.observe(obs_x, F.count(F.lit(1)).alias("records_extracted")) \
-        .agg(F.count(F.lit(1))).first()[0]
+    counts = wh.measured.agg(F.count(F.lit(1)).alias("n"),
+                             F.count_if(F.col("reject_reason").isNull()).alias("ok")).first()
+    extracted_n, transformed_n = counts["n"], counts["ok"]
     if extracted_n:
         # raw zone: the extracted rows as they arrived (VARIANT + load time)
         raw = stage_raw_json(
-            wh.extracted.select(F.to_json(F.struct(*EXTRACT_COLUMNS)).alias("raw")), "raw")
+            wh.measured.select(F.to_json(F.struct(*EXTRACT_COLUMNS)).alias("raw")), "raw")
         raw.write.mode("overwrite").parquet(f"{out}/raw-data/staging_daily_load/batch={batch_id}")
         for name, df in (("dim_vehicle", wh.dim_vehicle), ("dim_driver", wh.dim_driver),
                          ("dim_customer", wh.dim_customer), ("dim_route", wh.dim_route),
@@ -525,7 +536,7 @@ def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
     totals = daily_totals(fact_all, date_key=day_key, batch_id=str(batch_id))
     totals.write.mode("overwrite").partitionBy("date_key").parquet(f"{out}/daily_totals")
     metrics = {"batch_id": batch_id, "records_extracted": int(extracted_n),
-               "records_transformed": int(extracted_n) - int(wh.rejected.count()) if extracted_n else 0,
+               "records_transformed": int(transformed_n),
                "records_loaded": int(loaded), "errors": 0,
                "duration_s": round(time.time() - t0, 3)}
     spark.createDataFrame([metrics]).write.mode("append").json(f"{out}/etl_metrics")
