@@ -452,15 +452,21 @@ class Warehouse:
 def build(spark: SparkSession, fleet: Fleet, as_of, batch_id: int = 1,
           start=None, end=None, last_day: bool = True,
           prev_vehicle: DataFrame | None = None, prev_driver: DataFrame | None = None,
-          prev_customer: DataFrame | None = None, etl_ts=None) -> Warehouse:
+          prev_customer: DataFrame | None = None, etl_ts=None,
+          keep_measured: bool = False) -> Warehouse:
     """Plan one batch: dimensions are merged into the previous versions
-    (``None`` = initial load), validity starts at the batch date."""
-    # The measured extract feeds the raw zone, the rejects, the counts and
-    # five consumers of the facts (keys, customers, ratings, calendar span,
-    # first date): written once, then every branch reads that copy.
-    m = materialize(measured(extract(fleet, start, end, last_day)))
+    (``None`` = initial load), validity starts at the batch date.
+
+    The fact rows feed five consumers (keys, customers, ratings, calendar
+    span, first date) and are written once. With ``keep_measured`` the whole
+    measured extract (also the rejects) is written once instead, for a run
+    that also lands the raw rows and counts them.
+    """
+    m = measured(extract(fleet, start, end, last_day))
+    if keep_measured:
+        m = materialize(m)
     acc, rej = split_measured(m)
-    facts = fact_rows(acc)
+    facts = fact_rows(acc) if keep_measured else materialize(fact_rows(acc))
     batch_date = F.to_date(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
     if prev_vehicle is None and prev_driver is None:
         # Initial load: open every version from the earliest fact date so
@@ -504,7 +510,7 @@ def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
     prev = {n: _latest(spark, f"{out}/{n}", batch_id)
             for n in ("dim_vehicle", "dim_driver", "dim_customer")}
     wh = build(spark, fleet, as_of, batch_id, start, end, last_day,
-               prev["dim_vehicle"], prev["dim_driver"], prev["dim_customer"])
+               prev["dim_vehicle"], prev["dim_driver"], prev["dim_customer"], keep_measured=True)
     obs_t = Observation("loaded")
     # Observed above the range exchange: the exchange's sampling pass must
     # not be counted as loaded rows.
