@@ -39,6 +39,24 @@ class Rule:
         return f"{self.rule}:{self.table}.{self.column}{ref}"
 
 
+def orphan_count(child: DataFrame, key: str, parent: DataFrame, parent_key: str,
+                 null_is_orphan: bool = False) -> DataFrame:
+    """One-row ``v``: child rows whose ``key`` has no parent row.
+
+    Children are counted per key first (partial aggregation, so a key held by
+    many rows becomes one row), and only the per-key counts meet the parent
+    in the anti join. NULL keys never match; they count when
+    ``null_is_orphan`` (a LEFT JOIN ... IS NULL check) and not for a foreign
+    key constraint.
+    """
+    per_key = child.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    if not null_is_orphan:
+        per_key = per_key.where(F.col("_k").isNotNull())
+    ref = parent.select(F.col(parent_key).alias("_ref"))
+    missing = per_key.join(ref, F.col("_k") == F.col("_ref"), "left_anti")
+    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("v"))
+
+
 def _violations(rule: Rule, tables: dict[str, DataFrame]) -> DataFrame:
     df = tables[rule.table]
     c = F.col(rule.column)
@@ -52,10 +70,7 @@ def _violations(rule: Rule, tables: dict[str, DataFrame]) -> DataFrame:
     if rule.rule in ("not_null", "default"):
         return df.agg(F.count_if(c.isNull()).alias("v"))
     if rule.rule == "foreign_key":
-        parent = tables[rule.ref_table].select(F.col(rule.ref_column).alias("_ref"))
-        orphans = df.select(c.alias("_k")).where(F.col("_k").isNotNull()) \
-            .join(parent, F.col("_k") == F.col("_ref"), "left_anti")
-        return orphans.agg(F.count(F.lit(1)).alias("v"))
+        return orphan_count(df, rule.column, tables[rule.ref_table], rule.ref_column)
     raise ValueError(f"unknown rule {rule.rule}")
 
 

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from convoy.operators.audit import Rule, audit
+from convoy.operators.audit import Rule, audit, orphan_count
 from convoy.sources.fleet import Fleet
 
 # The constraints declared by the source schema.
@@ -66,23 +66,27 @@ def _one(name: str, bad: DataFrame) -> DataFrame:
         .select(F.lit(name).alias("check_name"), "bad_rows")
 
 
+def _named(name: str, v: DataFrame) -> DataFrame:
+    return v.select(F.lit(name).alias("check_name"), F.col("v").cast("bigint").alias("bad_rows"))
+
+
 def validation_checks(fleet: Fleet) -> DataFrame:
     t, v, d = fleet.trips, fleet.vehicles, fleet.deliveries
-    vid = v.select(F.col("vehicle_id").alias("_vid"))
-    tid = t.select(F.col("trip_id").alias("_tid"))
+    # Trips per (vehicle, weight): only these counts meet the vehicles.
+    per_weight = t.groupBy("vehicle_id", "total_weight_kg").agg(F.count(F.lit(1)).alias("_n"))
+    over = (per_weight.join(v.select("vehicle_id", "capacity_kg"), "vehicle_id")
+            .where(F.col("total_weight_kg") > F.col("capacity_kg"))
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("v")))
     checks = [
         # a trip whose vehicle is missing (NULL vehicle ids count as missing)
-        _one("trips_without_vehicle",
-             t.join(vid, t.vehicle_id == vid._vid, "left_anti")),
-        _one("deliveries_without_trip",
-             d.join(tid, d.trip_id == tid._tid, "left_anti")),
+        _named("trips_without_vehicle",
+               orphan_count(t, "vehicle_id", v, "vehicle_id", null_is_orphan=True)),
+        _named("deliveries_without_trip",
+               orphan_count(d, "trip_id", t, "trip_id", null_is_orphan=True)),
         _one("trips_arrival_before_departure",
              t.where(F.col("arrival_datetime").isNotNull()
                      & (F.col("arrival_datetime") < F.col("departure_datetime")))),
-        _one("trips_over_capacity",
-             t.select("vehicle_id", "total_weight_kg")
-              .join(v.select("vehicle_id", "capacity_kg"), "vehicle_id")
-              .where(F.col("total_weight_kg") > F.col("capacity_kg"))),
+        _named("trips_over_capacity", over),
         _one("deliveries_without_tracking_number",
              d.where(F.col("tracking_number").isNull() | (F.col("tracking_number") == ""))),
     ]
