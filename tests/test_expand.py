@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from convoy.operators.expand import allocate, expand_range
 
 

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from convoy.operators.merge import insert_missing, latest_per_key, point_in_time, scd2_apply
 
 SCHEMA = "driver_id bigint, name string, status string"

@@ -1,5 +1,4 @@
 """Every registered query against its independent DuckDB formulation."""
-import os
 
 import duckdb
 import pytest

@@ -3,7 +3,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from convoy.plans import quality as Q
