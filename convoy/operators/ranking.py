@@ -66,16 +66,21 @@ _EXACT_IN_DOUBLE = {"tinyint", "smallint", "int", "float", "double"}
 
 
 def with_ranks(df: DataFrame, specs: list[tuple[str, str, bool]],
-               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               buckets: int = DEFAULT_BUCKETS, row_key: str | None = None) -> DataFrame:
     """Add ``rank() over (order by key asc|desc)`` columns.
 
     ``specs`` is a list of ``(key, output_column, ascending)``. When every key
     is exactly representable as a double, all keys are ranked in one pass
     (:func:`_stacked_rank_table`); otherwise one :func:`rank_table` per key.
-    Ranks are joined back on the (NULL-safe) value.
+    Ranks are joined back on the (NULL-safe) value. With a ``row_key`` that
+    is unique per row, the stacked ranks are joined back in one join and
+    pivoted per row (the rank table is then read once).
     """
     types = dict(df.dtypes)
-    if len(specs) > 1 and all(types[k] in _EXACT_IN_DOUBLE for k, _, _ in specs):
+    stackable = len(specs) > 1 and all(types[k] in _EXACT_IN_DOUBLE for k, _, _ in specs)
+    if stackable and row_key is not None:
+        return _with_ranks_keyed(df, specs, buckets, row_key)
+    if stackable:
         # One row per (key, distinct value), read by one join per key: written
         # once, otherwise each join would re-run the whole ranking (the
         # per-key filter is pushed below the windows, so plans differ).
@@ -94,6 +99,26 @@ def with_ranks(df: DataFrame, specs: list[tuple[str, str, bool]],
     return out
 
 
+def _signed(specs: list[tuple[str, str, bool]]) -> list:
+    return [F.col(k).cast("double") if asc else -F.col(k).cast("double") for k, _, asc in specs]
+
+
+def _with_ranks_keyed(df: DataFrame, specs: list[tuple[str, str, bool]], buckets: int,
+                      row_key: str) -> DataFrame:
+    """Stacked ranks joined back through the stacked rows ``(row_key, _m,
+    _v)`` and pivoted to one column per key."""
+    ranked = _stacked_rank_table(df, specs, buckets)
+    stacked = df.select(row_key, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_sm"), F.col(k).cast("double").alias("_sv"))
+        for i, (k, _, _) in enumerate(specs)])).alias("_s")).select(row_key, "_s.*")
+    j = stacked.join(ranked, (F.col("_sm") == F.col("_m")) & F.col("_sv").eqNullSafe(F.col("_v")),
+                     "left")
+    pivot = j.groupBy(row_key).agg(*[
+        F.max(F.when(F.col("_sm") == i, F.col("_rank"))).alias(name)
+        for i, (_, name, _) in enumerate(specs)])
+    return df.join(pivot, row_key)
+
+
 def _stacked_rank_table(df: DataFrame, specs: list[tuple[str, str, bool]], buckets: int,
                         accuracy: int = 10000) -> DataFrame:
     """Ranks of several numeric keys at once: rows ``(_m, _v, _rank)`` with
@@ -103,9 +128,8 @@ def _stacked_rank_table(df: DataFrame, specs: list[tuple[str, str, bool]], bucke
     ``buckets`` (ascending, NULLS LAST) or ``-1`` (descending, NULLS FIRST).
     """
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_m"),
-                 (F.col(k).cast("double") if asc else -F.col(k).cast("double")).alias("_o"))
-        for i, (k, _, asc) in enumerate(specs)])).alias("_s")).select("_s.*")
+        F.struct(F.lit(i).alias("_m"), o.alias("_o")) for i, o in enumerate(_signed(specs))
+    ])).alias("_s")).select("_s.*")
     counts = stacked.groupBy("_m", "_o").agg(F.count(F.lit(1)).alias("_n"))
     probs = [i / buckets for i in range(1, buckets)]
     # One row per key: bounded broadcast.

@@ -242,12 +242,12 @@ def _driver_metrics(fleet: Fleet) -> DataFrame:
 
 
 def _ranked(metrics: DataFrame, consumo_ascending: bool, k: int) -> DataFrame:
-    # One row per driver name, read twice (by the rank table and by the rows
-    # the ranks are joined to): checkpoint it once instead of recomputing it.
+    # One row per driver name, read by the rank table, the stacked rows and
+    # the final join: checkpoint it once instead of recomputing it.
     metrics = materialize(metrics)
     m = with_ranks(metrics, [("consumo_km", "rank_consumo", consumo_ascending),
                              ("promedio_entregas", "rank_entregas", False),
-                             ("promedio_retraso_s", "rank_retraso", True)])
+                             ("promedio_retraso_s", "rank_retraso", True)], row_key="nombre")
     total = F.col("rank_consumo") + F.col("rank_entregas") + F.col("rank_retraso")
     return (m.select("nombre", "rank_consumo", "rank_entregas", "rank_retraso",
                      total.alias("ranking_total"))

@@ -28,11 +28,12 @@ def test_with_ranks_matches_definition(spark, a, b):
     n = min(len(a), len(b))
     rows = [(i, a[i], None if b[i] is None else float(b[i])) for i in range(n)]
     df = spark.createDataFrame(rows, "id int, a int, b double")
-    got = with_ranks(df, [("a", "ra", True), ("b", "rb", False)], buckets=4)
-    res = {r.id: (r.ra, r.rb) for r in got.collect()}
     want_a = _rank([r[1] for r in rows], True)
     want_b = _rank([r[2] for r in rows], False)
-    assert res == {rows[i][0]: (want_a[i], want_b[i]) for i in range(n)}
+    want = {rows[i][0]: (want_a[i], want_b[i]) for i in range(n)}
+    for key in (None, "id"):
+        got = with_ranks(df, [("a", "ra", True), ("b", "rb", False)], buckets=4, row_key=key)
+        assert {r.id: (r.ra, r.rb) for r in got.collect()} == want
 
 
 @SETTINGS
