@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,3 +67,53 @@ def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[
 def parts(df: DataFrame) -> int:
     """Shuffle partitions of the session, the width used for explicit exchanges."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def split_words(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words of a batch, the code of every word in order, and the number
+    of words of each text.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased (``lower``); NULL is
+    empty. Splitting and dictionary encoding run in Arrow's kernels.
+    """
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    if not pa.types.is_large_string(texts.type):
+        texts = texts.cast(pa.large_string())
+    texts = pc.fill_null(texts, "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    flat, count = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    if not full.all():
+        doc = np.repeat(np.arange(len(count)), count)
+        flat, count = flat.filter(pa.array(full)), np.bincount(doc[full], minlength=len(count))
+    enc = flat.dictionary_encode()
+    uniq = enc.dictionary.cast(pa.large_binary()).to_pylist()
+    return uniq, enc.indices.to_numpy(zero_copy_only=False), count
+
+
+def byte_slices(texts: pa.Array, most: int = 8_000_000) -> Iterator[slice]:
+    """Consecutive slices of about ``most`` bytes (a longer text alone)."""
+    n = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    total = np.cumsum(n)
+    at = 0
+    while at < len(n):
+        end = int(np.searchsorted(total, (total[at - 1] if at else 0) + most, side="right"))
+        end = max(end, at + 1)
+        yield slice(at, end)
+        at = end
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers of a local session import this package from where the
+    driver found it; on a cluster the package is shipped with the job."""
+    import os
+
+    import convoy
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(convoy.__file__)))
+    env = spark.sparkContext.environment
+    held = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in held:
+        env["PYTHONPATH"] = os.pathsep.join([root, *held])
+    return spark

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convoy.llm import toxicity
-from convoy.llm.common import crc_mod, table
+from convoy.session import configure
+from convoy.llm import mixing, token_files, toxicity
+from convoy.llm.common import crc_mod, importable, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +21,32 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_toxicity": op1_toxicity,
-}
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=[3, 1, 2], share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.write_and_read(table(spark, sf_dir, "documents"), tokenizer_path(), end=1)
+
+
+def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(importable(configure(spark)), sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _run(q) for q in [
+    op1_toxicity, op5_mixing, op9_token_files,
+]}
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
 ORACLE: dict[str, str] = {}
