@@ -78,9 +78,8 @@ def split_words(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.nd
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    if not pa.types.is_large_string(texts.type):
-        texts = texts.cast(pa.large_string())
-    texts = pc.fill_null(texts, "")
+    # a copy without an offset: ascii_lower misreads slices of large strings (pyarrow 23)
+    texts = pc.fill_null(pa.concat_arrays([texts, texts[:0]]).cast(pa.large_string()), "")
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     flat, count = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)

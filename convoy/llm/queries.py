@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.session import configure
-from convoy.llm import mixing, token_files, toxicity
+from convoy.llm import mixing, ngram_join, token_files, toxicity
 from convoy.llm.common import crc_mod, importable, table
 
 
@@ -21,6 +21,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join.join(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return joined.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=[3, 1, 2], share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -45,7 +50,7 @@ def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _run(q) for q in [
-    op1_toxicity, op5_mixing, op9_token_files,
+    op1_toxicity, op2_ngram_join, op5_mixing, op9_token_files,
 ]}
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
