@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from convoy.llm.common import cut
 
 #: Documents in one rounding group; residual groups met in one tree node.
-GROUP, FAN_IN = 20_000, 256
+GROUP, FAN_IN = 2_000, 256
 #: Draws compared where a source's last residuals are rounded.
 DRAWS = 512
 
