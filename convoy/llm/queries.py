@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.session import configure
-from convoy.llm import mixing, ngram_join, token_files, toxicity
+from convoy.llm import decontaminate, mixing, ngram_join, token_files, toxicity
 from convoy.llm.common import crc_mod, importable, table
 
 
@@ -31,6 +31,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=5, threshold=0.8)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -50,8 +54,21 @@ def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _run(q) for q in [
-    op1_toxicity, op2_ngram_join, op5_mixing, op9_token_files,
+    op1_toxicity, op2_ngram_join, op5_mixing, op8_decontamination, op9_token_files,
 ]}
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_decontamination": r"""
+WITH low AS (
+  SELECT doc_id AS id, 0 AS item, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT item_id, 1, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (SELECT id, item, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM low WHERE id IS NOT NULL AND t IS NOT NULL),
+at AS (SELECT id, item, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM w WHERE len(w) > 0),
+s AS (SELECT DISTINCT id, item, array_to_string(w[i:i + 4], ' ') AS s FROM at),
+size AS (SELECT id, count(*) AS n FROM s WHERE item = 1 GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, max(size.n) AS item_shingles, count(*) AS found, count(*) / max(size.n) AS containment
+FROM s d JOIN s b ON d.s = b.s AND d.item = 0 AND b.item = 1 JOIN size ON size.id = b.id
+GROUP BY d.id, b.id HAVING 5 * count(*) >= 4 * max(size.n)""",
+}
