@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.session import configure
-from convoy.llm import decontaminate, mixing, ngram_join, token_files, toxicity
+from convoy.llm import decontaminate, language_id, mixing, ngram_join, token_files, toxicity
 from convoy.llm.common import crc_mod, importable, table
 
 
@@ -45,6 +45,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(table(spark, sf_dir, "documents"), tokenizer_path(), end=1)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(crc_mod("doc_id", 5) != 0))
+    return language_id.predict(docs, model).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +60,7 @@ def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _run(q) for q in [
-    op1_toxicity, op2_ngram_join, op5_mixing, op8_decontamination, op9_token_files,
+    op1_toxicity, op2_ngram_join, op5_mixing, op8_decontamination, op9_token_files, op10_language_id,
 ]}
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
@@ -65,8 +71,8 @@ WITH low AS (
   UNION ALL
   SELECT item_id, 1, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
 w AS (SELECT id, item, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM low WHERE id IS NOT NULL AND t IS NOT NULL),
-at AS (SELECT id, item, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM w WHERE len(w) > 0),
-s AS (SELECT DISTINCT id, item, array_to_string(w[i:i + 4], ' ') AS s FROM at),
+pos AS (SELECT id, item, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM w WHERE len(w) > 0),
+s AS (SELECT DISTINCT id, item, array_to_string(w[i:i + 4], ' ') AS s FROM pos),
 size AS (SELECT id, count(*) AS n FROM s WHERE item = 1 GROUP BY id)
 SELECT d.id AS doc_id, b.id AS item_id, max(size.n) AS item_shingles, count(*) AS found, count(*) / max(size.n) AS containment
 FROM s d JOIN s b ON d.s = b.s AND d.item = 0 AND b.item = 1 JOIN size ON size.id = b.id
