@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.session import configure
-from convoy.llm import decontaminate, language_id, mixing, ngram_join, suffix_dedup, token_files, toxicity
+from convoy.llm import ann, decontaminate, language_id, mixing, ngram_join, suffix_dedup, token_files, toxicity
 from convoy.llm.common import crc_mod, importable, table
 
 
@@ -26,6 +26,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(rows, rows.filter("vec_id % 100 = 0"), "vec_id", "embedding", k=10)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=[3, 1, 2], share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -64,7 +69,7 @@ def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _run(q) for q in [
-    op1_toxicity, op2_ngram_join, op5_mixing, op6_suffix_dedup, op8_decontamination, op9_token_files, op10_language_id,
+    op1_toxicity, op2_ngram_join, op3_ann, op5_mixing, op6_suffix_dedup, op8_decontamination, op9_token_files, op10_language_id,
 ]}
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
