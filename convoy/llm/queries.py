@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.session import configure
-from convoy.llm import ann, decontaminate, language_id, mixing, ngram_join, suffix_dedup, token_files, toxicity
+from convoy.llm import ann, decontaminate, fuzzy_lines, language_id, mixing, ngram_join, suffix_dedup, token_files, toxicity
 from convoy.llm.common import crc_mod, importable, table
 
 
@@ -40,6 +40,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50)
 
 
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.remove_lines(table(spark, sf_dir, "documents"), similarity=0.8, distance=3)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=5, threshold=0.8)
 
@@ -69,7 +73,7 @@ def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _run(q) for q in [
-    op1_toxicity, op2_ngram_join, op3_ann, op5_mixing, op6_suffix_dedup, op8_decontamination, op9_token_files, op10_language_id,
+    op1_toxicity, op2_ngram_join, op3_ann, op5_mixing, op6_suffix_dedup, op7_fuzzy_lines, op8_decontamination, op9_token_files, op10_language_id,
 ]}
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
