@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.session import configure
-from convoy.llm import ann, decontaminate, fuzzy_lines, language_id, mixing, ngram_join, suffix_dedup, token_files, toxicity
+from convoy.llm import ann, decontaminate, fuzzy_lines, language_id, lm, mixing, ngram_join, suffix_dedup, token_files, toxicity
 from convoy.llm.common import crc_mod, importable, table
 
 
@@ -31,6 +31,11 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.filter("vec_id % 100 = 0"), "vec_id", "embedding", k=10)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", crc_mod("doc_id", 10) == 0)
+    return lm.score(docs).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=[3, 1, 2], share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -73,7 +78,7 @@ def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _run(q) for q in [
-    op1_toxicity, op2_ngram_join, op3_ann, op5_mixing, op6_suffix_dedup, op7_fuzzy_lines, op8_decontamination, op9_token_files, op10_language_id,
+    op1_toxicity, op2_ngram_join, op3_ann, op4_lm_scoring, op5_mixing, op6_suffix_dedup, op7_fuzzy_lines, op8_decontamination, op9_token_files, op10_language_id,
 ]}
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
