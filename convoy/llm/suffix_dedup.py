@@ -41,14 +41,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import byte_slices, parts, scratch
+from convoy.llm.common import byte_slices, scratch
 from convoy.llm.ngram_join import STEP, mix
 
 Q = 16
 #: Between texts; no byte of UTF-8.
 GAP = 0xFF
 #: Bytes of text whose anchors one group should receive.
-SHARD_BYTES = 48 << 20
+SHARD_BYTES, LEAST_SHARDS = 32 << 20, 8
 LAST = np.iinfo(np.int64).max
 
 
@@ -146,7 +146,7 @@ def _anchor_blobs(length: int, shards: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in byte_slices(b.column("text"), 8_000_000):
+            for s in byte_slices(b.column("text"), 4_000_000):
                 own = b.slice(s.start, s.stop - s.start)
                 texts = own.column("text").to_pylist()
                 doc_of, rid_of = own.column("doc").to_numpy(), own.column("rid").to_numpy()
@@ -333,21 +333,22 @@ def _apply(length: int):
 def remove_repeats(docs: DataFrame, length: int = 50, keep_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the
     remaining bytes, on request) for each row of ``docs(doc_id, text)``."""
-    spark, path, width = docs.sparkSession, scratch(docs.sparkSession, "suffix-dedup"), parts(docs)
+    spark, path = docs.sparkSession, scratch(docs.sparkSession, "suffix-dedup")
     raw = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("text"))
     rows = rows.withColumn("doc", F.coalesce("doc_id", F.lit(LAST))).withColumn("rid", F.xxhash64("doc_id", "text"))
     rows.select("doc_id", "doc", "rid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")).write.parquet(f"{path}/base")
     base = spark.read.parquet(f"{path}/base")
     total = base.agg(F.sum("n_bytes")).first()[0] or 0
-    shards = max(width, -(-total // SHARD_BYTES))
+    shards = max(LEAST_SHARDS, -(-total // SHARD_BYTES))
 
     first = base.filter(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc").alias("_first"), F.max("doc").alias("_last")).filter("_first < _last")
     copies = base.join(first.drop("_last"), "sha").filter("doc > _first").select("rid").distinct()
 
     blobs = rows.select("doc", "rid", "text").mapInArrow(_anchor_blobs(length, shards), "shard int, n int, body binary")
-    found = blobs.groupBy("shard").applyInArrow(_match, FOUND).join(copies, "rid", "left_anti")
+    found = blobs.groupBy("shard").applyInArrow(_match, FOUND)  # a row for each text a shard has a say on
     found = found.groupBy("rid").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("full", "open", "anchor")])
+    found = found.join(copies, "rid", "left_anti")
     found.write.parquet(f"{path}/found")
     found = spark.read.parquet(f"{path}/found")
 
