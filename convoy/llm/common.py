@@ -105,7 +105,8 @@ def byte_slices(texts: pa.Array, most: int = 8_000_000) -> Iterator[slice]:
 
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers of a local session import this package from where the
-    driver found it; on a cluster the package is shipped with the job."""
+    driver found it; on a cluster the package is shipped with the job. Bounds the
+    Arrow batches that carry whole texts."""
     import os
 
     import convoy
@@ -115,4 +116,36 @@ def importable(spark: SparkSession) -> SparkSession:
     held = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
     if root not in held:
         env["PYTHONPATH"] = os.pathsep.join([root, *held])
+    return small_batches(spark)
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
+    """Whole texts go to Python in Arrow batches of at most so many rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
     return spark
+
+
+def lean(run):
+    """A batch function whose worker gives freed memory back when a partition ends
+    (workers are reused by other steps)."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return wrapped
+
+
+def trim() -> None:
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # no glibc

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import byte_slices, parts, scratch, sorted_groups, split_words
+from convoy.llm.common import byte_slices, lean, parts, scratch, sorted_groups, split_words
 from convoy.llm.components import connected_components
 
 MIX1, MIX2, STEP = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
@@ -152,7 +152,7 @@ def features(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
                 for k, x in zip(keys, sets):
                     emit.append(x if k is not None and k not in seen else x[:0])
                     seen.add(k)
-                if len(seen) > 1_000_000:
+                if len(seen) > 200_000:
                     seen.clear()
                 sigs = signatures(emit, bands)
                 yield pa.RecordBatch.from_arrays([
@@ -161,7 +161,7 @@ def features(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
                     names=["doc_id", "text_hash", "n_shingles", "key", "sigs"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, key long, sigs array<long>")
+    return rows.mapInArrow(lean(run), "doc_id long, text_hash long, n_shingles long, key long, sigs array<long>")
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,15 +263,15 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
 
     sigs = named.select(F.explode("sigs").alias("sig"), "key")
     sigs = sigs.repartition(width_, "sig").sortWithinPartitions("sig", "key")
-    group = connected_components(sigs.mapInArrow(_stars, "a long, b long").distinct())
+    group = connected_components(sigs.mapInArrow(lean(_stars), "a long, b long").distinct())
     group.write.parquet(f"{path}/groups")
     group = spark.read.parquet(f"{path}/groups")
     size = group.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     members = group.join(size, "root").join(nodes, group["node"] == nodes["key"]).select("root", "node", "blocks", "copies", "rep")
     texts = members.join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep").drop("rep")
-    one = texts.mapInArrow(_blocks(n), "root long, i long, j long, block long, node long, copies long, shingles binary")
+    one = texts.mapInArrow(lean(_blocks(n)), "root long, i long, j long, block long, node long, copies long, shingles binary")
     one = one.repartition(width_, "root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
-    one.mapInPandas(_verify(percent), "a long, b long, links long").write.parquet(f"{path}/links")
+    one.mapInPandas(lean(_verify(percent)), "a long, b long, links long").write.parquet(f"{path}/links")
     links = spark.read.parquet(f"{path}/links")
 
     found = connected_components(links.filter("a <> b").select("a", "b"))

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from convoy.llm.common import byte_slices, parts, scratch, split_words
+from convoy.llm.common import byte_slices, lean, parts, scratch, split_words
 
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE, HAS_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -58,7 +58,7 @@ class Encoder:
     token with the end-of-word suffix closes a word; other pieces are set apart
     by a special token, and pieces that hold that token are encoded one by one."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -260,7 +260,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = 1, files: int
         part = TaskContext.get().partitionId()
         file = f"{folder}/files/part-{part:06d}-{uuid.uuid4().hex}.ids"
         for b in batches:
-            for s in byte_slices(b.column("text")):
+            for s in byte_slices(b.column("text"), 4_000_000):
                 own = b.slice(s.start, s.stop - s.start)
                 if out is None:
                     where, p = _fs(f"{folder}/files")
@@ -278,7 +278,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = 1, files: int
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     rows = rows.repartitionByRange(files or parts(docs), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    rows.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
+    rows.mapInArrow(lean(run), MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
