@@ -40,7 +40,7 @@ class Params:
     sample: int = 12_000
     rows: int = 100  # rows a partition should hold, up to
     most: int = 128  # partitions: the sample must show each of them
-    recall: float = 0.95
+    recall: float = 0.97
     k: int = 10
     block: int = 4096
     hidden: int = 96

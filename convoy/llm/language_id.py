@@ -13,7 +13,7 @@ runs of ASCII that is no letter are one space, then n-grams of ``order`` bytes.
 
 Defined results: NULL texts and texts without a letter (of any script) are
 ``und`` with score 0; without any training text every text is ``und``; texts too
-short for an n-gram are padded by spaces; NULL training languages are ignored;
+short for an n-gram are padded by end marks; NULL training languages are ignored;
 repeated rows are scored row by row; other columns are ignored.
 """
 
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from convoy.llm.common import byte_slices
 
 LETTER = re.compile(r"[^\W\d_]")
-#: A-Z to lower case, ASCII that is no letter to a space.
-_PLAIN = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
+#: A-Z to lower case, ASCII that is no letter to a space; 1 marks the ends of a text.
+_PLAIN = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 or b == 1 else 32 for b in range(256)], np.uint8)
 MUL = np.uint32(2654435761)
 
 
@@ -49,8 +49,7 @@ class Model:
 
 def grams(texts: list[bytes], order: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams, text after text, and the number of each text's."""
-    pad = b" " * (order - 1)
-    raw = [pad[:1] + t + pad for t in texts]
+    raw = [b"\1" + t + b"\1" * (order - 1) for t in texts]
     size = np.array([len(t) for t in raw], np.int64)
     b = _PLAIN[np.frombuffer(b"".join(raw), np.uint8)]
     doc = np.repeat(np.arange(len(raw)), size)

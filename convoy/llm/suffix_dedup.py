@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import byte_slices, scratch
+from convoy.llm.common import byte_slices, lean, scratch
 from convoy.llm.ngram_join import STEP, mix
 
 Q = 16
@@ -345,7 +345,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, keep_text: bool = False) -
     first = base.filter(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc").alias("_first"), F.max("doc").alias("_last")).filter("_first < _last")
     copies = base.join(first.drop("_last"), "sha").filter("doc > _first").select("rid").distinct()
 
-    blobs = rows.select("doc", "rid", "text").mapInArrow(_anchor_blobs(length, shards), "shard int, n int, body binary")
+    blobs = rows.select("doc", "rid", "text").mapInArrow(lean(_anchor_blobs(length, shards)), "shard int, n int, body binary")
     found = blobs.groupBy("shard").applyInArrow(_match, FOUND)  # a row for each text a shard has a say on
     found = found.groupBy("rid").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("full", "open", "anchor")])
     found = found.join(copies, "rid", "left_anti")
@@ -353,7 +353,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, keep_text: bool = False) -
     found = spark.read.parquet(f"{path}/found")
 
     opened = found.filter("size(open) > 0").select("rid", "open", "anchor").join(rows.select("rid", "doc", "text"), "rid")
-    suffixes = opened.mapInArrow(_suffix_blobs(length, shards), "shard int, n int, body binary, bytes binary")
+    suffixes = opened.mapInArrow(lean(_suffix_blobs(length, shards)), "shard int, n int, body binary, bytes binary")
     runs = suffixes.groupBy("shard").applyInArrow(_sort_suffixes(length), "rid long, lo array<int>, hi array<int>")
     runs = runs.groupBy("rid").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
     runs.write.parquet(f"{path}/runs")
