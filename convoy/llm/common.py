@@ -149,3 +149,12 @@ def trim() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):
         pass  # no glibc
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps now: it does so when
+    the driver's garbage is collected, which may be long after."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import byte_slices, lean, parts, scratch, sorted_groups, split_words
+from convoy.llm.common import byte_slices, lean, parts, release, scratch, sorted_groups, split_words
 from convoy.llm.components import connected_components
 
 MIX1, MIX2, STEP = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
@@ -265,6 +265,8 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
     sigs = sigs.repartition(width_, "sig").sortWithinPartitions("sig", "key")
     group = connected_components(sigs.mapInArrow(lean(_stars), "a long, b long").distinct())
     group.write.parquet(f"{path}/groups")
+    del sigs, group
+    release(spark)
     group = spark.read.parquet(f"{path}/groups")
     size = group.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     members = group.join(size, "root").join(nodes, group["node"] == nodes["key"]).select("root", "node", "blocks", "copies", "rep")
@@ -272,6 +274,8 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
     one = texts.mapInArrow(lean(_blocks(n)), "root long, i long, j long, block long, node long, copies long, shingles binary")
     one = one.repartition(width_, "root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
     one.mapInPandas(lean(_verify(percent)), "a long, b long, links long").write.parquet(f"{path}/links")
+    del one, texts, members
+    release(spark)
     links = spark.read.parquet(f"{path}/links")
 
     found = connected_components(links.filter("a <> b").select("a", "b"))

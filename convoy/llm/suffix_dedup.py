@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import byte_slices, lean, scratch
+from convoy.llm.common import byte_slices, lean, release, scratch
 from convoy.llm.ngram_join import STEP, mix
 
 Q = 16
@@ -350,13 +350,17 @@ def remove_repeats(docs: DataFrame, length: int = 50, keep_text: bool = False) -
     found = found.groupBy("rid").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("full", "open", "anchor")])
     found = found.join(copies, "rid", "left_anti")
     found.write.parquet(f"{path}/found")
+    del found, blobs
+    release(spark)
     found = spark.read.parquet(f"{path}/found")
 
     opened = found.filter("size(open) > 0").select("rid", "open", "anchor").join(rows.select("rid", "doc", "text"), "rid")
-    suffixes = opened.mapInArrow(lean(_suffix_blobs(length, shards)), "shard int, n int, body binary, bytes binary")
+    suffixes = opened.mapInArrow(lean(_suffix_blobs(length, 2 * shards)), "shard int, n int, body binary, bytes binary")
     runs = suffixes.groupBy("shard").applyInArrow(_sort_suffixes(length), "rid long, lo array<int>, hi array<int>")
     runs = runs.groupBy("rid").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
     runs.write.parquet(f"{path}/runs")
+    del runs, suffixes, opened
+    release(spark)
     runs = spark.read.parquet(f"{path}/runs")
 
     spans = found.filter("size(full) > 0").select("rid", "full").join(runs, "rid", "full")
