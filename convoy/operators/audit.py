@@ -11,6 +11,7 @@ ref_column, violations, ok)``; the rows of all rules are unioned.
 * ``not_null``: rows with a NULL value.
 * ``foreign_key``: rows with a non-NULL key missing from the parent
   (left anti join; AQE broadcasts the parent only if it is small at runtime).
+* ``max_length``: rows with a text longer than the declared ``length``.
 * ``default``: rows where the column is NULL, i.e. where the declared default
   would have applied; :func:`apply_defaults` fills them.
 """
@@ -32,6 +33,7 @@ class Rule:
     ref_table: str | None = None
     ref_column: str | None = None
     default: object = None
+    length: int | None = None
 
     @property
     def rule_id(self) -> str:
@@ -57,23 +59,6 @@ def orphan_count(child: DataFrame, key: str, parent: DataFrame, parent_key: str,
     return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("v"))
 
 
-def _violations(rule: Rule, tables: dict[str, DataFrame]) -> DataFrame:
-    df = tables[rule.table]
-    c = F.col(rule.column)
-    if rule.rule in ("unique", "primary_key"):
-        dup = (df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-               .where(F.col("n") > 1).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v")))
-        if rule.rule == "primary_key":
-            nulls = df.where(c.isNull()).agg(F.count(F.lit(1)).alias("v"))
-            dup = dup.unionByName(nulls).agg(F.sum("v").alias("v"))
-        return dup
-    if rule.rule in ("not_null", "default"):
-        return df.agg(F.count_if(c.isNull()).alias("v"))
-    if rule.rule == "foreign_key":
-        return orphan_count(df, rule.column, tables[rule.ref_table], rule.ref_column)
-    raise ValueError(f"unknown rule {rule.rule}")
-
-
 def _row(r: Rule, v: F.Column) -> F.Column:
     return F.struct(
         F.lit(r.rule_id).alias("rule_id"), F.lit(r.rule).alias("rule"),
@@ -83,49 +68,47 @@ def _row(r: Rule, v: F.Column) -> F.Column:
         v.cast("bigint").alias("violations"))
 
 
-def _key_rules(table: DataFrame, rs: list[Rule]) -> DataFrame:
-    """All unique / primary-key rules of one table in one shuffle: rows are
-    stacked as (rule index, value as text) and counted per pair; per rule,
-    pairs seen more than once are duplicate rows and the NULL pair counts
-    NULL keys. The text form is injective per column type, so equal texts
-    mean equal values."""
-    stacked = table.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.col(r.column).cast("string").alias("_k"))
-        for i, r in enumerate(rs)])).alias("_s")).select("_s.*")
-    per_key = stacked.groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("_n"))
+def _key_violations(df: DataFrame, r: Rule) -> DataFrame:
+    """One-row ``v``: rows whose key occurs more than once, and for a primary key
+    rows without one. One aggregate on the column's own type; an empty table counts 0."""
     k, n = F.col("_k"), F.col("_n")
-    per_rule = per_key.groupBy("_i").agg(
-        F.coalesce(F.sum(F.when(k.isNotNull() & (n > 1), n)), F.lit(0)).alias("_dups"),
-        F.coalesce(F.sum(F.when(k.isNull(), n)), F.lit(0)).alias("_nulls"))
-    pk = F.element_at(F.array(*[F.lit(r.rule == "primary_key") for r in rs]), F.col("_i") + 1)
-    v = F.col("_dups") + F.when(pk, F.col("_nulls")).otherwise(F.lit(0))
-    meta = F.element_at(F.array(*[_row(r, F.lit(0)) for r in rs]), F.col("_i") + 1)
-    return per_rule.select(meta.withField("violations", v.cast("bigint")).alias("r"))
+    per_key = df.groupBy(F.col(r.column).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    bad = k.isNotNull() & (n > 1)
+    if r.rule == "primary_key":
+        bad = bad | k.isNull()
+    return per_key.agg(F.coalesce(F.sum(F.when(bad, n)), F.lit(0)).alias("v"))
+
+
+def _row_check(r: Rule) -> F.Column:
+    """Rows of the table that break a rule on single rows."""
+    if r.rule == "max_length":
+        return F.count_if(F.coalesce(F.length(F.col(r.column)) > r.length, F.lit(False)))
+    return F.count_if(F.col(r.column).isNull())
 
 
 def audit(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     """One row per rule with its violation count.
 
-    Per table, all NULL-type rules (``not_null``, ``default``) are counted in
-    one aggregation pass and all key rules (``unique``, ``primary_key``) in
-    one shuffle; each foreign key is one anti join.
+    Per table, all rules on single rows (``not_null``, ``default``,
+    ``max_length``) are counted in one aggregation pass; each key rule
+    (``unique``, ``primary_key``) is one aggregate on the key, each foreign key
+    one anti join.
     """
     parts = []
-    null_rules: dict[str, list[Rule]] = {}
-    key_rules: dict[str, list[Rule]] = {}
+    row_rules: dict[str, list[Rule]] = {}
     for r in rules:
-        if r.rule in ("not_null", "default"):
-            null_rules.setdefault(r.table, []).append(r)
-        elif r.rule in ("unique", "primary_key"):
-            key_rules.setdefault(r.table, []).append(r)
+        if r.rule in ("not_null", "default", "max_length"):
+            row_rules.setdefault(r.table, []).append(r)
+            continue
+        if r.rule in ("unique", "primary_key"):
+            v = _key_violations(tables[r.table], r)
+        elif r.rule == "foreign_key":
+            v = orphan_count(tables[r.table], r.column, tables[r.ref_table], r.ref_column)
         else:
-            v = _violations(r, tables)
-            parts.append(v.select(F.explode(F.array(_row(r, F.col("v")))).alias("r")))
-    for table, rs in key_rules.items():
-        parts.append(_key_rules(tables[table], rs))
-    for table, rs in null_rules.items():
-        counts = tables[table].agg(*[F.count_if(F.col(r.column).isNull()).alias(f"v{i}")
-                                     for i, r in enumerate(rs)])
+            raise ValueError(f"unknown rule {r.rule}")
+        parts.append(v.select(F.explode(F.array(_row(r, F.col("v")))).alias("r")))
+    for table, rs in row_rules.items():
+        counts = tables[table].agg(*[_row_check(r).alias(f"v{i}") for i, r in enumerate(rs)])
         parts.append(counts.select(F.explode(F.array(
             *[_row(r, F.col(f"v{i}")) for i, r in enumerate(rs)])).alias("r")))
     out = reduce(DataFrame.unionByName, parts).select("r.*")

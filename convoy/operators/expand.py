@@ -1,11 +1,10 @@
 """Row expansion and proportional allocation.
 
 :func:`expand_range` turns a row with a count ``n`` into ``n`` rows numbered
-``0 .. n-1``. Ordinary rows are exploded in place. A row with more than
-``chunk`` numbers is expanded in two steps - first into chunks of at most
-``chunk`` numbers, which are hash-distributed, then each chunk into its
-numbers - so a single row with a very large ``n`` is spread over many tasks
-instead of being exploded inside one, and only such rows are shuffled.
+``0 .. n-1`` in two steps - first into chunks of at most ``chunk`` numbers,
+which are hash-distributed, then each chunk into its numbers - so a single row
+with a very large ``n`` is spread over many tasks instead of being exploded
+inside one.
 
 :func:`allocate` splits a group total over its members in proportion to a
 share column, using a group aggregate joined back (not a window), so a huge
@@ -22,20 +21,17 @@ DEFAULT_CHUNK = 4096
 
 def expand_range(df: DataFrame, n_col: str, out_col: str, keys: list[str],
                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """``keys`` identify the input row. Rows with ``n <= chunk`` are exploded
-    where they are (no shuffle); only rows with more numbers are split into
-    chunks that are redistributed by ``(keys, chunk number)`` first."""
+    """``keys`` identify the input row. Every row is cut into chunks of at most
+    ``chunk`` numbers, the chunks are dealt by ``(keys, chunk number)``, and each
+    is exploded where it lands."""
     n = F.col(n_col).cast("bigint")
-    small = (df.where((n > 0) & (n <= chunk))
-             .withColumn(out_col, F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))))
     n_chunks = F.floor((n + F.lit(chunk - 1)) / F.lit(chunk)).cast("bigint")
-    chunks = (df.where(n > chunk)
+    chunks = (df.where(n > 0)
               .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)))
               .repartition(*keys, "_c"))
     lo = F.col("_c") * F.lit(chunk)
     hi = F.least(lo + F.lit(chunk), n) - F.lit(1)
-    large = chunks.withColumn(out_col, F.explode(F.sequence(lo, hi))).drop("_c")
-    return small.unionByName(large)
+    return chunks.withColumn(out_col, F.explode(F.sequence(lo, hi))).drop("_c")
 
 
 def allocate(df: DataFrame, group: list[str], share: str, total: str, out: str,

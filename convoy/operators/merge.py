@@ -15,6 +15,9 @@ All of them are joins on the business key, so they shuffle by that key only.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +56,8 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, key: str, tracked: li
 
     ``dim`` has the snapshot columns plus ``surrogate``, ``valid_from``,
     ``valid_to``, ``is_current``; ``None`` starts a new dimension.
+    Columns are compared one by one, NULL equal to NULL. A second change on the
+    day a version was opened replaces that version in place.
     A change in a ``tracked`` column closes the current version and opens a
     new one; ``type1`` columns are overwritten in the current version
     without a new one (derived ratings, for example). Keys missing from the
@@ -60,7 +65,6 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, key: str, tracked: li
     """
     d = F.lit(batch_date).cast("date") if isinstance(batch_date, str) else batch_date
     attrs = [c for c in snapshot.columns if c != key]
-    h = lambda: F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in tracked])
 
     def opened(df: DataFrame) -> DataFrame:
         return df.select(
@@ -74,13 +78,12 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, key: str, tracked: li
     cols = dim.columns
     history = dim.where(~F.col("is_current"))
     current = dim.where(F.col("is_current"))
-    cur_h = current.select(key, h().alias("_h_old"))
-    snap_h = snapshot.withColumn("_h_new", h())
-    cmp = snap_h.join(cur_h, key, "full_outer")
-
-    changed_keys = cmp.where(F.col("_h_old").isNotNull() & F.col("_h_new").isNotNull()
-                             & (F.col("_h_old") != F.col("_h_new"))).select(key)
-    new_keys = cmp.where(F.col("_h_old").isNull()).select(key)
+    old = current.select(key, *[F.col(c).alias(f"_o_{c}") for c in tracked], F.lit(True).alias("_old"))
+    seen = snapshot.select(key, *[F.col(c).alias(f"_n_{c}") for c in tracked], F.lit(True).alias("_new"))
+    both = old.join(seen, key, "full_outer")
+    same = reduce(and_, [F.col(f"_o_{c}").eqNullSafe(F.col(f"_n_{c}")) for c in tracked], F.lit(True))
+    changed_keys = both.where(F.col("_old") & F.col("_new") & ~same).select(key)
+    new_keys = both.where(F.col("_old").isNull()).select(key)
 
     keep = current.join(changed_keys, key, "left_anti")
     if type1:
@@ -88,10 +91,17 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, key: str, tracked: li
         keep = keep.join(fresh, key, "left")
         for c in type1:
             keep = keep.withColumn(c, F.coalesce(F.col(f"_t1_{c}"), F.col(c))).drop(f"_t1_{c}")
-    closed = (current.join(changed_keys, key, "left_semi")
+    # a version opened on the batch date itself is replaced, not closed: it has
+    # no day of its own and would share its key with the new one
+    closed = (current.where(F.col("valid_from") < d).join(changed_keys, key, "left_semi")
               .withColumn("valid_to", d).withColumn("is_current", F.lit(False)))
     reopened = opened(snapshot.join(changed_keys.unionByName(new_keys), key, "left_semi"))
-    return (history.unionByName(keep).unionByName(closed.select(*cols))
+    if type1:  # a type 1 value that the snapshot doesn't have stays
+        last = current.select(key, *[F.col(c).alias(f"_t1_{c}") for c in type1])
+        reopened = reopened.join(last, key, "left")
+        for c in type1:
+            reopened = reopened.withColumn(c, F.coalesce(F.col(c), F.col(f"_t1_{c}"))).drop(f"_t1_{c}")
+    return (history.unionByName(keep.select(*cols)).unionByName(closed.select(*cols))
             .unionByName(reopened.select(*cols)))
 
 

@@ -58,6 +58,24 @@ FLEET_RULES: list[Rule] = [
     Rule("foreign_key", "maintenance", "vehicle_id", "vehicles", "vehicle_id"),
     Rule("not_null", "maintenance", "maintenance_date"),
     Rule("not_null", "maintenance", "maintenance_type"),
+    Rule("max_length", "vehicles", "license_plate", length=20),
+    Rule("max_length", "vehicles", "vehicle_type", length=50),
+    Rule("max_length", "vehicles", "fuel_type", length=20),
+    Rule("max_length", "vehicles", "status", length=20),
+    Rule("max_length", "drivers", "employee_code", length=20),
+    Rule("max_length", "drivers", "first_name", length=100),
+    Rule("max_length", "drivers", "last_name", length=100),
+    Rule("max_length", "drivers", "license_number", length=50),
+    Rule("max_length", "drivers", "phone", length=20),
+    Rule("max_length", "drivers", "status", length=20),
+    Rule("max_length", "routes", "route_code", length=20),
+    Rule("max_length", "routes", "origin_city", length=100),
+    Rule("max_length", "routes", "destination_city", length=100),
+    Rule("max_length", "trips", "status", length=20),
+    Rule("max_length", "deliveries", "tracking_number", length=50),
+    Rule("max_length", "deliveries", "customer_name", length=200),
+    Rule("max_length", "deliveries", "delivery_status", length=20),
+    Rule("max_length", "maintenance", "maintenance_type", length=50),
 ]
 
 

@@ -70,6 +70,13 @@ def _registry() -> dict[str, QueryFn]:
         "v_sales": _with_spark(WQ.v_sales),
         "v_operations": _with_spark(WQ.v_operations),
         "daily_run": _with_spark(WQ.daily_run),
+        "day_totals": _on_fleet(WQ.day_totals),
+        "two_day_run": _with_spark(WQ.two_day_run),
+        "two_day_customers": _with_spark(WQ.two_day_customers),
+        "two_day_drivers": _with_spark(WQ.two_day_drivers),
+        "fact_driver_versions": _with_spark(WQ.fact_driver_versions),
+        "stored_sales": _with_spark(WQ.stored_sales),
+        "stored_operations": _with_spark(WQ.stored_operations),
         # re-aimed generator work
         "vehicle_span_as_written": _on_fleet(S.vehicle_span_as_written),
         "vehicle_span": _on_fleet(S.vehicle_span),

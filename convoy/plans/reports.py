@@ -8,9 +8,8 @@ Scale notes (what each plan shuffles):
 
 * aggregations run partial (map-side) first, so a hot key collapses before
   the shuffle;
-* ``routes`` is a dimension of city pairs (``n * (n - 1)`` rows for ``n``
-  cities) and is broadcast; every other table is joined by shuffle or by the
-  runtime broadcast decision of AQE;
+* every join is left to AQE, which broadcasts a side whose measured size
+  allows it and shuffles otherwise;
 * where a report joins a per-row fact to a dimension only to group by a
   dimension attribute, the fact is first reduced by the join key (Q5, Q6,
   Q9, Q10), so the join sees one row per key instead of one per fact row;
@@ -60,7 +59,7 @@ def expiring_licenses(fleet: Fleet, as_of=DEFAULT_AS_OF, days: int = 30) -> Data
 
 # Q3 ---------------------------------------------------------------------
 def trips_by_city_status(fleet: Fleet) -> DataFrame:
-    r = F.broadcast(fleet.routes.select("route_id", "destination_city"))
+    r = fleet.routes.select("route_id", "destination_city")
     return (fleet.trips.join(r, "route_id")
             .groupBy("destination_city", "status")
             .agg(F.count("trip_id").alias("viajes"))
@@ -101,7 +100,7 @@ def driver_productivity(fleet: Fleet, as_of=DEFAULT_AS_OF, months: int = 6) -> D
         .select("delivery_id", "trip_id")
     t = fleet.trips.select("trip_id", "driver_id", "total_weight_kg", "fuel_consumed_liters")
     per_driver = (d.join(t, "trip_id").groupBy("driver_id")
-                  .agg(F.sum("delivery_id").alias("id_sum"), F.count("delivery_id").alias("n"),
+                  .agg(F.sum(F.col("delivery_id").cast("decimal(38,0)")).alias("id_sum"), F.count("delivery_id").alias("n"),
                        F.sum(F.col("total_weight_kg").cast("decimal(38,2)")).alias("kg"),
                        F.sum(F.col("fuel_consumed_liters").cast("decimal(38,2)")).alias("fuel")))
     return (per_driver.join(_named_drivers(fleet), "driver_id")
@@ -135,8 +134,8 @@ def driver_productivity_fixed(fleet: Fleet, as_of=DEFAULT_AS_OF, months: int = 6
 
 # Q7 ---------------------------------------------------------------------
 def top_fuel_routes(fleet: Fleet, k: int = 10) -> DataFrame:
-    r = F.broadcast(fleet.routes.select("route_id", "route_code", "origin_city",
-                                        "destination_city", "distance_km"))
+    r = fleet.routes.select("route_id", "route_code", "origin_city",
+                                        "destination_city", "distance_km")
     agg = (fleet.trips.select("route_id", "fuel_consumed_liters").join(r, "route_id")
            .groupBy("route_code", "origin_city", "destination_city")
            .agg(F.sum("distance_km").alias("km"), F.sum("fuel_consumed_liters").alias("fuel")))
@@ -166,7 +165,7 @@ def maintenance_cost_ratio(fleet: Fleet) -> DataFrame:
     per-(vehicle, type) maintenance totals (count, cost), the pair sums are
     sum_v km_v * m_vt and sum_v n_v * cost_vt.
     """
-    r = F.broadcast(fleet.routes.select("route_id", "distance_km"))
+    r = fleet.routes.select("route_id", "distance_km")
     per_vehicle = (fleet.trips.select("vehicle_id", "route_id").join(r, "route_id")
                    .groupBy("vehicle_id")
                    .agg(F.count(F.lit(1)).alias("n_trips"), F.sum("distance_km").alias("km")))
@@ -183,7 +182,7 @@ def maintenance_cost_ratio(fleet: Fleet) -> DataFrame:
 def maintenance_cost_ratio_fixed(fleet: Fleet) -> DataFrame:
     """Per vehicle type: maintenance cost per km driven (each trip and each
     maintenance counted once)."""
-    r = F.broadcast(fleet.routes.select("route_id", "distance_km"))
+    r = fleet.routes.select("route_id", "distance_km")
     v = fleet.vehicles.select("vehicle_id", "vehicle_type")
     km = (fleet.trips.select("vehicle_id", "route_id").join(r, "route_id")
           .groupBy("vehicle_id").agg(F.sum("distance_km").alias("km")))
@@ -200,7 +199,7 @@ def _driver_metrics(fleet: Fleet) -> DataFrame:
     """Per driver name: km per litre, mean deliveries per week, mean lateness
     of late deliveries (seconds). Inner join of the three, as the report."""
     names = _named_drivers(fleet).select("driver_id", "nombre")
-    r = F.broadcast(fleet.routes.select("route_id", "distance_km"))
+    r = fleet.routes.select("route_id", "distance_km")
     t = fleet.trips.select("trip_id", "driver_id", "route_id", "fuel_consumed_liters")
 
     # Trip measures are reduced per driver id before the names are joined.

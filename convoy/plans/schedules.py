@@ -159,8 +159,9 @@ def route_table(fleet: Fleet, hub: str | None = None, count: int | None = None)
                          F.explode(F.sequence(F.lit(1), (n - 1).cast("int"))).alias("step"))
     origins = origins.withColumn("di", (F.col("oi") + F.col("step")) % n)
     pairs = origins.join(idx.select(F.col("ci").alias("di"), F.col("city").alias("destination_city")), "di")
-    lookup = (fleet.routes.where(F.col("origin_city") < F.col("destination_city"))
-              .groupBy(F.col("origin_city").alias("a"), F.col("destination_city").alias("b"))
+    lookup = (fleet.routes.where(F.col("origin_city") != F.col("destination_city"))
+              .groupBy(F.least("origin_city", "destination_city").alias("a"),
+                       F.greatest("origin_city", "destination_city").alias("b"))
               .agg(F.min("distance_km").alias("base_km")))
     variants = F.when((F.col("origin_city") == hub_city) | (F.col("destination_city") == hub_city), 3) \
         .otherwise(2)
@@ -170,12 +171,13 @@ def route_table(fleet: Fleet, hub: str | None = None, count: int | None = None)
              .withColumn("variant", F.explode(F.sequence(F.lit(0), variants - 1))))
     km = F.coalesce(F.col("base_km"), F.lit(DEFAULT_PAIR_KM).cast("decimal(10,2)"))
     w = Window.orderBy("origin_city", "destination_city", "variant")
-    out = pairs.select(
-        C.zero_pad_code("R", F.row_number().over(w), 3).alias("route_code"),
+    if count is not None:  # the first ``count`` numbers, in order of the number
+        pairs = pairs.withColumn("number", F.row_number().over(w)).where(F.col("number") <= count)
+    else:
+        pairs = pairs.withColumn("number", F.row_number().over(w))
+    return pairs.select(
+        C.zero_pad_code("R", F.col("number"), 3).alias("route_code"),
         "origin_city", "destination_city", km.cast("decimal(10,2)").alias("distance_km"),
         C.round2(km.cast("double") / F.lit(float(ROUTE_AVG_SPEED_KMH))).cast("decimal(5,2)")
         .alias("estimated_duration_hours"),
         (F.floor(km / 100) * F.lit(TOLL_PER_100_KM)).cast("decimal(10,2)").alias("toll_cost"))
-    if count is not None:
-        out = out.orderBy("route_code").limit(count)
-    return out

@@ -5,33 +5,34 @@ Every step is a lazy DataFrame; :func:`run_daily` writes the results.
 Scale notes:
 
 * the extract filters deliveries on ``delivered_datetime`` before any join
-  (the bounds are scalar subqueries over the same column, computed once);
+  (the bounds are resolved first, so they reach the scan as literals);
 * drivers only test existence in the extract, so they join as a left semi
-  join; routes (bounded city pairs) are broadcast; vehicles and trips are
-  joined by key with AQE choosing broadcast at runtime when they are small;
+  join; all tables are joined by key with AQE choosing broadcast at runtime
+  when one is small;
 * deliveries per trip are a ``groupBy(trip_id)`` joined back (partial
   aggregation), not a window, so a trip with a huge number of rows never
   gathers in one task;
 * surrogate keys are ``xxhash64`` of the business key (and validity start) -
   no global row numbering;
-* facts are written partitioned by ``date_key`` with dynamic partition
-  overwrite, so re-running a day replaces that day only.
+* facts are written by batch and run, then ``date_key``: a batch adds to what
+  is stored and a rerun replaces its own batch only.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.functions import columns as C
 from convoy.operators.lineage import materialize
 from convoy.operators.merge import point_in_time, scd2_apply, surrogate_key
 from convoy.sources.fleet import Fleet
-from convoy.sources.sinks import stage_raw_json
+from convoy.sources.sinks import path_exists, stage_raw_json
 
 # Fixed values of the cost model of the source batch.
 FUEL_PRICE_PER_LITER = 5000
@@ -39,6 +40,12 @@ REVENUE_BASE = 20000
 REVENUE_PER_KG = 500
 MAX_PACKAGE_KG = 10000
 
+# Validity start of the versions of an initial load.
+INITIAL_VALID_FROM = "1900-01-01"
+
+# Fact rows of one batch for each file that a single day may be spread over.
+ROWS_A_FILE = 2_000_000
+
 # The labels the source's dimensional model declares.
 TIME_OF_DAY_LABELS = ("Madrugada", "Mañana", "Tarde", "Noche")
 SHIFT_LABELS = ("Turno 1", "Turno 2", "Turno 3")
@@ -56,6 +63,7 @@ DIFFICULTY_KM = (300, 700)            # Facil < 300 <= Medio < 700 <= Dificil
 CUSTOMER_CATEGORY_N = (3, 10)         # Ocasional < 3 <= Regular < 10 <= Premium
 PERFORMANCE_ON_TIME = (0.95, 0.85)    # Alto >= 0.95 > Medio >= 0.85 > Bajo
 
+# The columns of the source extract.
 EXTRACT_COLUMNS = [
     "vehicle_id", "driver_id", "route_id", "delivery_id", "trip_id", "tracking_number",
     "package_weight_kg", "distance_km", "fuel_consumed_liters", "delivered_datetime",
@@ -101,8 +109,8 @@ def extract(fleet: Fleet, start=None, end=None, last_day: bool = True) -> DataFr
     per_trip = d.groupBy("trip_id").agg(F.count(F.lit(1)).alias("deliveries_in_trip"))
     t = fleet.trips.select("trip_id", "vehicle_id", "driver_id", "route_id",
                            "fuel_consumed_liters", "departure_datetime", "arrival_datetime")
-    r = F.broadcast(fleet.routes.select("route_id", "distance_km", "estimated_duration_hours",
-                                        "toll_cost", "destination_city"))
+    r = fleet.routes.select("route_id", "distance_km", "estimated_duration_hours",
+                            "toll_cost", "destination_city")
     v = fleet.vehicles.select("vehicle_id", "license_plate")
     drivers = fleet.drivers.select("driver_id")
     x = (d.join(per_trip, "trip_id").join(t, "trip_id")
@@ -212,6 +220,8 @@ def on_time_rates(facts: DataFrame) -> DataFrame:
 
 
 def driver_snapshot(fleet: Fleet, as_of, rates: DataFrame | None = None) -> DataFrame:
+    """Driver attributes as of ``as_of``. The rating is NULL for a driver without
+    deliveries, so that a stored rating stays (see :func:`rated`)."""
     d = F.to_date(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
     base = fleet.drivers
     if rates is not None:
@@ -222,13 +232,19 @@ def driver_snapshot(fleet: Fleet, as_of, rates: DataFrame | None = None) -> Data
     rate = F.col("on_time_rate")
     alto, medio, bajo = PERFORMANCE_LABELS
     category = (F.when(rate >= hi, alto).when(rate >= mid, medio)
-                .when(rate.isNotNull(), bajo).otherwise(medio))
+                .when(rate.isNotNull(), bajo))
     return base.select("driver_id", "employee_code", C.full_name().alias("full_name"),
                        "license_number", "license_expiry", "phone", "hire_date",
                        _months(d, F.col("hire_date")).alias("experience_months"), "status",
                        category.alias("performance_category"))
 
 
+def rated(drivers: DataFrame) -> DataFrame:
+    """Drivers never rated yet get the middle label."""
+    return drivers.withColumn("performance_category", F.coalesce(
+        "performance_category", F.lit(PERFORMANCE_LABELS[1])))
+
+
 def dim_route(fleet: Fleet) -> DataFrame:
     km = F.col("distance_km")
     u, i = ROUTE_TYPE_KM
@@ -264,8 +280,8 @@ def customer_rows(facts: DataFrame) -> DataFrame:
 
 
 def merge_customers(current: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Insert new customers; for known ones add the batch's deliveries and
-    re-derive the category (first date and city stay)."""
+    """Insert new customers; for known ones add the batch's newly loaded
+    deliveries, keep the least first date and re-derive the category (the city stays)."""
     if current is None:
         return batch
     b = batch.select("customer_name", F.col("total_deliveries").alias("_add"),
@@ -277,7 +293,7 @@ def merge_customers(current: DataFrame | None, batch: DataFrame) -> DataFrame:
         F.coalesce("customer_key", "_key").alias("customer_key"), "customer_name",
         F.coalesce("customer_type", F.lit(DEFAULT_CUSTOMER_TYPE)).alias("customer_type"),
         F.coalesce("city", "_city").alias("city"),
-        F.coalesce("first_delivery_date", "_first").alias("first_delivery_date"),
+        F.least("first_delivery_date", "_first").alias("first_delivery_date"),
         n.cast("int").alias("total_deliveries"),
         _customer_category(n).alias("customer_category"))
 
@@ -298,6 +314,13 @@ def dim_date_from(facts: DataFrame, holidays: DataFrame | None = None) -> DataFr
     return _calendar(days, holidays)
 
 
+def dim_date_of_keys(keys: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """Calendar from the first to the last ``date_key`` of ``keys``."""
+    day = lambda c: F.to_date(c.cast("string"), "yyyyMMdd")
+    span = keys.agg(day(F.min("date_key")).alias("s"), day(F.max("date_key")).alias("e"))
+    return _calendar(span.select(F.explode(F.sequence("s", "e")).alias("full_date")), holidays)
+
+
 def _calendar(days: DataFrame, holidays: DataFrame | None) -> DataFrame:
     d = F.col("full_date")
     out = days.select(
@@ -382,10 +405,6 @@ def daily_totals(fact: DataFrame, date_key: int | None = None, batch_id: str = "
         F.count(k["driver"]).alias("total_drivers"),
         F.count(k["route"]).alias("total_routes"),
         F.count(k["customer"]).alias("total_customers"),
-        F.count_distinct(k["vehicle"]).alias("total_vehicles_distinct"),
-        F.count_distinct(k["driver"]).alias("total_drivers_distinct"),
-        F.count_distinct(k["route"]).alias("total_routes_distinct"),
-        F.count_distinct(k["customer"]).alias("total_customers_distinct"),
         C.dsum("package_weight_kg").alias("total_package_weight_kg"),
         C.dsum("distance_km").alias("total_distance_km"),
         C.dsum("fuel_consumed_liters").alias("total_fuel_consumed_liters"),
@@ -403,9 +422,20 @@ def daily_totals(fact: DataFrame, date_key: int | None = None, batch_id: str = "
     upd = (F.current_date() if date_update is None else F.lit(date_update).cast("date"))
     head = [upd.alias("date_update"), F.lit(str(batch_id)).alias("etl_batch_id")]
     if date_key is not None:
-        return fact.where(F.col("date_key") == date_key).agg(*aggs) \
-            .select(*head, F.lit(date_key).alias("date_key"), "*")
-    return fact.groupBy("date_key").agg(*aggs).select(*head, "*")
+        fact = fact.where(F.col("date_key") == date_key)
+    sums = fact.groupBy("date_key").agg(*aggs)
+    if date_key is not None:  # one row also for an empty day
+        sums = fact.agg(*aggs).select(F.lit(date_key).alias("date_key"), "*")
+    # exact distincts: the distinct (day, key) pairs of each key, counted by day
+    for name in ("vehicle", "driver", "route", "customer"):
+        n = (fact.groupBy("date_key", k[name]).agg(F.lit(1).alias("_"))
+             .groupBy("date_key").agg(F.count(k[name]).alias(f"total_{name}s_distinct")))
+        sums = sums.join(n, "date_key", "left").withColumn(
+            f"total_{name}s_distinct", F.coalesce(f"total_{name}s_distinct", F.lit(0)))
+    counts = [f"total_{x}" for x in ("deliveries", "vehicles", "drivers", "routes", "customers")]
+    distinct = [f"{c}_distinct" for c in counts[1:]]
+    rest = [c for c in sums.columns if c not in ("date_key", *counts, *distinct)]
+    return sums.select(*head, "date_key", *counts, *distinct, *rest)
 
 
 # Role views ----------------------------------------------------------------
@@ -453,117 +483,147 @@ def build(spark: SparkSession, fleet: Fleet, as_of, batch_id: int = 1,
           start=None, end=None, last_day: bool = True,
           prev_vehicle: DataFrame | None = None, prev_driver: DataFrame | None = None,
           prev_customer: DataFrame | None = None, etl_ts=None,
-          keep_measured: bool = False) -> Warehouse:
+          keep_measured: bool = False, stored: DataFrame | None = None) -> Warehouse:
     """Plan one batch: dimensions are merged into the previous versions
     (``None`` = initial load), validity starts at the batch date.
 
     The fact rows feed five consumers (keys, customers, ratings, calendar
     span, first date) and are written once. With ``keep_measured`` the whole
     measured extract (also the rejects) is written once instead, for a run
-    that also lands the raw rows and counts them.
+    that also lands the raw rows and counts them. ``stored`` holds the facts that
+    other batches loaded: their deliveries are not loaded (or counted) again, and
+    drivers are rated over all facts.
     """
     m = measured(extract(fleet, start, end, last_day))
     if keep_measured:
         m = materialize(m)
     acc, rej = split_measured(m)
-    facts = fact_rows(acc) if keep_measured else materialize(fact_rows(acc))
+    facts = fact_rows(acc)
+    rates = on_time_rates(facts)
+    if stored is not None:
+        # days that this batch touches prune the stored partitions
+        facts = facts.join(stored.select("date_key", "delivery_id"), ["date_key", "delivery_id"], "left_anti")
+    if stored is not None or not keep_measured:
+        facts = materialize(facts)
+    if stored is not None and prev_driver is not None:
+        known = stored.join(prev_driver.select("driver_key", "driver_id"), "driver_key")
+        rates = on_time_rates(known.select("driver_id", "is_on_time")
+                              .unionByName(facts.select("driver_id", "is_on_time")))
     batch_date = F.to_date(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
-    if prev_vehicle is None and prev_driver is None:
-        # Initial load: open every version from the earliest fact date so
-        # every fact finds the version valid on its scheduled date.
-        first = facts.select(F.min(F.to_date("scheduled_datetime"))).scalar()
-        start_date = F.least(F.coalesce(first, batch_date), batch_date)
-    else:
-        start_date = batch_date
+    # The initial load opens every version at the beginning of time, so that a
+    # fact finds one however late (and from however far back) it arrives.
+    initial = prev_vehicle is None and prev_driver is None
+    start_date = F.lit(INITIAL_VALID_FROM).cast("date") if initial else batch_date
     dv = scd2_apply(prev_vehicle, vehicle_snapshot(fleet, as_of), "vehicle_id",
                     ["license_plate", "vehicle_type", "capacity_kg", "fuel_type", "status"],
                     start_date, "vehicle_key", type1=["age_months", "last_maintenance_date"])
     # The rating is derived from each batch's deliveries: overwritten in the
     # current version (type 1) instead of opening a version per batch.
-    dd = scd2_apply(prev_driver, driver_snapshot(fleet, as_of, on_time_rates(facts)), "driver_id",
+    dd = scd2_apply(prev_driver, driver_snapshot(fleet, as_of, rates), "driver_id",
                     ["employee_code", "full_name", "license_number", "license_expiry", "phone",
                      "status"], start_date, "driver_key",
                     type1=["performance_category", "experience_months"])
+    dd = rated(dd)
     dr = dim_route(fleet)
     dc = merge_customers(prev_customer, customer_rows(facts))
-    ddate = dim_date_from(facts)
+    days = facts.select("date_key")
+    ddate = dim_date_from(facts) if stored is None else dim_date_of_keys(days.union(stored.select("date_key")))
     dt = dim_time(spark)
     fd = keyed_facts(facts, dv, dd, dr, dc, batch_id, etl_ts)
     return Warehouse(m, facts, rej, dv, dd, dr, dc, ddate, dt, fd)
 
 
 # L17-L18: the daily run ---------------------------------------------------
+DIMENSIONS = ("dim_vehicle", "dim_driver", "dim_customer", "dim_route", "dim_date", "dim_time")
+
+
 def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
               start=None, end=None, last_day: bool = True) -> dict:
     """Extract, transform, load dimensions and facts, roll up the day.
 
-    Layout under ``out``: ``raw-data/staging_daily_load/batch=..`` (the
-    extracted rows as VARIANT with their load time), ``fact_deliveries/date_key=..``
-    (dynamic partition overwrite: a rerun of the same day replaces it), dimensions as versioned
-    folders ``dim_x/batch=<id>`` (readers take the newest complete one),
-    ``daily_totals/date_key=..`` and ``etl_metrics``. Loads are skipped when
-    the extract is empty; totals still run (one row per day, as the source).
+    Every table lies under ``out`` in ``<table>/batch=<id>/run=<attempt>``:
+    ``raw-data/staging_daily_load`` (the extracted rows as VARIANT with their load
+    time), ``fact_deliveries`` (then ``date_key=..``) and the dimensions. A run
+    writes into folders of its own; its ``etl_metrics/batch=<id>`` row, written
+    last and naming the run, puts all of them into effect at once. A run that
+    breaks off leaves nothing that :func:`stored` shows, and a rerun replaces the
+    batch's earlier run, nothing else.
+
+    A batch adds the deliveries that no other batch has loaded; earlier facts
+    stay. Loads are skipped when the extract is empty; totals still run (one row
+    per day, as the source).
     """
     t0 = time.time()
-    out = out.rstrip("/")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    prev = {n: _latest(spark, f"{out}/{n}", batch_id)
-            for n in ("dim_vehicle", "dim_driver", "dim_customer")}
+    out, run = out.rstrip("/"), f"run{uuid.uuid4().hex}"
+    have = stored(spark, out, but=batch_id)
+    before = stored(spark, out, before=batch_id)
     wh = build(spark, fleet, as_of, batch_id, start, end, last_day,
-               prev["dim_vehicle"], prev["dim_driver"], prev["dim_customer"], keep_measured=True)
-    obs_t = Observation("loaded")
-    # Observed above the range exchange: the exchange's sampling pass must
-    # not be counted as loaded rows.
-    facts = (wh.fact_deliveries.repartitionByRange("date_key", "delivery_id")
-             .observe(obs_t, F.count(F.lit(1)).alias("records_loaded")))
+               before.get("dim_vehicle"), before.get("dim_driver"), before.get("dim_customer"),
+               keep_measured=True, stored=have.get("fact_deliveries"))
     counts = wh.measured.agg(F.count(F.lit(1)).alias("n"),
                              F.count_if(F.col("reject_reason").isNull()).alias("ok")).first()
     extracted_n, transformed_n = counts["n"], counts["ok"]
+    loaded, unknown, fact_all = 0, 0, have.get("fact_deliveries")
     if extracted_n:
         # raw zone: the extracted rows as they arrived (VARIANT + load time)
         raw = stage_raw_json(
             wh.measured.select(F.to_json(F.struct(*EXTRACT_COLUMNS)).alias("raw")), "raw")
-        raw.write.mode("overwrite").parquet(f"{out}/raw-data/staging_daily_load/batch={batch_id}")
-        for name, df in (("dim_vehicle", wh.dim_vehicle), ("dim_driver", wh.dim_driver),
-                         ("dim_customer", wh.dim_customer), ("dim_route", wh.dim_route),
-                         ("dim_date", wh.dim_date)):
-            df.write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
-        # Range-partition on (date_key, delivery_id): each task writes a
-        # contiguous run of days (few files), and a very large day is still
-        # split over several tasks.
-        facts.write.mode("overwrite").partitionBy("date_key").parquet(f"{out}/fact_deliveries")
-        loaded = obs_t.get.get("records_loaded", 0)
-    else:
-        loaded = 0
+        raw.write.parquet(f"{out}/raw-data/staging_daily_load/batch={batch_id}/run={run}")
+        for name in DIMENSIONS:
+            getattr(wh, name).write.parquet(f"{out}/{name}/batch={batch_id}/run={run}")
+        # hash on the day and a salt that follows the batch's size: few files a
+        # day, and a very large day is still written by several tasks
+        mine = f"{out}/fact_deliveries/batch={batch_id}/run={run}"
+        salt = F.pmod(F.xxhash64("delivery_id"), F.lit(1 + transformed_n // ROWS_A_FILE))
+        (wh.fact_deliveries.repartition("date_key", salt)
+         .write.partitionBy("date_key").parquet(mine))
+        facts = spark.read.schema(wh.fact_deliveries.schema).parquet(mine)
+        seen = facts.agg(F.count(F.lit(1)).alias("n"), F.count_if(
+            (F.col("vehicle_key") == -1) | (F.col("driver_key") == -1)
+            | (F.col("route_key") == -1) | (F.col("customer_key") == -1)).alias("unknown")).first()
+        loaded, unknown = seen["n"], seen["unknown"]
+        fact_all = facts if fact_all is None else fact_all.unionByName(facts)
     day_key = spark.range(1).select(
         C.yyyymmdd(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)).first()[0]
-    fact_path = f"{out}/fact_deliveries"
-    fact_all = spark.read.parquet(fact_path) if _exists(spark, fact_path) else wh.fact_deliveries.limit(0)
-    totals = daily_totals(fact_all, date_key=day_key, batch_id=str(batch_id))
-    totals.write.mode("overwrite").partitionBy("date_key").parquet(f"{out}/daily_totals")
+    totals = daily_totals(wh.fact_deliveries.limit(0) if fact_all is None else fact_all,
+                          date_key=day_key, batch_id=str(batch_id))
+    (totals.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+     .partitionBy("date_key").parquet(f"{out}/daily_totals"))
     metrics = {"batch_id": batch_id, "records_extracted": int(extracted_n),
                "records_transformed": int(transformed_n),
-               "records_loaded": int(loaded), "errors": 0,
+               "records_loaded": int(loaded), "errors": int(unknown),
                "duration_s": round(time.time() - t0, 3)}
-    spark.createDataFrame([metrics]).write.mode("append").json(f"{out}/etl_metrics")
+    row = dict(metrics, run=run, has_data=bool(extracted_n))
+    spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").json(f"{out}/etl_metrics/batch={batch_id}")
     return metrics
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
-        return False
-
-
-def _latest(spark: SparkSession, path: str, before_batch: int) -> DataFrame | None:
-    """Newest version of a versioned dimension folder written by an earlier
-    batch (so re-running a batch merges into the same base again)."""
-    if not _exists(spark, path):
-        return None
-    df = spark.read.parquet(path).where(F.col("batch") < before_batch)
-    newest = df.select(F.max("batch")).first()[0]
-    if newest is None:
-        return None
-    return df.where(F.col("batch") == newest).drop("batch")
+def stored(spark: SparkSession, out: str, but: int | None = None,
+           before: int | None = None) -> dict[str, DataFrame]:
+    """The tables in effect under ``out``: ``fact_deliveries`` of all complete
+    batches, and each dimension as its newest complete batch left it. ``but``
+    leaves a batch out, ``before`` that batch and all later ones."""
+    out = out.rstrip("/")
+    if not path_exists(spark, f"{out}/etl_metrics"):
+        return {}
+    # a row a batch
+    marks = sorted((r["batch"], r["run"]) for r in
+                   spark.read.json(f"{out}/etl_metrics").where("has_data").select("batch", "run").collect()
+                   if r["batch"] != but and (before is None or r["batch"] < before))
+    if not marks:
+        return {}
+    runs = [r for _, r in marks]
+    tables = {"fact_deliveries": spark.read.parquet(f"{out}/fact_deliveries")
+              .where(F.col("run").isin(runs)).drop("batch", "run")}
+    batch, run = marks[-1]
+    for name in DIMENSIONS:
+        tables[name] = spark.read.parquet(f"{out}/{name}/batch={batch}/run={run}")
+    return tables
+
+
+def stored_views(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """Both role views over the stored tables."""
+    t = stored(spark, out)
+    return {"v_sales": v_sales(t["fact_deliveries"], t["dim_date"], t["dim_customer"]),
+            "v_operations": v_operations(t["fact_deliveries"], *[t[n] for n in (
+                "dim_date", "dim_time", "dim_vehicle", "dim_driver", "dim_route", "dim_customer")])}

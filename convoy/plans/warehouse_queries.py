@@ -9,6 +9,8 @@ with an SQL engine that hashes differently.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,9 +62,9 @@ def dim_vehicle(fleet: Fleet) -> DataFrame:
 
 def dim_driver(fleet: Fleet) -> DataFrame:
     snap = W.driver_snapshot(fleet, DEFAULT_AS_OF, W.on_time_rates(backfill_facts(fleet)))
-    return scd2_apply(None, snap, "driver_id", ["employee_code", "full_name", "status"],
-                      BATCH_DATE, "driver_key",
-                      type1=["performance_category", "experience_months"]).drop("driver_key")
+    return W.rated(scd2_apply(None, snap, "driver_id", ["employee_code", "full_name", "status"],
+                              BATCH_DATE, "driver_key",
+                              type1=["performance_category", "experience_months"])).drop("driver_key")
 
 
 def dim_route(fleet: Fleet) -> DataFrame:
@@ -112,16 +114,90 @@ def v_operations(spark: SparkSession, fleet: Fleet) -> DataFrame:
                           wh.dim_driver, wh.dim_route, wh.dim_customer)
 
 
+def _folder(spark: SparkSession) -> str:
+    import uuid
+
+    from convoy.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/convoy-warehouse-{uuid.uuid4().hex}"
+
+
+KEYS = ("delivery_key", "vehicle_key", "driver_key", "route_key", "customer_key")
+
+
 def daily_run(spark: SparkSession, fleet: Fleet) -> DataFrame:
     """End-to-end daily batch as the source runs it (last-day window) into a
     fresh folder under the shared checkpoint folder: dimensions, facts,
     totals and metrics are written; the loaded fact table is read back
     (without the hash keys and the load timestamp)."""
-    import uuid
-
-    from convoy.session import checkpoint_dir
-    out = f"{checkpoint_dir(spark).rstrip('/')}/convoy-warehouse-{uuid.uuid4().hex}"
+    out = _folder(spark)
     W.run_daily(spark, fleet, out, DEFAULT_AS_OF, batch_id=1)
-    facts = spark.read.parquet(f"{out}/fact_deliveries")
-    return facts.drop("delivery_key", "vehicle_key", "driver_key", "route_key", "customer_key",
-                      "etl_timestamp")
+    return W.stored(spark, out)["fact_deliveries"].drop(*KEYS, "etl_timestamp")
+
+
+#: Delivered-time windows and clocks of two batches. The second begins half a day
+#: before the first ends, so deliveries come again, and late ones fall on days
+#: that the first has loaded.
+WINDOWS = [("1990-01-01 00:00:00", "1998-07-01 00:00:00", "1998-07-01 00:00:00"),
+           ("1998-06-30 12:00:00", "2030-01-01 00:00:00", "2000-01-01 00:00:00")]
+
+
+def second_day(fleet: Fleet) -> Fleet:
+    """The fleet as the second batch sees it: the status of every seventh driver
+    has changed, and drivers whose id leaves 5 on division by 50 are renamed."""
+    flip = F.when(F.col("status") == "active", "inactive").otherwise("active")
+    d = fleet.drivers.withColumn("status", F.when(F.col("driver_id") % 7 == 0, flip).otherwise(F.col("status")))
+    d = d.withColumn("last_name", F.when(F.col("driver_id") % 50 == 5, "Renamed").otherwise(F.col("last_name")))
+    return replace(fleet, drivers=d)
+
+
+_STORED: dict[str, str] = {}
+
+
+def _two_batches(spark: SparkSession, fleet: Fleet) -> str:
+    """Folder of a warehouse after both batches; run once for each set of fleet
+    tables, then read by every query over it."""
+    key = min(fleet.trips.inputFiles())
+    if key not in _STORED:
+        out = _folder(spark)
+        for i, (start, end, as_of) in enumerate(WINDOWS):
+            W.run_daily(spark, second_day(fleet) if i else fleet, out, as_of, i + 1, start, end)
+        _STORED[key] = out
+    return _STORED[key]
+
+
+def two_day_run(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    """The facts stored after two batches with overlapping windows."""
+    return W.stored(spark, _two_batches(spark, fleet))["fact_deliveries"].drop(*KEYS, "etl_timestamp")
+
+
+def two_day_customers(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    """The customer dimension that the second batch merged into the first one's."""
+    return W.stored(spark, _two_batches(spark, fleet))["dim_customer"].drop("customer_key")
+
+
+def two_day_drivers(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    """The driver dimension after a second batch with changed, renamed and idle drivers."""
+    return W.stored(spark, _two_batches(spark, fleet))["dim_driver"].drop("driver_key")
+
+
+def fact_driver_versions(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    """Which version of its driver each stored fact meets (point-in-time key)."""
+    t = W.stored(spark, _two_batches(spark, fleet))
+    v = t["dim_driver"].select("driver_key", "driver_id", "full_name", "status", "valid_from", "valid_to")
+    f = t["fact_deliveries"].select("delivery_id", "date_key", "driver_key")
+    return f.join(v, "driver_key", "left").drop("driver_key")
+
+
+def stored_sales(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    return W.stored_views(spark, _two_batches(spark, fleet))["v_sales"]
+
+
+def stored_operations(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    return W.stored_views(spark, _two_batches(spark, fleet))["v_operations"]
+
+
+def day_totals(fleet: Fleet) -> DataFrame:
+    """Single-day totals as the source asks for them: a day with facts, and one without."""
+    facts = backfill_facts(fleet)
+    day = lambda k: W.daily_totals(facts, date_key=k, batch_id="1", date_update=BATCH_DATE, keys=NATURAL_KEYS)
+    return day(19970615).unionByName(day(20300101))

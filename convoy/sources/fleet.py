@@ -168,7 +168,7 @@ def fleet_from_tpch(spark: SparkSession, sf_dir: str) -> Fleet:
     ).withColumn("rn", F.row_number().over(w))
     t = trips.select("trip_id", "route_id", "departure_datetime", "arrival_datetime")
     r = routes.select("route_id", "destination_city")
-    x = lines.join(t, lines.l_orderkey == t.trip_id).join(F.broadcast(r), "route_id")
+    x = lines.join(t, lines.l_orderkey == t.trip_id).join(r, "route_id")
     did = F.col("l_orderkey") * 100 + F.col("rn")
     late_min = F.when(F.col("l_partkey") % 10 == 0,
                       F.lit(60) + (F.col("l_orderkey") + F.col("l_suppkey")) % 121) \

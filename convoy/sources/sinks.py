@@ -38,14 +38,17 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
         want = [(f.name, f.dataType) for f in expected.fields]
         if got != want:
             raise SchemaMismatch(f"columns {got} differ from declared {want}")
-    try:
+    if path_exists(spark, path):
         existing = spark.read.parquet(path).schema
-    except Exception:  # noqa: BLE001 - no table yet
-        existing = None
-    if existing is not None:
         names = [f.name for f in existing.fields]
         if sorted(names) != sorted(df.columns):
             raise SchemaMismatch(f"{path}: table has {names}, batch has {df.columns}")
+        # partition columns come back with the type their folder names suggest
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        other = [(f.name, f.dataType, kinds[f.name]) for f in existing.fields
+                 if f.dataType != kinds[f.name] and f.name not in (partition_by or [])]
+        if other:
+            raise SchemaMismatch(f"{path}: types differ (column, table, batch): {other}")
         df = df.select(*names)
     w = df.write.mode("append")
     if partition_by:
@@ -53,6 +56,12 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
     w.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, asked of its own file system; any other failure is raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def write_summary_json(summary: DataFrame, path: str) -> None:
     """Write a one-row summary (e.g. :func:`convoy.plans.quality.summary_json`)."""
     summary.coalesce(1).write.mode("overwrite").text(path)

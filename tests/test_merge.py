@@ -62,3 +62,17 @@ def test_scd2_type1_columns_overwrite_in_place(spark):
     assert rows == [(1, "active", "Medio", True),          # rating updated, no new version
                     (2, "active", "Bajo", False),          # status change closes the old version
                     (2, "inactive", "Alto", True)]
+
+
+def test_second_change_on_one_day_replaces_the_version(spark):
+    schema = "driver_id bigint, status string"
+    rows = lambda s: spark.createDataFrame([(1, s)], schema)
+    stored = lambda d: spark.createDataFrame(d.collect(), d.schema)
+    d = stored(scd2_apply(None, rows("a"), "driver_id", ["status"], "2001-07-01", "k"))
+    d = stored(scd2_apply(d, rows("b"), "driver_id", ["status"], "2001-08-01", "k"))
+    d = stored(scd2_apply(d, rows("c"), "driver_id", ["status"], "2001-08-01", "k"))
+    got = sorted((r.status, str(r.valid_from), r.is_current) for r in d.collect())
+    assert got == [("a", "2001-07-01", False), ("c", "2001-08-01", True)]
+    assert d.select("k").distinct().count() == 2
+    d = stored(scd2_apply(d, spark.createDataFrame([(1, None)], schema), "driver_id", ["status"], "2001-09-01", "k"))
+    assert scd2_apply(d, spark.createDataFrame([(1, None)], schema), "driver_id", ["status"], "2001-10-01", "k").count() == 3

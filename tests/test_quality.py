@@ -36,3 +36,14 @@ def test_rule_audit_and_defaults(spark):
     assert got == {"primary_key": 3, "unique": 0, "not_null": 1, "default": 1, "foreign_key": 1}
     filled = apply_defaults(df, "t", rules)
     assert filled.where("status is null").count() == 0
+
+
+def test_every_rule_has_a_row_on_empty_tables(spark):
+    df = spark.createDataFrame([], "id int, code string")
+    rules = [Rule("primary_key", "t", "id"), Rule("unique", "t", "code"), Rule("not_null", "t", "code"),
+             Rule("max_length", "t", "code", length=3), Rule("foreign_key", "t", "id", "t", "id")]
+    got = {r.rule: (r.violations, r.ok) for r in audit({"t": df}, rules).collect()}
+    assert got == dict.fromkeys([r.rule for r in rules], (0, True))
+    rows = spark.createDataFrame([(1, "four"), (1, None), (None, "é23")], "id int, code string")
+    assert {r.rule: r.violations for r in audit({"t": rows}, rules).collect()} == {
+        "primary_key": 3, "unique": 0, "not_null": 1, "max_length": 1, "foreign_key": 0}

@@ -49,3 +49,11 @@ def test_route_table_pairs_and_codes(spark):
     assert by_pair[("C", "A")].distance_km == D("500.00")        # missing pair -> default
     assert by_pair[("C", "B")].toll_cost == D("30000.00")        # floor(250/100) * 15000
     assert S.route_table(f, count=5).count() == 5
+
+
+def test_route_table_reverse_only_and_numeric_cap(spark):
+    f = make_fleet(spark, routes=[(1, "R1", "Z", "A", D("250.00"), D("2"), D("0"))])
+    assert {r.distance_km for r in S.route_table(f).collect()} == {D("250.00")}
+    many = make_fleet(spark, routes=[(i, f"R{i}", "A", f"C{i:02d}", D("100.00"), D("1"), D("0")) for i in range(24)])
+    got = sorted(int(r.route_code[1:]) for r in S.route_table(many, count=200).collect())
+    assert got == list(range(1, 201))

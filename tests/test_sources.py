@@ -73,3 +73,15 @@ def test_dim_time_and_dim_date(spark):
     assert rows[20010720].is_holiday and rows[20010720].holiday_name == "Independencia"
     assert rows[20010721].is_weekend and rows[20010721].day_of_week == 6
     assert not rows[20010719].is_holiday
+
+
+def test_append_rejects_another_type(spark, tmp_dir):
+    import pytest
+
+    from convoy.sources.sinks import SchemaMismatch, append_table
+    path = f"{tmp_dir}/typed"
+    append_table(spark.createDataFrame([(1, "a")], "n int, s string"), path)
+    append_table(spark.createDataFrame([("b", 2)], "s string, n int"), path)
+    with pytest.raises(SchemaMismatch):
+        append_table(spark.createDataFrame([("3", "c")], "n string, s string"), path)
+    assert spark.read.parquet(path).count() == 2
