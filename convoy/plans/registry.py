@@ -90,6 +90,8 @@ def _registry() -> dict[str, QueryFn]:
         "route_deviation": SQ.route_deviation,
         "deviation_alerts": SQ.deviation_alerts,
         "stream_deviation_alerts": SQ.stream_deviation_alerts,
+        "stream_delivery_verification": SQ.stream_delivery_verification,
+        "stream_vehicle_tracking": SQ.stream_vehicle_tracking,
         "latest_ping_per_vehicle": SQ.latest_ping_per_vehicle,
         # sources and sinks
         "staging_variant": SRC.staging_variant,

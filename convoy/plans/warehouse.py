@@ -14,7 +14,7 @@ Scale notes:
   gathers in one task;
 * surrogate keys are ``xxhash64`` of the business key (and validity start) -
   no global row numbering;
-* facts are written by batch and run, then ``date_key``: a batch adds to what
+* facts are written by batch and run, then month: a batch adds to what
   is stored and a rerun replaces its own batch only.
 """
 
@@ -43,7 +43,7 @@ MAX_PACKAGE_KG = 10000
 # Validity start of the versions of an initial load.
 INITIAL_VALID_FROM = "1900-01-01"
 
-# Fact rows of one batch for each file that a single day may be spread over.
+# Fact rows of one batch for each file that a single month may be spread over.
 ROWS_A_FILE = 2_000_000
 
 # The labels the source's dimensional model declares.
@@ -501,7 +501,6 @@ def build(spark: SparkSession, fleet: Fleet, as_of, batch_id: int = 1,
     facts = fact_rows(acc)
     rates = on_time_rates(facts)
     if stored is not None:
-        # days that this batch touches prune the stored partitions
         facts = facts.join(stored.select("date_key", "delivery_id"), ["date_key", "delivery_id"], "left_anti")
     if stored is not None or not keep_measured:
         facts = materialize(facts)
@@ -543,7 +542,7 @@ def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
 
     Every table lies under ``out`` in ``<table>/batch=<id>/run=<attempt>``:
     ``raw-data/staging_daily_load`` (the extracted rows as VARIANT with their load
-    time), ``fact_deliveries`` (then ``date_key=..``) and the dimensions. A run
+    time), ``fact_deliveries`` (then ``month_key=..``) and the dimensions. A run
     writes into folders of its own; its ``etl_metrics/batch=<id>`` row, written
     last and naming the run, puts all of them into effect at once. A run that
     breaks off leaves nothing that :func:`stored` shows, and a rerun replaces the
@@ -571,13 +570,14 @@ def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
         raw.write.parquet(f"{out}/raw-data/staging_daily_load/batch={batch_id}/run={run}")
         for name in DIMENSIONS:
             getattr(wh, name).write.parquet(f"{out}/{name}/batch={batch_id}/run={run}")
-        # hash on the day and a salt that follows the batch's size: few files a
-        # day, and a very large day is still written by several tasks
+        # hash on the month and a salt that follows the batch's size: few files,
+        # a very large month is still written by several tasks, and rows in order
+        # of the day let a day's filter skip row groups
         mine = f"{out}/fact_deliveries/batch={batch_id}/run={run}"
         salt = F.pmod(F.xxhash64("delivery_id"), F.lit(1 + transformed_n // ROWS_A_FILE))
-        (wh.fact_deliveries.repartition("date_key", salt)
-         .write.partitionBy("date_key").parquet(mine))
-        facts = spark.read.schema(wh.fact_deliveries.schema).parquet(mine)
+        (wh.fact_deliveries.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int")).repartition("month_key", salt)
+         .sortWithinPartitions("month_key", "date_key").write.partitionBy("month_key").parquet(mine))
+        facts = spark.read.parquet(mine).drop("month_key")
         seen = facts.agg(F.count(F.lit(1)).alias("n"), F.count_if(
             (F.col("vehicle_key") == -1) | (F.col("driver_key") == -1)
             | (F.col("route_key") == -1) | (F.col("customer_key") == -1)).alias("unknown")).first()
@@ -614,7 +614,7 @@ def stored(spark: SparkSession, out: str, but: int | None = None,
         return {}
     runs = [r for _, r in marks]
     tables = {"fact_deliveries": spark.read.parquet(f"{out}/fact_deliveries")
-              .where(F.col("run").isin(runs)).drop("batch", "run")}
+              .where(F.col("run").isin(runs)).drop("batch", "run", "month_key")}
     batch, run = marks[-1]
     for name in DIMENSIONS:
         tables[name] = spark.read.parquet(f"{out}/{name}/batch={batch}/run={run}")

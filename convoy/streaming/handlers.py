@@ -22,6 +22,9 @@ from convoy.plans.warehouse import pd_round
 # Fixed values of the source handlers' responses.
 ERROR_MISSING_DELIVERY_ID = "delivery_id es requerido"
 ERROR_DELIVERY_NOT_FOUND = "Entrega no encontrada"
+ERROR_MISSING_FIELDS = "Faltan parámetros requeridos"
+ERROR_ROUTE_NOT_FOUND = "Ruta no encontrada"
+NO_ETA = "No disponible"
 ALERT_TYPE = "ROUTE_DEVIATION"
 
 
@@ -94,10 +97,30 @@ def route_deviation(pings: DataFrame, waypoints: DataFrame) -> DataFrame:
         F.when(ok, dist > C.DEVIATION_THRESHOLD_KM).alias("is_deviated"))
 
 
-def deviation_alerts(checked: DataFrame) -> DataFrame:
-    """Alert rows (the alert history item / message of the source)."""
+def eta_body(etas: DataFrame) -> DataFrame:
+    """``event_id, body``: the JSON answer to each ETA request."""
+    error = F.to_json(F.struct(F.lit(ERROR_MISSING_FIELDS).alias("error")))
+    ok = F.to_json(F.struct(
+        "vehicle_id", "distance_remaining_km", F.coalesce(C.iso_text("eta"), F.lit(NO_ETA)).alias("eta"),
+        "estimated_minutes"), {"ignoreNullFields": "false"})
+    return etas.select("event_id", F.when(F.col("status_code") == 200, ok).otherwise(error).alias("body"))
+
+
+def deviation_body(checked: DataFrame) -> DataFrame:
+    """``event_id, body``: the JSON answer to each deviation check."""
+    error = lambda text: F.to_json(F.struct(F.lit(text).alias("error")))
+    ok = F.to_json(F.struct(
+        "vehicle_id", "is_deviated", "deviation_km", F.col("is_deviated").alias("alert_sent"),
+        F.lit(int(C.DEVIATION_THRESHOLD_KM)).alias("threshold_km")))
+    code = F.col("status_code")
+    return checked.select("event_id", F.when(code == 400, error(ERROR_MISSING_FIELDS))
+                          .when(code == 404, error(ERROR_ROUTE_NOT_FOUND)).otherwise(ok).alias("body"))
+
+
+def deviation_alerts(checked: DataFrame, *more: str) -> DataFrame:
+    """Alert rows (the alert history item / message of the source), with the columns ``more``."""
     return checked.where(F.col("is_deviated")).select(
-        "vehicle_id", "driver_id", "route_id", "deviation_km", "current_location",
+        *more, "vehicle_id", "driver_id", "route_id", "deviation_km", "current_location",
         F.col("ts").alias("timestamp"), F.lit(ALERT_TYPE).alias("alert_type"))
 
 

@@ -78,7 +78,8 @@ def vehicle_tracking(pings: DataFrame, out: str, checkpoint: str,
         if latest_only:
             batch = latest_per_key(batch.withColumn("_o", F.struct("ts", "event_id")),
                                    ["vehicle_id"], "_o").drop("_o")
-        _write_batch(H.vehicle_eta(batch), out, batch_id)
+        # only valid events are stored, as the source does
+        _write_batch(H.vehicle_eta(batch).where("status_code = 200"), out, batch_id)
     w = (_maybe_dedupe(pings, dedupe_delay).writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
@@ -89,10 +90,11 @@ def route_deviation_alerts(pings: DataFrame, waypoints: DataFrame, alerts_out: s
                            trigger: str | None = None, dedupe_delay: str | None = None
                            ) -> StreamingQuery:
     def each(batch: DataFrame, batch_id: int) -> None:
-        alerts = H.deviation_alerts(H.route_deviation(batch, waypoints)).persist()
+        alerts = H.deviation_alerts(H.route_deviation(batch, waypoints), "event_id").persist()
         try:
+            # the event id says which of two writes of one key in a batch is the later
             _write_batch(alerts, alerts_out, batch_id)
-            _write_batch(H.alert_messages(alerts), messages_out, batch_id)
+            _write_batch(H.alert_messages(alerts.drop("event_id")), messages_out, batch_id)
         finally:
             alerts.unpersist()
     w = (_maybe_dedupe(pings, dedupe_delay).writeStream.foreachBatch(each)
@@ -100,8 +102,10 @@ def route_deviation_alerts(pings: DataFrame, waypoints: DataFrame, alerts_out: s
     return _trigger(w, trigger).start()
 
 
-def read_keyed(spark: SparkSession, path: str, keys: list[str], order_col: str = "batch_id"
+def read_keyed(spark: SparkSession, path: str, keys: list[str], order: tuple[str, ...] = ("batch_id", "event_id")
                ) -> DataFrame:
-    """Keyed table written by the batch sinks: newest write per key wins."""
+    """Keyed table written by the batch sinks: the newest write of a key wins, by
+    micro-batch and then by event id (whichever of the two are stored)."""
     df = spark.read.parquet(path)
-    return latest_per_key(df, keys, order_col).drop(order_col)
+    have = [c for c in order if c in df.columns]
+    return latest_per_key(df.withColumn("_order", F.struct(*have)), keys, "_order").drop("_order", "batch_id")

@@ -58,7 +58,28 @@ def stream_deviation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  f"{base}/messages", f"{base}/_checkpoint",
                                  trigger="availableNow")
     q.awaitTermination()
-    return flat_points(spark.read.parquet(f"{base}/alerts").drop("batch_id"))
+    return flat_points(spark.read.parquet(f"{base}/alerts").drop("batch_id", "event_id"))
+
+
+def stream_delivery_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the marks as files and run the verification stream over them."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/convoy-stream-{uuid.uuid4().hex}"
+    EV.write_event_files(EV.delivery_marks(spark, sf_dir), f"{base}/marks")
+    status = EV.delivery_status(cached_fleet(spark, sf_dir))
+    J.delivery_verification(EV.read_event_stream(spark, f"{base}/marks", "marks"), status, f"{base}/out",
+                            f"{base}/_checkpoint", trigger="availableNow").awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("body")
+
+
+def stream_vehicle_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the pings and, once more, a retry of all of them; run the tracking
+    stream and read its table by key: one row for each vehicle and time."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/convoy-stream-{uuid.uuid4().hex}"
+    for _ in range(2):
+        EV.write_event_files(EV.gps_pings(spark, sf_dir), f"{base}/pings")
+    J.vehicle_tracking(EV.read_event_stream(spark, f"{base}/pings", "gps", max_files_per_trigger=4), f"{base}/out",
+                       f"{base}/_checkpoint", trigger="availableNow", latest_only=False).awaitTermination()
+    return flat_points(J.read_keyed(spark, f"{base}/out", ["vehicle_id", "ts"]))
 
 
 def latest_ping_per_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:

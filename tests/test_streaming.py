@@ -108,3 +108,22 @@ def test_eta_latest_position_per_vehicle(spark, tmp_dir):
     got = {r.vehicle_id: r.ts for r in spark.read.parquet(out).collect()}
     want = {r.vehicle_id: r.ts for r in pings.groupBy("vehicle_id").agg(F.max("ts").alias("ts")).collect()}
     assert got == want
+
+
+def test_response_bodies(spark):
+    import json
+
+    from convoy.streaming import handlers as H
+    etas = spark.sql("""select 1L event_id, 7L vehicle_id, 200 status_code, 12.5D distance_remaining_km,
+        timestamp_ntz'2001-08-01 10:30:00' eta, 15L estimated_minutes
+        union all select 2, 7, 200, 3.0, null, null union all select 3, null, 400, null, null, null""")
+    got = {r.event_id: json.loads(r.body) for r in H.eta_body(etas).collect()}
+    assert got[1] == {"vehicle_id": 7, "distance_remaining_km": 12.5, "eta": got[1]["eta"], "estimated_minutes": 15}
+    assert got[1]["eta"].startswith("2001-08-01T10:30:00")
+    assert got[2] == {"vehicle_id": 7, "distance_remaining_km": 3.0, "eta": H.NO_ETA, "estimated_minutes": None}
+    assert got[3] == {"error": H.ERROR_MISSING_FIELDS}
+    checked = spark.sql("""select 1L event_id, 7L vehicle_id, 200 status_code, 6.25D deviation_km, true is_deviated
+        union all select 2, 7, 404, null, null union all select 3, null, 400, null, null""")
+    got = {r.event_id: json.loads(r.body) for r in H.deviation_body(checked).collect()}
+    assert got[1] == {"vehicle_id": 7, "is_deviated": True, "deviation_km": 6.25, "alert_sent": True, "threshold_km": 5}
+    assert got[2] == {"error": H.ERROR_ROUTE_NOT_FOUND} and got[3] == {"error": H.ERROR_MISSING_FIELDS}
