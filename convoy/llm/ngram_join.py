@@ -39,13 +39,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import byte_slices, lean, parts, release, scratch, sorted_groups, split_words
+from convoy.llm.common import byte_slices, lean, pack, parts, release, scratch, sorted_groups, split_words, unpack
 from convoy.llm.components import connected_components
 
 MIX1, MIX2, STEP = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 S33 = np.uint64(33)
 #: Nodes of one candidate group that meet in a single block.
 BLOCK = 1024
+#: Signatures that one group should receive.
+SHARD_SIGNATURES, LEAST_SHARDS = 2_000_000, 8
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -164,21 +166,43 @@ def features(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
     return rows.mapInArrow(lean(run), "doc_id long, text_hash long, n_shingles long, key long, sigs array<long>")
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From ``(sig, key)`` in order: each other key of a signature with its least key."""
-    sig0, key0 = None, 0
-    for b in batches:
-        sig, key = (b.column(c).to_numpy() for c in ("sig", "key"))
-        if not len(sig):
-            continue
-        new = np.r_[sig0 is None or sig[0] != sig0, sig[1:] != sig[:-1]]
-        at = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
-        least = np.where(at >= 0, key[at], key0)
-        sig0, key0 = sig[-1], least[-1]
-        other = np.flatnonzero(key != least)
-        if len(other):
-            pairs = np.unique(np.stack([least[other], key[other]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+def _deal(shards: int):
+    """``(sigs, key)`` rows as packed blocks ``(shard, n, body)``: of a signature
+    the shard takes some bits, and 40 more travel. Two that fall together by
+    chance only make a candidate more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("sigs")
+            sig = lists.flatten().to_numpy().view(np.uint64)
+            key = np.repeat(b.column("key").to_numpy(), np.diff(lists.offsets.to_numpy()))
+            if not len(sig):
+                continue
+            shard = (sig >> np.uint64(40)) % np.uint64(shards)
+            order = np.lexsort((sig & np.uint64(0xFF_FFFF_FFFF), shard))
+            sig, key, shard = sig[order], key[order], shard[order]
+            cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
+            rows = []
+            for i in range(shards):
+                k = slice(cuts[i], cuts[i + 1])
+                if cuts[i + 1] > cuts[i]:
+                    low = (sig[k] >> np.uint64(32) & np.uint64(255)).astype(np.uint8), sig[k].astype(np.uint32)
+                    rows.append((i, len(key[k]), pack(*low, key[k])))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), pa.int32(), pa.binary()])], names=["shard", "n", "body"])
+
+    return run
+
+
+def _stars(key: tuple, table: pa.Table) -> pa.Table:
+    """In a shard, each other node of a signature with its least node."""
+    got = [unpack(z, n, ["u1", "<u4", "<i8"]) for n, z in zip(table.column("n").to_pylist(), table.column("body").to_pylist())]
+    high, low, node = (np.concatenate(c) for c in zip(*got))
+    sig = high.astype(np.uint64) << np.uint64(32) | low
+    order = np.lexsort((node, sig))
+    sig, node = sig[order], node[order]
+    first = np.maximum.accumulate(np.where(np.r_[True, sig[1:] != sig[:-1]], np.arange(len(sig)), 0))
+    other = np.flatnonzero(node != node[first])
+    pairs = np.unique(np.stack([node[first[other]], node[other]], 1), axis=0)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
 def linked(small: list[np.ndarray], large: list[np.ndarray], percent: int, same: bool) -> Iterator[tuple[int, np.ndarray]]:
@@ -261,9 +285,10 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
     named = feats.filter("key is not null")
     nodes = named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
 
-    sigs = named.select(F.explode("sigs").alias("sig"), "key")
-    sigs = sigs.repartition(width_, "sig").sortWithinPartitions("sig", "key")
-    group = connected_components(sigs.mapInArrow(lean(_stars), "a long, b long").distinct())
+    total = named.agg(F.sum(F.size("sigs"))).first()[0] or 0
+    shards = max(LEAST_SHARDS, -(-total // SHARD_SIGNATURES))
+    sigs = named.select("sigs", "key").mapInArrow(lean(_deal(shards)), "shard int, n int, body binary")
+    group = connected_components(sigs.groupBy("shard").applyInArrow(_stars, "a long, b long").distinct())
     group.write.parquet(f"{path}/groups")
     del sigs, group
     release(spark)

@@ -37,11 +37,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import byte_slices, lean, release, scratch
+from convoy.llm.common import byte_slices, lean, pack, release, scratch, unpack
 from convoy.llm.ngram_join import STEP, mix
 
 Q = 16
@@ -91,21 +90,6 @@ def anchors(buf: np.ndarray, start: np.ndarray, end: np.ndarray, length: int) ->
     return at, np.searchsorted(start, at, side="right") - 1
 
 
-def _pack(*cols: np.ndarray) -> bytes:
-    """Columns byte plane by byte plane, compressed."""
-    raw = b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in cols)
-    return zstandard.ZstdCompressor(level=1).compress(raw)
-
-
-def _unpack(z: bytes, n: int, kinds: list[str]) -> list[np.ndarray]:
-    raw, out, at = np.frombuffer(zstandard.ZstdDecompressor().decompress(z), np.uint8), [], 0
-    for k in kinds:
-        w = np.dtype(k).itemsize
-        out.append(np.ascontiguousarray(raw[at:at + n * w].reshape(w, n).T).reshape(-1).view(k))
-        at += n * w
-    return out
-
-
 KINDS = ["<u4", "<u8", "<i8", "<i8", "<u4"]  # anchor, surroundings, doc, row, position
 
 
@@ -166,14 +150,14 @@ def _anchor_blobs(length: int, shards: int):
                 order, least = _first_of([ctx], doc)
                 keep = np.zeros(len(at), bool)
                 keep[order] = doc[order] == least
-                rows = [(-1 - int(rid[~keep][0]) % shards, int((~keep).sum()), _pack(rid[~keep], pos[~keep]))] if not keep.all() else []
+                rows = [(-1 - int(rid[~keep][0]) % shards, int((~keep).sum()), pack(rid[~keep], pos[~keep]))] if not keep.all() else []
                 at = np.flatnonzero(keep)
                 at = at[np.argsort(shard[at], kind="stable")]
                 cuts = np.searchsorted(shard[at], np.arange(shards + 1, dtype=np.uint64))
                 for i in range(shards):
                     k = at[cuts[i]:cuts[i + 1]]
                     if len(k):
-                        rows.append((i, len(k), _pack(h[k], ctx[k], doc[k], rid[k], pos[k])))
+                        rows.append((i, len(k), pack(h[k], ctx[k], doc[k], rid[k], pos[k])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int32(), pa.int32(), pa.binary()])], names=["shard", "n", "body"])
 
     return run
@@ -183,9 +167,9 @@ def _match(key: tuple, table: pa.Table) -> pa.Table:
     """Anchors of one shard: settled positions, and open ones of anchors with several surroundings."""
     shard, n, body = key[0].as_py(), table.column("n").to_pylist(), table.column("body").to_pylist()
     if shard < 0:
-        rid, pos = (np.concatenate(c) for c in zip(*(_unpack(z, k, ["<i8", "<u4"]) for k, z in zip(n, body))))
+        rid, pos = (np.concatenate(c) for c in zip(*(unpack(z, k, ["<i8", "<u4"]) for k, z in zip(n, body))))
         return pa.Table.from_batches(list(_by_row(rid, np.ones(len(rid), bool), pos, pos, 0)), schema=_SCHEMA)
-    h, ctx, doc, rid, pos = (np.concatenate(c) for c in zip(*(_unpack(z, k, KINDS) for k, z in zip(n, body))))
+    h, ctx, doc, rid, pos = (np.concatenate(c) for c in zip(*(unpack(z, k, KINDS) for k, z in zip(n, body))))
     order, least = _first_of([h, ctx], doc)
     h, ctx, doc, rid, pos = h[order], ctx[order], doc[order], rid[order], pos[order]
     full = doc > least
@@ -227,7 +211,7 @@ def _suffix_blobs(length: int, shards: int):
                 for i in range(shards):
                     k = order[cuts[i]:cuts[i + 1]]
                     if len(k):
-                        rows.append((i, len(k), _pack(h[k], doc[k], rid[k], pos[k].astype(np.uint32)), buf[at[k][:, None] + span].tobytes()))
+                        rows.append((i, len(k), pack(h[k], doc[k], rid[k], pos[k].astype(np.uint32)), buf[at[k][:, None] + span].tobytes()))
                 kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["shard", "n", "body", "bytes"])
 
@@ -267,7 +251,7 @@ def _sort_suffixes(length: int):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         n, body = table.column("n").to_pylist(), table.column("body").to_pylist()
-        h, doc, rid, pos = (np.concatenate(c) for c in zip(*(_unpack(z, k, ["<i8", "<i8", "<i8", "<u4"]) for k, z in zip(n, body))))
+        h, doc, rid, pos = (np.concatenate(c) for c in zip(*(unpack(z, k, ["<i8", "<i8", "<i8", "<u4"]) for k, z in zip(n, body))))
         raw = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, wide)
         order = np.argsort(h, kind="stable")
         cuts = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1], True]) if len(h) else np.zeros(1, np.int64)
