@@ -75,11 +75,12 @@ def vehicle_tracking(pings: DataFrame, out: str, checkpoint: str,
     """Every 5 minutes, the ETA of each vehicle from its newest position in
     the interval (``latest_only=False``: an ETA for every ping)."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        if latest_only:
-            batch = latest_per_key(batch.withColumn("_o", F.struct("ts", "event_id")),
-                                   ["vehicle_id"], "_o").drop("_o")
         # only valid events are stored, as the source does
-        _write_batch(H.vehicle_eta(batch).where("status_code = 200"), out, batch_id)
+        etas = H.vehicle_eta(batch).where("status_code = 200")
+        if latest_only:
+            etas = latest_per_key(etas.withColumn("_o", F.struct("ts", "event_id")),
+                                  ["vehicle_id"], "_o").drop("_o")
+        _write_batch(etas, out, batch_id)
     w = (_maybe_dedupe(pings, dedupe_delay).writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
