@@ -14,8 +14,10 @@ A text's set holds its distinct ``n``-word shingles. Two sets link when
   No link is lost.
 * Equal sets collapse to one node first (minimum per set fingerprint, combined
   on the map side). Nodes that share a signature are joined to the least node of
-  that signature, never to each other; connected candidates form blocks, and in
-  each pair of blocks all intersections are counted exactly.
+  that signature, never to each other. Connected candidates are parted again by
+  histograms of their elements (which bound the difference from below, so no
+  link is lost); what is left forms blocks, and in each pair of blocks all
+  intersections are counted exactly.
 
 The result has a row for each input row: its class is the least ``doc_id``
 reachable by links. Sets are compared by 64-bit shingle hashes, nodes by a
@@ -46,6 +48,8 @@ MIX1, MIX2, STEP = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53),
 S33 = np.uint64(33)
 #: Nodes of one candidate group that meet in a single block.
 BLOCK = 1024
+#: Cells of the histogram that tells sets apart before their texts are fetched.
+CELL_BITS = 6
 #: Signatures that one group should receive.
 SHARD_SIGNATURES, LEAST_SHARDS = 2_000_000, 8
 
@@ -108,6 +112,12 @@ def fingerprint(s: np.ndarray) -> int:
     return int(mix(np.array([mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
 
 
+def histogram(s: np.ndarray) -> bytes:
+    """How many elements fall into each of CELLS cells of the domain: two sets
+    differ in at least the sum of the differences of the counts."""
+    return np.bincount((mix(s + MIX1) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS).astype("<u4").tobytes()
+
+
 def signatures(sets: list[np.ndarray], bands: Bands) -> list[np.ndarray]:
     """PartEnum signatures (int64) of every set; all partitions of all sets in one sweep."""
     jobs = [(d, b) for d, s in enumerate(sets) if len(s) for b in bands.of(len(s))]
@@ -140,7 +150,7 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> list[np.ndarray]:
 
 
 def features(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, key, sigs`` of every row. Of equal sets
+    """``doc_id, text_hash, n_shingles, key, cells, sigs`` of every row. Of equal sets
     that one task meets, the first alone carries its signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,12 +168,12 @@ def features(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
                     seen.clear()
                 sigs = signatures(emit, bands)
                 yield pa.RecordBatch.from_arrays([
-                    own.column("doc_id"), own.column("text_hash"), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.int64()),
+                    own.column("doc_id"), own.column("text_hash"), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array([histogram(x) for x in sets], pa.binary()),
                     pa.ListArray.from_arrays(np.cumsum([0, *map(len, sigs)]).astype(np.int32), np.concatenate(sigs) if sigs else np.zeros(0, np.int64))],
-                    names=["doc_id", "text_hash", "n_shingles", "key", "sigs"])
+                    names=["doc_id", "text_hash", "n_shingles", "key", "cells", "sigs"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(lean(run), "doc_id long, text_hash long, n_shingles long, key long, sigs array<long>")
+    return rows.mapInArrow(lean(run), "doc_id long, text_hash long, n_shingles long, key long, cells binary, sigs array<long>")
 
 
 def _deal(shards: int):
@@ -227,6 +237,29 @@ def linked(small: list[np.ndarray], large: list[np.ndarray], percent: int, same:
             yield i, hit + from_
 
 
+def _plausible(percent: int):
+    """Within a pair of blocks, edges that connect all sets whose histograms don't rule a link out."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in sorted_groups(batches, ["root", "i", "j"]):
+            cells = np.frombuffer(b"".join(g["cells"]), "<u4").reshape(len(g), -1).astype(np.int32)
+            node, block, size = g["node"].to_numpy(), g["block"].to_numpy(), cells.sum(1, dtype=np.int64)
+            left, right = np.flatnonzero(block == g["i"].iloc[0]), np.flatnonzero(block == g["j"].iloc[0])
+            label, out = np.arange(len(g)), []
+            for x in left:
+                ys = right[right > x] if g["i"].iloc[0] == g["j"].iloc[0] else right
+                ys = ys[label[ys] != label[x]]
+                apart = np.abs(cells[ys] - cells[x]).sum(1, dtype=np.int64)
+                ys = ys[apart * (100 + percent) <= (100 - percent) * (size[ys] + size[x])]
+                other, first = np.unique(label[ys], return_index=True)
+                for o, y in zip(other, ys[first]):
+                    out.append((node[x], node[y]))
+                    label[label == o] = label[x]
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b"])
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in sorted_groups(batches, ["root", "i", "j"]):
@@ -275,6 +308,14 @@ def _blocks(n: int):
     return run
 
 
+def _block_pairs(group: DataFrame) -> DataFrame:
+    """Members of each group once for each pair of blocks they take part in: ``root, i, j, block, node``."""
+    size = group.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    rows = group.join(size, "root").withColumn("block", F.pmod("node", "blocks"))
+    rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return rows.select("root", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "node")
+
+
 def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) -> DataFrame:
     """``doc_id, text_hash, n_shingles, key, component_id, n_links`` for each row
     of ``docs(doc_id, text)``; ``n_links`` counts the rows it links with."""
@@ -283,7 +324,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
     features(docs, n, bands).write.parquet(f"{path}/features")
     feats = spark.read.parquet(f"{path}/features")
     named = feats.filter("key is not null")
-    nodes = named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    nodes = named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("cells").alias("cells"))
 
     total = named.agg(F.sum(F.size("sigs"))).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-total // SHARD_SIGNATURES))
@@ -293,6 +334,11 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
     del sigs, group
     release(spark)
     group = spark.read.parquet(f"{path}/groups")
+    pairs = _block_pairs(group).join(nodes.select(F.col("key").alias("node"), "cells"), "node")
+    pairs = pairs.repartition(width_, "root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
+    group = connected_components(pairs.mapInPandas(lean(_plausible(percent)), "a long, b long"))
+    group.write.parquet(f"{path}/plausible")
+    group = spark.read.parquet(f"{path}/plausible")
     size = group.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     members = group.join(size, "root").join(nodes, group["node"] == nodes["key"]).select("root", "node", "blocks", "copies", "rep")
     texts = members.join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep").drop("rep")
@@ -310,6 +356,6 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
     info = nodes.join(of, "key", "left").join(count, "key", "left").select(
         "key", F.coalesce("component_id", "rep").alias("component_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return feats.drop("sigs").join(info, "key", "left").select(
+    return feats.drop("sigs", "cells").join(info, "key", "left").select(
         "doc_id", "text_hash", "n_shingles", "key", F.coalesce("component_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
