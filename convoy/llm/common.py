@@ -155,9 +155,14 @@ def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished steps now: it does so when
     the driver's garbage is collected, which may be long after."""
     import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    import time
+
+    # twice: what the first round frees in Python is dropped in the JVM a moment
+    # later, and Spark's cleaner works in a thread of its own
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def pack(*cols: np.ndarray) -> bytes:
