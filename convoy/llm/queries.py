@@ -33,7 +33,7 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", crc_mod("doc_id", 10) == 0)
-    return lm.score(docs).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return lm.score(docs, keep=1).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
