@@ -20,7 +20,8 @@ A text's set holds its distinct ``n``-word shingles. Two sets link when
   intersections are counted exactly.
 
 The result has a row for each input row: its class is the least ``doc_id``
-reachable by links. Sets are compared by 64-bit shingle hashes, nodes by a
+reachable by links, its group the ``root`` (the least node), which tells classes
+without an id apart. Sets are compared by 64-bit shingle hashes, nodes by a
 64-bit fingerprint of the whole set.
 
 Defined results: A-Z are lower-cased; with fewer than ``n`` words the whole
@@ -38,7 +39,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convoy.llm.common import byte_slices, lean, pack, parts, release, scratch, sorted_groups, split_words, unpack
@@ -297,7 +298,7 @@ def _blocks(n: int):
                 out = []
                 for root, node, nb, copies, x in zip(*cols.values(), shingle_sets(own.column("text"), n)):
                     if fingerprint(x) != node:
-                        continue  # another text under the same id
+                        continue  # another text of the same hash
                     block = node % nb
                     out += [(root, min(block, o), max(block, o), block, node, copies, x.tobytes()) for o in range(nb)]
                 if out:
@@ -316,15 +317,22 @@ def _block_pairs(group: DataFrame) -> DataFrame:
     return rows.select("root", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "node")
 
 
+def row_key(doc_id: Column, text_hash: Column) -> Column:
+    """Key of all rows of the same id (or none) and text."""
+    return F.xxhash64(doc_id, text_hash)
+
+
 def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, key, component_id, n_links`` for each row
+    """``doc_id, text_hash, n_shingles, key, component_id, n_links, root`` for each row
     of ``docs(doc_id, text)``; ``n_links`` counts the rows it links with."""
     spark, bands = docs.sparkSession, Bands(percent, width)
     path, width_ = scratch(spark, "ngram-join"), parts(docs)
     features(docs, n, bands).write.parquet(f"{path}/features")
     feats = spark.read.parquet(f"{path}/features")
     named = feats.filter("key is not null")
-    nodes = named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("cells").alias("cells"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    nodes = named.groupBy("key").agg(F.min(first).alias("first"), F.count("*").alias("copies"), F.min("cells").alias("cells"))
+    nodes = nodes.withColumn("rep", F.col("first.doc_id")).withColumn("row", row_key(F.col("rep"), F.col("first.text_hash"))).drop("first")
 
     total = named.agg(F.sum(F.size("sigs"))).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-total // SHARD_SIGNATURES))
@@ -340,8 +348,9 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
     group.write.parquet(f"{path}/plausible")
     group = spark.read.parquet(f"{path}/plausible")
     size = group.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    members = group.join(size, "root").join(nodes, group["node"] == nodes["key"]).select("root", "node", "blocks", "copies", "rep")
-    texts = members.join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep").drop("rep")
+    members = group.join(size, "root").join(nodes, group["node"] == nodes["key"]).select("root", "node", "blocks", "copies", "row")
+    # one text for each node, also if its row is repeated or has no id
+    texts = members.join(docs.select(row_key(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("row"), "text"), "row").dropDuplicates(["row"]).drop("row")
     one = texts.mapInArrow(lean(_blocks(n)), "root long, i long, j long, block long, node long, copies long, shingles binary")
     one = one.repartition(width_, "root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
     one.mapInPandas(lean(_verify(percent)), "a long, b long, links long").write.parquet(f"{path}/links")
@@ -351,11 +360,11 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
 
     found = connected_components(links.filter("a <> b").select("a", "b"))
     low = found.join(nodes, found["node"] == nodes["key"]).groupBy("root").agg(F.min("rep").alias("component_id"))
-    of = found.join(low, "root").select(F.col("node").alias("key"), "component_id")
+    of = found.join(low, "root").select(F.col("node").alias("key"), "component_id", "root")
     count = links.filter("a = b").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
     info = nodes.join(of, "key", "left").join(count, "key", "left").select(
         "key", F.coalesce("component_id", "rep").alias("component_id"),
-        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "key").alias("root"))
     return feats.drop("sigs", "cells").join(info, "key", "left").select(
         "doc_id", "text_hash", "n_shingles", "key", F.coalesce("component_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), "root")

@@ -77,3 +77,11 @@ def test_null_ids_and_empty_table(spark):
     got = sorted((r.doc_id is None, r.component_id, r.n_links) for r in J.join(spark.createDataFrame(rows, schema)).filter("n_shingles > 0").collect())
     assert got == [(False, 7, 2), (False, 7, 2), (True, 7, 2)]
     assert J.join(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_links_of_rows_without_an_id_and_of_repeated_rows(spark):
+    w = [f"w{i}" for i in range(60)]
+    texts = [" ".join(w), " ".join([*w[:-1], "x"])]
+    rows = [(None, texts[0]), (None, texts[1]), (4, texts[0].replace("w", "v")), (4, texts[0].replace("w", "v")), (5, texts[1].replace("w", "v")), (4, "unlike all that")]
+    got = {(r.doc_id, r.n_shingles > 3, r.component_id, r.n_links) for r in J.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {(None, True, None, 1), (4, True, 4, 2), (5, True, 4, 2), (4, False, 4, 0)}
