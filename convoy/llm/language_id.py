@@ -115,17 +115,22 @@ def infer(m: Model, g: np.ndarray) -> tuple[int, float]:
     best = int(alone.argmax())
     chosen, level, w = [best], float(alone[best]), np.ones(1)
     cost = m.penalty * np.log(max(len(g), 2))
-    if len(m.langs) > 1:
-        # a language can only join if somewhere it explains much better than the best one
-        room = (np.maximum(logp - logp[best], 0) @ count)
-        rivals = [int(i) for i in np.argsort(-room) if i != best and room[i] > cost]
-        while rivals:
-            tries = [(shares(logp[chosen + [r]], count, m.rounds), r) for r in rivals[:4]]
-            (w2, reach), r = max(tries, key=lambda t: t[0][1])
-            if reach - level <= cost:
+    rivals = [i for i in range(len(m.langs)) if i != best]
+    while rivals:
+        # no mixture explains an n-gram better than its best member: a bound of the gain
+        room = np.maximum(logp[rivals], logp[chosen].max(0)) @ count - level
+        gain, join = cost, None
+        for k in np.argsort(-room, kind="stable"):
+            if room[k] <= gain:
                 break
-            chosen, level, w = chosen + [r], reach, w2
-            rivals.remove(r)
+            w2, reach = shares(logp[chosen + [rivals[k]]], count, m.rounds)
+            if reach - level > gain:
+                gain, join = reach - level, (rivals[k], reach, w2)
+        if join is None:
+            break
+        r, level, w = join
+        chosen.append(r)
+        rivals.remove(r)
     k = int(w.argmax())
     # the share, times the posterior of the language against those left out
     rest = np.delete(alone, chosen)

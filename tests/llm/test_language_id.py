@@ -45,3 +45,15 @@ def test_grams_do_not_cross_texts():
     a, n = I.grams([b"abcdef", b"", b"ab"], 4, 16)
     one = [I.grams([t], 4, 16)[0].tolist() for t in (b"abcdef", b"", b"ab")]
     assert a.tolist() == sum(one, []) and n.tolist() == [len(x) for x in one]
+
+
+def test_a_language_behind_four_others_joins():
+    """Five rivals of more room but little gain stand before the one that belongs."""
+    p = np.full((7, 100), -9.0)
+    p[0] = -3.0
+    for k in range(1, 6):
+        p[k, [(7 * j + 11 * k) % 92 for j in range(50)]] = -2.0
+    p[6, 92:] = 3.0
+    m = I.Model([f"l{k}" for k in range(7)], p.astype(np.float32), 4, 16)
+    k, score = I.infer(m, np.arange(100))
+    assert k == 0 and 0.85 < score < 0.97
