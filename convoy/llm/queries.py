@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.session import configure
-from convoy.llm import ann, decontaminate, fuzzy_lines, language_id, lm, mixing, ngram_join, suffix_dedup, token_files, toxicity
+from convoy.llm import ann, decontaminate, filter_audit, fuzzy_lines, language_id, lm, mixing, ngram_join, suffix_dedup, token_files, toxicity
 from convoy.llm.common import crc_mod, importable, table
 
 
@@ -69,6 +69,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +83,7 @@ def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _run(q) for q in [
     op1_toxicity, op2_ngram_join, op3_ann, op4_lm_scoring, op5_mixing, op6_suffix_dedup, op7_fuzzy_lines, op8_decontamination, op9_token_files, op10_language_id,
+    op11_filter_audit,
 ]}
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
@@ -95,4 +100,31 @@ size AS (SELECT id, count(*) AS n FROM s WHERE item = 1 GROUP BY id)
 SELECT d.id AS doc_id, b.id AS item_id, max(size.n) AS item_shingles, count(*) AS found, count(*) / max(size.n) AS containment
 FROM s d JOIN s b ON d.s = b.s AND d.item = 0 AND b.item = 1 JOIN size ON size.id = b.id
 GROUP BY d.id, b.id HAVING 5 * count(*) >= 4 * max(size.n)""",
+    "op11_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+f AS (SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+        100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+        coalesce(doc_id > least, false) AS e FROM w),
+known AS (SELECT doc_id, bool_or(quality IS NOT DISTINCT FROM 1) AS good, bool_or(toxic IS NOT DISTINCT FROM 1) AS toxic
+          FROM labels GROUP BY doc_id),
+rows_ AS (SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+            CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS failed,
+            coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM f LEFT JOIN known USING (doc_id)),
+counts AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM rows_ GROUP BY ALL),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT concat(l1.x, l2.x, l3.x, l4.x, l5.x) AS o FROM l l1, l l2, l l3, l l4, l l5
+           WHERE len(list_distinct([l1.x, l2.x, l3.x, l4.x, l5.x])) = 5),
+steps AS (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+seen AS (SELECT part, o, step, n, good, toxic, failed, o[step] AS own, contains(failed, o[step]) AS fails,
+           len(list_filter(str_split(o[1:step - 1], ''), lambda x: x <> '' AND contains(failed, x))) > 0 AS before FROM steps, counts),
+out AS (SELECT part, o, step, own, sum(CASE WHEN NOT fails AND NOT before THEN n ELSE 0 END) AS kept,
+          sum(CASE WHEN fails AND NOT before THEN n ELSE 0 END) AS removed,
+          sum(CASE WHEN fails AND before THEN n ELSE 0 END) AS redundant,
+          sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+          sum(CASE WHEN fails AND NOT before THEN good ELSE 0 END) AS good_lost,
+          sum(CASE WHEN fails AND NOT before THEN toxic ELSE 0 END) AS toxic_lost FROM seen GROUP BY ALL)
+SELECT part, o AS filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM out""",
 }
