@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.session import configure
-from convoy.llm import ann, decontaminate, filter_audit, fuzzy_lines, language_id, lm, mixing, ngram_join, suffix_dedup, token_files, toxicity
+from convoy.llm import ann, decontaminate, filter_audit, fuzzy_lines, language_id, lm, mixing, ngram_join, prefix_trie, shuffled_shards, suffix_dedup, token_files, toxicity
 from convoy.llm.common import crc_mod, importable, table
 
 
@@ -73,6 +73,17 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = shuffled_shards.shuffle_to_shards(table(spark, sf_dir, "documents"), shards=16)
+    raw = F.coalesce("record.text", F.lit("")).cast("binary")
+    return stored.select("record.doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
+                         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"), block=20, share=4)
+
+
 def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +94,7 @@ def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _run(q) for q in [
     op1_toxicity, op2_ngram_join, op3_ann, op4_lm_scoring, op5_mixing, op6_suffix_dedup, op7_fuzzy_lines, op8_decontamination, op9_token_files, op10_language_id,
-    op11_filter_audit,
+    op11_filter_audit, op12_sharding, op13_prefix_trie,
 ]}
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
@@ -127,4 +138,28 @@ out AS (SELECT part, o, step, own, sum(CASE WHEN NOT fails AND NOT before THEN n
 SELECT part, o AS filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
   unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
   (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM out""",
+    "op13_prefix_trie": r"""
+WITH RECURSIVE t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY n) AS turns FROM t GROUP BY conv_id),
+-- crc32 of the decimal id, one bit a step; 32 bits of each character
+crc AS (SELECT conv_id, conv_id::VARCHAR AS s, 0 AS k, 4294967295::BIGINT AS c FROM own
+  UNION ALL
+  SELECT conv_id, s, k + 1, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END FROM (
+    SELECT conv_id, s, k, CASE WHEN k % 8 = 0 THEN xor(c, ascii(s[k // 8 + 1])::BIGINT) ELSE c END AS x FROM crc WHERE k < 8 * length(s))),
+h AS (SELECT conv_id, xor(c, 4294967295) % 4 AS h FROM crc WHERE k = 8 * length(s)),
+built AS (SELECT own.conv_id, list_concat(coalesce(base.turns, [])[:h], own.turns[h + 1:]) AS turns
+  FROM own JOIN h USING (conv_id) LEFT JOIN own base ON base.conv_id = own.conv_id - own.conv_id % 20),
+pre AS (SELECT conv_id, turns[:d] AS p, d, len(turns) AS l FROM built, LATERAL (SELECT unnest(range(0, len(turns) + 1)) AS d)),
+node AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = l), '')) AS ends_sha256 FROM pre GROUP BY p, d),
+kid AS (SELECT p[:d - 1] AS p, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+more AS (SELECT node.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(p[d].text, '[^\x20\x09-\x0D]+')) END AS v FROM node LEFT JOIN kid USING (p, d)),
+up AS (SELECT p[:a] AS p, a AS d, sum(v) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM more, LATERAL (SELECT unnest(range(0, d + 1)) AS a) GROUP BY 1, 2)
+SELECT m.conv_id, m.d::BIGINT AS depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children::BIGINT AS n_children, n_leaves,
+  saved::BIGINT AS saved_tokens, m.ends_sha256
+FROM more m JOIN up USING (p, d) LEFT JOIN node q ON m.d > 0 AND q.d = m.d - 1 AND q.p = m.p[:m.d - 1]""",
 }
