@@ -1,10 +1,10 @@
 """Ranges of whole texts by adaptive prefixes.
 
-Bounds are taken from a sample of distinct texts. A group of sampled texts that
-is larger than a range may be is told apart behind its common beginning, however
-long that is, so texts that share a header still fall into different ranges; a
-bound is no longer than it has to be. The sample decides about the balance
-of the ranges alone, never about a result.
+Bounds are taken from a sorted sample of distinct texts: every so many texts, the
+shortest beginning that tells a text from the one before it. Texts that share a
+header, however long, thus still fall into different ranges, and a bound is no
+longer than it has to be. The sample decides about the balance of the ranges
+alone, never about a result; its size is a number a range.
 """
 
 from __future__ import annotations
@@ -13,48 +13,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import cut
+from convoy.llm.common import lean
 from convoy.llm.text_trie import common
 
-#: Sampled texts a range, and bytes looked at behind a common beginning.
-A_RANGE, PIECE = 24, 4
+#: Sampled texts a range.
+A_RANGE = 16
 
 
-def _shared(batches):
+def _chosen(batches):
+    before, n = None, 0
     for b in batches:
-        lo, hi = b["lo"].to_pylist(), b["hi"].to_pylist()
-        yield pa.RecordBatch.from_pydict({"g": b["g"], "n": b["n"], "shared": pa.array([x[:common(x, y)] for x, y in zip(lo, hi)], pa.binary())})
+        out = []
+        for text in b["b"].to_pylist():
+            if n and n % A_RANGE == 0:
+                out.append(text[:common(before, text) + 1])
+            before, n = text, n + 1
+        yield pa.RecordBatch.from_pydict({"b": pa.array(out, pa.binary())})
 
 
 def bounds(texts: DataFrame, col: str, ranges: int) -> list[bytes]:
-    """At most ``ranges - 1`` ascending bounds over the distinct values of ``col``
-    (string, NULLs left out); a text belongs to range ``bisect_right(bounds, text)``.
+    """Ascending bounds over the distinct values of ``col`` (string, NULLs left out) for
+    about ``ranges`` ranges; a text belongs to range ``bisect_right(bounds, text)``.
     """
     every = max(1, texts.count() // (A_RANGE * ranges))
     drawn = texts.select(F.col(col).cast("binary").alias("b")).filter(F.col("b").isNotNull())
     drawn = drawn.filter(F.pmod(F.xxhash64("b"), F.lit(every)) == 0).distinct()
-    held = cut(drawn.select("b", F.lit(0).alias("g")))
-    n = held.count()
-    most, leaves, left, fresh = max(1, n // ranges), [], n > ranges, 1
-    while left:
-        box = held.groupBy("g").agg(F.count("*").alias("n"), F.min("b").alias("lo"), F.max("b").alias("hi"))
-        shared = {r.g: bytes(r.shared) for r in box.mapInArrow(_shared, "g int, n long, shared binary").collect()}
-        # one row for each open group: at most as many as ranges
-        start = texts.sparkSession.createDataFrame([(g, len(s)) for g, s in shared.items()], "g int, at int")
-        piece = held.join(F.broadcast(start), "g").withColumn("piece", F.expr(f"substring(b, at + 1, {PIECE})"))
-        counts = piece.groupBy("g", "piece").count().collect()
-        leaves += [(shared[r.g] + bytes(r.piece), r["count"]) for r in counts if r["count"] <= most]
-        large = [(r.g, bytes(r.piece), fresh + i) for i, r in enumerate(r for r in counts if r["count"] > most)]
-        fresh, left = fresh + len(large), bool(large)
-        if left:
-            opened = texts.sparkSession.createDataFrame(large, "g int, piece binary, h int")
-            held = cut(piece.join(F.broadcast(opened), ["g", "piece"]).select("b", F.col("h").alias("g")))
-    if n and not leaves:
-        leaves = [(bytes(r.b), 1) for r in held.collect()]  # no more texts than ranges
-    out, filled = [], 0
-    for prefix, count in sorted(leaves):
-        if filled >= most and (not out or prefix > out[-1]):
-            out.append(prefix)
-            filled = 0
-        filled += count
-    return out[:ranges - 1]
+    # the sample, not the table, is sorted in one task
+    chosen = drawn.repartition(1).sortWithinPartitions("b").mapInArrow(lean(_chosen), "b binary")
+    return [bytes(r.b) for r in chosen.collect()]
