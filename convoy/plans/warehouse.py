@@ -1,6 +1,6 @@
 """Daily star-schema batch: extract -> measures -> dimensions -> facts -> totals.
 
-Every step is a lazy DataFrame; :func:`run_daily` writes the results.
+Every step is a lazy DataFrame.
 
 Scale notes:
 
@@ -14,25 +14,22 @@ Scale notes:
   gathers in one task;
 * surrogate keys are ``xxhash64`` of the business key (and validity start) -
   no global row numbering;
-* facts are written by batch and run, then month: a batch adds to what
-  is stored and a rerun replaces its own batch only.
+* this module plans; :mod:`convoy.plans.batches` stores batches.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import time
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.functions import columns as C
+from convoy.operators.key_index import key_blocks
 from convoy.operators.lineage import materialize
 from convoy.operators.merge import point_in_time, scd2_apply, surrogate_key
 from convoy.sources.fleet import Fleet
-from convoy.sources.sinks import path_exists, stage_raw_json
 
 # Fixed values of the cost model of the source batch.
 FUEL_PRICE_PER_LITER = 5000
@@ -43,9 +40,6 @@ MAX_PACKAGE_KG = 10000
 # Validity start of the versions of an initial load.
 INITIAL_VALID_FROM = "1900-01-01"
 
-# Fact rows of one batch for each file that a single month may be spread over.
-ROWS_A_FILE = 2_000_000
-
 # The labels the source's dimensional model declares.
 TIME_OF_DAY_LABELS = ("Madrugada", "Mañana", "Tarde", "Noche")
 SHIFT_LABELS = ("Turno 1", "Turno 2", "Turno 3")
@@ -130,6 +124,13 @@ def measures(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_measured(measured(extracted))
 
 
+#: Columns that the day states read.
+FACT_STUB = ("date_key int, package_weight_kg decimal(10,2), distance_km decimal(10,2), fuel_consumed_liters decimal(10,2), "
+             "deliveries_per_hour decimal(10,2), fuel_efficiency_km_per_liter decimal(10,2), cost_per_delivery decimal(12,2), "
+             "revenue_per_delivery decimal(12,2), delivery_time_minutes int, delay_minutes int, is_on_time boolean, "
+             "is_damaged boolean, delivery_status string, customer_name string, vehicle_id long, driver_id long, route_id long")
+
+
 def split_measured(x: DataFrame) -> tuple[DataFrame, DataFrame]:
     accepted = (x.where(F.col("reject_reason").isNull()).drop("reject_reason")
                 .withColumn("valid_from", F.to_date("scheduled_datetime"))
@@ -220,23 +221,24 @@ def on_time_rates(facts: DataFrame) -> DataFrame:
 
 
 def driver_snapshot(fleet: Fleet, as_of, rates: DataFrame | None = None) -> DataFrame:
-    """Driver attributes as of ``as_of``. The rating is NULL for a driver without
+    """Driver attributes as of ``as_of``; see :func:`with_rating`."""
+    d = batch_date(as_of)
+    return with_rating(fleet.drivers.select(
+        "driver_id", "employee_code", C.full_name().alias("full_name"), "license_number", "license_expiry", "phone",
+        "hire_date", _months(d, F.col("hire_date")).alias("experience_months"), "status"), rates)
+
+
+def with_rating(drivers: DataFrame, rates: DataFrame | None) -> DataFrame:
+    """Drivers with the label of their on-time share. It is NULL for a driver without
     deliveries, so that a stored rating stays (see :func:`rated`)."""
-    d = F.to_date(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
-    base = fleet.drivers
-    if rates is not None:
-        base = base.join(rates, "driver_id", "left")
-    else:
-        base = base.withColumn("on_time_rate", F.lit(None).cast("double"))
+    drivers = drivers.drop("performance_category")
+    if rates is None:
+        return drivers.withColumn("performance_category", F.lit(None).cast("string"))
     hi, mid = PERFORMANCE_ON_TIME
     rate = F.col("on_time_rate")
     alto, medio, bajo = PERFORMANCE_LABELS
-    category = (F.when(rate >= hi, alto).when(rate >= mid, medio)
-                .when(rate.isNotNull(), bajo))
-    return base.select("driver_id", "employee_code", C.full_name().alias("full_name"),
-                       "license_number", "license_expiry", "phone", "hire_date",
-                       _months(d, F.col("hire_date")).alias("experience_months"), "status",
-                       category.alias("performance_category"))
+    label = F.when(rate >= hi, alto).when(rate >= mid, medio).when(rate.isNotNull(), bajo)
+    return drivers.join(rates, "driver_id", "left").withColumn("performance_category", label).drop("on_time_rate")
 
 
 def rated(drivers: DataFrame) -> DataFrame:
@@ -279,23 +281,23 @@ def customer_rows(facts: DataFrame) -> DataFrame:
         _customer_category(n).alias("customer_category"))
 
 
-def merge_customers(current: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Insert new customers; for known ones add the batch's newly loaded
-    deliveries, keep the least first date and re-derive the category (the city stays)."""
-    if current is None:
-        return batch
-    b = batch.select("customer_name", F.col("total_deliveries").alias("_add"),
-                     F.col("city").alias("_city"), F.col("first_delivery_date").alias("_first"),
-                     F.col("customer_key").alias("_key"))
-    j = current.join(b, "customer_name", "full_outer")
-    n = F.coalesce(F.col("total_deliveries"), F.lit(0)) + F.coalesce(F.col("_add"), F.lit(0))
-    return j.select(
-        F.coalesce("customer_key", "_key").alias("customer_key"), "customer_name",
-        F.coalesce("customer_type", F.lit(DEFAULT_CUSTOMER_TYPE)).alias("customer_type"),
-        F.coalesce("city", "_city").alias("city"),
-        F.least("first_delivery_date", "_first").alias("first_delivery_date"),
-        n.cast("int").alias("total_deliveries"),
-        _customer_category(n).alias("customer_category"))
+def customer_parts(facts: DataFrame, *by: str) -> DataFrame:
+    """Mergeable customer state: deliveries, first day, and the city of the first
+    delivery (by batch, then id)."""
+    return facts.groupBy(*by, "customer_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.to_date("scheduled_datetime")).alias("first"),
+        F.min(F.struct("etl_batch_id", "delivery_id", "destination_city")).alias("seen"))
+
+
+def customers_of(parts: DataFrame) -> DataFrame:
+    """The customer dimension out of :func:`customer_parts` of any disjoint facts."""
+    agg = parts.groupBy("customer_name").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first_delivery_date"), F.min("seen").alias("seen"))
+    return agg.select(
+        surrogate_key("customer_name").alias("customer_key"), "customer_name",
+        F.lit(DEFAULT_CUSTOMER_TYPE).alias("customer_type"), F.col("seen.destination_city").alias("city"),
+        "first_delivery_date", F.col("n").cast("int").alias("total_deliveries"),
+        _customer_category(F.col("n")).alias("customer_category"))
 
 
 def dim_date(spark: SparkSession, start, end, holidays: DataFrame | None = None) -> DataFrame:
@@ -364,25 +366,31 @@ def dim_time(spark: SparkSession) -> DataFrame:
 
 # Facts and totals ---------------------------------------------------------
 def keyed_facts(facts: DataFrame, dim_vehicle: DataFrame, dim_driver: DataFrame,
-                routes: DataFrame, customers: DataFrame, batch_id: int,
-                etl_ts=None) -> DataFrame:
+                routes: DataFrame, batch_id: int | None = None, etl_ts=None) -> DataFrame:
     """Attach surrogate keys: point-in-time for the SCD2 dimensions, equi-join
-    for routes and customers; unknown members get -1."""
+    for routes; unknown members get -1. Every named customer of a fact is in
+    the customer dimension, whose key is a function of the name. Without
+    ``batch_id`` the facts carry their own batch and load time."""
     f = point_in_time(facts, dim_vehicle, "vehicle_id", "scheduled_datetime", "vehicle_key")
     f = point_in_time(f, dim_driver, "driver_id", "scheduled_datetime", "driver_key")
-    f = (f.join(routes.select("route_id", "route_key"), "route_id", "left")
-          .join(customers.select("customer_name", "customer_key"), "customer_name", "left"))
-    ts = F.localtimestamp() if etl_ts is None else F.lit(etl_ts).cast("timestamp_ntz")
+    f = f.join(routes.select("route_id", "route_key"), "route_id", "left")
+    customer = F.when(F.col("customer_name").isNotNull(), surrogate_key("customer_name"))
+    if batch_id is not None:
+        f = with_batch(f, batch_id, etl_ts)
     return f.select(
         surrogate_key("delivery_id").alias("delivery_key"), "date_key", "scheduled_time_key",
         "delivered_time_key", "vehicle_key", "driver_key",
         F.coalesce("route_key", F.lit(-1).cast("bigint")).alias("route_key"),
-        F.coalesce("customer_key", F.lit(-1).cast("bigint")).alias("customer_key"),
+        F.coalesce(customer, F.lit(-1).cast("bigint")).alias("customer_key"),
         "delivery_id", "trip_id", "tracking_number", "package_weight_kg", "distance_km",
         "fuel_consumed_liters", "delivery_time_minutes", "delay_minutes", "deliveries_per_hour",
         "fuel_efficiency_km_per_liter", "cost_per_delivery", "revenue_per_delivery",
-        "is_on_time", "is_damaged", "has_signature", "delivery_status",
-        F.lit(batch_id).cast("int").alias("etl_batch_id"), ts.alias("etl_timestamp"))
+        "is_on_time", "is_damaged", "has_signature", "delivery_status", "etl_batch_id", "etl_timestamp")
+
+
+def with_batch(facts: DataFrame, batch_id: int, etl_ts=None) -> DataFrame:
+    ts = F.localtimestamp() if etl_ts is None else F.lit(etl_ts).cast("timestamp_ntz")
+    return facts.withColumn("etl_batch_id", F.lit(batch_id).cast("int")).withColumn("etl_timestamp", ts)
 
 
 def daily_totals(fact: DataFrame, date_key: int | None = None, batch_id: str = "",
@@ -438,6 +446,72 @@ def daily_totals(fact: DataFrame, date_key: int | None = None, batch_id: str = "
     return sums.select(*head, "date_key", *counts, *distinct, *rest)
 
 
+# Mergeable state of a day: any disjoint sets of facts add up to the same totals.
+_DAY_SUMS = {"weight": "package_weight_kg", "km": "distance_km", "fuel": "fuel_consumed_liters",
+             "per_hour": "deliveries_per_hour", "efficiency": "fuel_efficiency_km_per_liter",
+             "cost": "cost_per_delivery", "revenue": "revenue_per_delivery"}
+_DAY_MINUTES = {"time": "delivery_time_minutes", "delay": "delay_minutes"}
+_DAY_FLAGS = {"on_time": "is_on_time", "delivered": "delivery_status = 'delivered'", "damaged": "is_damaged"}
+
+
+def day_parts(facts: DataFrame, *by: str) -> DataFrame:
+    """Sums and counts of each day."""
+    sums = [C.dsum(c).alias(k) for k, c in _DAY_SUMS.items()] + [F.sum(c).alias(k) for k, c in _DAY_MINUTES.items()]
+    seen = [F.count(c).alias(f"n_{k}") for k, c in (_DAY_SUMS | _DAY_MINUTES).items()]
+    flags = [F.count_if(F.expr(c)).alias(k) for k, c in _DAY_FLAGS.items()]
+    return facts.groupBy(*by, "date_key").agg(F.count(F.lit(1)).alias("n"), F.count("customer_name").alias("named"), *sums, *seen, *flags)
+
+
+def day_keys(facts: DataFrame, *by: str) -> DataFrame:
+    """Bitmaps of the serial numbers that each day has seen."""
+    ids = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_id").cast("long").alias("id"))
+                              for k in ("vehicle", "driver", "route")])).alias("k")
+    return key_blocks(facts.select(*by, "date_key", ids).select(*by, "date_key", "k.*"), "id", *by, "date_key", "kind")
+
+
+def day_customers(facts: DataFrame, *by: str) -> DataFrame:
+    """Customers of each day (names have no serial numbers)."""
+    return facts.where(F.col("customer_name").isNotNull()).select(*by, "date_key", "customer_name").distinct()
+
+
+def totals_of(parts: DataFrame, keys: DataFrame, customers: DataFrame) -> DataFrame:
+    """The rows of :func:`daily_totals` (natural keys, without its first two columns)
+    out of the day states of any disjoint facts."""
+    cols = [c for c in parts.columns if c not in ("date_key", "file")]
+    day = parts.groupBy("date_key").agg(*[F.sum(c).alias(c) for c in cols])
+    bits = keys.groupBy("date_key", "kind", "block").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    distinct = bits.groupBy("date_key").agg(*[
+        F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(F.lit(0).cast("bigint"))).alias(f"total_{k}s_distinct")
+        for k in ("vehicle", "driver", "route")])
+    named = customers.select("date_key", "customer_name").distinct().groupBy("date_key").agg(F.count(F.lit(1)).alias("total_customers_distinct"))
+    day = day.join(distinct, "date_key", "left").join(named, "date_key", "left")
+
+    def mean(c):  # of two-digit decimals, to six digits as their average
+        return C.round2((F.col(c) / F.col(f"n_{c}")).cast("decimal(38,6)")).cast("decimal(10,2)")
+
+    def minutes(c):
+        return F.round(F.col(c).cast("double") / F.col(f"n_{c}"), 0).cast("int")
+
+    def share(c):
+        return C.round2(F.col(c).cast("double") / F.col("n") * 100).cast("decimal(10,2)")
+
+    def some(c):  # try_divide: no values, no average
+        return F.when(F.col(f"n_{c}") > 0, mean(c) if c in _DAY_SUMS else minutes(c))
+
+    return day.select(
+        "date_key", F.col("n").alias("total_deliveries"), F.col("n").alias("total_vehicles"), F.col("n").alias("total_drivers"),
+        F.col("n").alias("total_routes"), F.col("named").alias("total_customers"),
+        *[F.coalesce(f"total_{k}s_distinct", F.lit(0).cast("bigint")).alias(f"total_{k}s_distinct")
+          for k in ("vehicle", "driver", "route", "customer")],
+        F.col("weight").alias("total_package_weight_kg"), F.col("km").alias("total_distance_km"),
+        F.col("fuel").alias("total_fuel_consumed_liters"),
+        some("time").alias("avg_delivery_time_minutes"), some("delay").alias("avg_delay_minutes"),
+        some("per_hour").alias("avg_deliveries_per_hour"), some("efficiency").alias("avg_fuel_efficiency_km_per_liter"),
+        F.col("cost").alias("total_cost_per_delivery"), F.col("revenue").alias("total_revenue_per_delivery"),
+        share("on_time").alias("on_time_porcentaje"), share("delivered").alias("delivery_status_porcentaje"),
+        share("damaged").alias("is_damage_porcentaje"))
+
+
 # Role views ----------------------------------------------------------------
 def v_sales(fact: DataFrame, dim_date_df: DataFrame, customers: DataFrame) -> DataFrame:
     return (fact.join(dim_date_df.select("date_key", "full_date"), "date_key")
@@ -480,150 +554,39 @@ class Warehouse:
 
 
 def build(spark: SparkSession, fleet: Fleet, as_of, batch_id: int = 1,
-          start=None, end=None, last_day: bool = True,
-          prev_vehicle: DataFrame | None = None, prev_driver: DataFrame | None = None,
-          prev_customer: DataFrame | None = None, etl_ts=None,
-          keep_measured: bool = False, stored: DataFrame | None = None) -> Warehouse:
-    """Plan one batch: dimensions are merged into the previous versions
-    (``None`` = initial load), validity starts at the batch date.
+          start=None, end=None, last_day: bool = True, etl_ts=None) -> Warehouse:
+    """Plan one initial batch in memory.
 
     The fact rows feed five consumers (keys, customers, ratings, calendar
-    span, first date) and are written once. With ``keep_measured`` the whole
-    measured extract (also the rejects) is written once instead, for a run
-    that also lands the raw rows and counts them. ``stored`` holds the facts that
-    other batches loaded: their deliveries are not loaded (or counted) again, and
-    drivers are rated over all facts.
+    span, first date) and are written once. Stored batches are the work of
+    :func:`convoy.plans.batches.run_daily`.
     """
     m = measured(extract(fleet, start, end, last_day))
-    if keep_measured:
-        m = materialize(m)
     acc, rej = split_measured(m)
-    facts = fact_rows(acc)
-    rates = on_time_rates(facts)
-    if stored is not None:
-        facts = facts.join(stored.select("date_key", "delivery_id"), ["date_key", "delivery_id"], "left_anti")
-    if stored is not None or not keep_measured:
-        facts = materialize(facts)
-    if stored is not None and prev_driver is not None:
-        known = stored.join(prev_driver.select("driver_key", "driver_id"), "driver_key")
-        rates = on_time_rates(known.select("driver_id", "is_on_time")
-                              .unionByName(facts.select("driver_id", "is_on_time")))
-    batch_date = F.to_date(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
-    # The initial load opens every version at the beginning of time, so that a
-    # fact finds one however late (and from however far back) it arrives.
-    initial = prev_vehicle is None and prev_driver is None
-    start_date = F.lit(INITIAL_VALID_FROM).cast("date") if initial else batch_date
-    dv = scd2_apply(prev_vehicle, vehicle_snapshot(fleet, as_of), "vehicle_id",
-                    ["license_plate", "vehicle_type", "capacity_kg", "fuel_type", "status"],
-                    start_date, "vehicle_key", type1=["age_months", "last_maintenance_date"])
-    # The rating is derived from each batch's deliveries: overwritten in the
-    # current version (type 1) instead of opening a version per batch.
-    dd = scd2_apply(prev_driver, driver_snapshot(fleet, as_of, rates), "driver_id",
-                    ["employee_code", "full_name", "license_number", "license_expiry", "phone",
-                     "status"], start_date, "driver_key",
-                    type1=["performance_category", "experience_months"])
-    dd = rated(dd)
+    facts = materialize(fact_rows(acc))
+    dv, dd = next_versions(None, None, vehicle_snapshot(fleet, as_of), driver_snapshot(fleet, as_of, on_time_rates(facts)),
+                           batch_date(as_of))
     dr = dim_route(fleet)
-    dc = merge_customers(prev_customer, customer_rows(facts))
-    days = facts.select("date_key")
-    ddate = dim_date_from(facts) if stored is None else dim_date_of_keys(days.union(stored.select("date_key")))
-    dt = dim_time(spark)
-    fd = keyed_facts(facts, dv, dd, dr, dc, batch_id, etl_ts)
-    return Warehouse(m, facts, rej, dv, dd, dr, dc, ddate, dt, fd)
-
-
-# L17-L18: the daily run ---------------------------------------------------
-DIMENSIONS = ("dim_vehicle", "dim_driver", "dim_customer", "dim_route", "dim_date", "dim_time")
+    return Warehouse(m, facts, rej, dv, dd, dr, customer_rows(facts), dim_date_from(facts), dim_time(spark),
+                     keyed_facts(facts, dv, dd, dr, batch_id, etl_ts))
 
 
-def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
-              start=None, end=None, last_day: bool = True) -> dict:
-    """Extract, transform, load dimensions and facts, roll up the day.
+def batch_date(as_of):
+    return F.to_date(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
 
-    Every table lies under ``out`` in ``<table>/batch=<id>/run=<attempt>``:
-    ``raw-data/staging_daily_load`` (the extracted rows as VARIANT with their load
-    time), ``fact_deliveries`` (then ``month_key=..``) and the dimensions. A run
-    writes into folders of its own; its ``etl_metrics/batch=<id>`` row, written
-    last and naming the run, puts all of them into effect at once. A run that
-    breaks off leaves nothing that :func:`stored` shows, and a rerun replaces the
-    batch's earlier run, nothing else.
 
-    A batch adds the deliveries that no other batch has loaded; earlier facts
-    stay. Loads are skipped when the extract is empty; totals still run (one row
-    per day, as the source).
-    """
-    t0 = time.time()
-    out, run = out.rstrip("/"), f"run{uuid.uuid4().hex}"
-    have = stored(spark, out, but=batch_id)
-    before = stored(spark, out, before=batch_id)
-    wh = build(spark, fleet, as_of, batch_id, start, end, last_day,
-               before.get("dim_vehicle"), before.get("dim_driver"), before.get("dim_customer"),
-               keep_measured=True, stored=have.get("fact_deliveries"))
-    counts = wh.measured.agg(F.count(F.lit(1)).alias("n"),
-                             F.count_if(F.col("reject_reason").isNull()).alias("ok")).first()
-    extracted_n, transformed_n = counts["n"], counts["ok"]
-    loaded, unknown, fact_all = 0, 0, have.get("fact_deliveries")
-    if extracted_n:
-        # raw zone: the extracted rows as they arrived (VARIANT + load time)
-        raw = stage_raw_json(
-            wh.measured.select(F.to_json(F.struct(*EXTRACT_COLUMNS)).alias("raw")), "raw")
-        raw.write.parquet(f"{out}/raw-data/staging_daily_load/batch={batch_id}/run={run}")
-        for name in DIMENSIONS:
-            getattr(wh, name).write.parquet(f"{out}/{name}/batch={batch_id}/run={run}")
-        # hash on the month and a salt that follows the batch's size: few files,
-        # a very large month is still written by several tasks, and rows in order
-        # of the day let a day's filter skip row groups
-        mine = f"{out}/fact_deliveries/batch={batch_id}/run={run}"
-        salt = F.pmod(F.xxhash64("delivery_id"), F.lit(1 + transformed_n // ROWS_A_FILE))
-        (wh.fact_deliveries.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int")).repartition("month_key", salt)
-         .sortWithinPartitions("month_key", "date_key").write.partitionBy("month_key").parquet(mine))
-        facts = spark.read.parquet(mine).drop("month_key")
-        seen = facts.agg(F.count(F.lit(1)).alias("n"), F.count_if(
-            (F.col("vehicle_key") == -1) | (F.col("driver_key") == -1)
-            | (F.col("route_key") == -1) | (F.col("customer_key") == -1)).alias("unknown")).first()
-        loaded, unknown = seen["n"], seen["unknown"]
-        fact_all = facts if fact_all is None else fact_all.unionByName(facts)
-    day_key = spark.range(1).select(
-        C.yyyymmdd(F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)).first()[0]
-    totals = daily_totals(wh.fact_deliveries.limit(0) if fact_all is None else fact_all,
-                          date_key=day_key, batch_id=str(batch_id))
-    (totals.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-     .partitionBy("date_key").parquet(f"{out}/daily_totals"))
-    metrics = {"batch_id": batch_id, "records_extracted": int(extracted_n),
-               "records_transformed": int(transformed_n),
-               "records_loaded": int(loaded), "errors": int(unknown),
-               "duration_s": round(time.time() - t0, 3)}
-    row = dict(metrics, run=run, has_data=bool(extracted_n))
-    spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").json(f"{out}/etl_metrics/batch={batch_id}")
-    return metrics
-
-
-def stored(spark: SparkSession, out: str, but: int | None = None,
-           before: int | None = None) -> dict[str, DataFrame]:
-    """The tables in effect under ``out``: ``fact_deliveries`` of all complete
-    batches, and each dimension as its newest complete batch left it. ``but``
-    leaves a batch out, ``before`` that batch and all later ones."""
-    out = out.rstrip("/")
-    if not path_exists(spark, f"{out}/etl_metrics"):
-        return {}
-    # a row a batch
-    marks = sorted((r["batch"], r["run"]) for r in
-                   spark.read.json(f"{out}/etl_metrics").where("has_data").select("batch", "run").collect()
-                   if r["batch"] != but and (before is None or r["batch"] < before))
-    if not marks:
-        return {}
-    runs = [r for _, r in marks]
-    tables = {"fact_deliveries": spark.read.parquet(f"{out}/fact_deliveries")
-              .where(F.col("run").isin(runs)).drop("batch", "run", "month_key")}
-    batch, run = marks[-1]
-    for name in DIMENSIONS:
-        tables[name] = spark.read.parquet(f"{out}/{name}/batch={batch}/run={run}")
-    return tables
-
-
-def stored_views(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """Both role views over the stored tables."""
-    t = stored(spark, out)
-    return {"v_sales": v_sales(t["fact_deliveries"], t["dim_date"], t["dim_customer"]),
-            "v_operations": v_operations(t["fact_deliveries"], *[t[n] for n in (
-                "dim_date", "dim_time", "dim_vehicle", "dim_driver", "dim_route", "dim_customer")])}
+def next_versions(vehicles: DataFrame | None, drivers: DataFrame | None, vehicle_rows: DataFrame, driver_rows: DataFrame,
+                  day) -> tuple[DataFrame, DataFrame]:
+    """Both type-2 dimensions after one batch's snapshots (``None``: initial load)."""
+    # The initial load opens every version at the beginning of time, so that a
+    # fact finds one however late (and from however far back) it arrives.
+    start = F.lit(INITIAL_VALID_FROM).cast("date") if vehicles is None and drivers is None else day
+    dv = scd2_apply(vehicles, vehicle_rows, "vehicle_id",
+                    ["license_plate", "vehicle_type", "capacity_kg", "fuel_type", "status"],
+                    start, "vehicle_key", type1=["age_months", "last_maintenance_date"])
+    # The rating is derived from the facts: overwritten in the current version
+    # (type 1) instead of opening a version per batch.
+    dd = scd2_apply(drivers, driver_rows, "driver_id",
+                    ["employee_code", "full_name", "license_number", "license_expiry", "phone", "status"],
+                    start, "driver_key", type1=["performance_category", "experience_months"])
+    return dv, rated(dd)

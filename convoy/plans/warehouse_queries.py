@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.operators.merge import scd2_apply
+from convoy.plans import batches as B
 from convoy.plans import warehouse as W
 from convoy.plans.reports import DEFAULT_AS_OF
 from convoy.sources.fleet import Fleet
@@ -130,8 +131,8 @@ def daily_run(spark: SparkSession, fleet: Fleet) -> DataFrame:
     totals and metrics are written; the loaded fact table is read back
     (without the hash keys and the load timestamp)."""
     out = _folder(spark)
-    W.run_daily(spark, fleet, out, DEFAULT_AS_OF, batch_id=1)
-    return W.stored(spark, out)["fact_deliveries"].drop(*KEYS, "etl_timestamp")
+    B.run_daily(spark, fleet, out, DEFAULT_AS_OF, batch_id=1)
+    return B.stored(spark, out)["fact_deliveries"].drop(*KEYS, "etl_timestamp")
 
 
 #: Delivered-time windows and clocks of two batches. The second begins half a day
@@ -160,40 +161,40 @@ def _two_batches(spark: SparkSession, fleet: Fleet) -> str:
     if key not in _STORED:
         out = _folder(spark)
         for i, (start, end, as_of) in enumerate(WINDOWS):
-            W.run_daily(spark, second_day(fleet) if i else fleet, out, as_of, i + 1, start, end)
+            B.run_daily(spark, second_day(fleet) if i else fleet, out, as_of, i + 1, start, end)
         _STORED[key] = out
     return _STORED[key]
 
 
 def two_day_run(spark: SparkSession, fleet: Fleet) -> DataFrame:
     """The facts stored after two batches with overlapping windows."""
-    return W.stored(spark, _two_batches(spark, fleet))["fact_deliveries"].drop(*KEYS, "etl_timestamp")
+    return B.stored(spark, _two_batches(spark, fleet))["fact_deliveries"].drop(*KEYS, "etl_timestamp")
 
 
 def two_day_customers(spark: SparkSession, fleet: Fleet) -> DataFrame:
     """The customer dimension that the second batch merged into the first one's."""
-    return W.stored(spark, _two_batches(spark, fleet))["dim_customer"].drop("customer_key")
+    return B.stored(spark, _two_batches(spark, fleet))["dim_customer"].drop("customer_key")
 
 
 def two_day_drivers(spark: SparkSession, fleet: Fleet) -> DataFrame:
     """The driver dimension after a second batch with changed, renamed and idle drivers."""
-    return W.stored(spark, _two_batches(spark, fleet))["dim_driver"].drop("driver_key")
+    return B.stored(spark, _two_batches(spark, fleet))["dim_driver"].drop("driver_key")
 
 
 def fact_driver_versions(spark: SparkSession, fleet: Fleet) -> DataFrame:
     """Which version of its driver each stored fact meets (point-in-time key)."""
-    t = W.stored(spark, _two_batches(spark, fleet))
+    t = B.stored(spark, _two_batches(spark, fleet))
     v = t["dim_driver"].select("driver_key", "driver_id", "full_name", "status", "valid_from", "valid_to")
     f = t["fact_deliveries"].select("delivery_id", "date_key", "driver_key")
     return f.join(v, "driver_key", "left").drop("driver_key")
 
 
 def stored_sales(spark: SparkSession, fleet: Fleet) -> DataFrame:
-    return W.stored_views(spark, _two_batches(spark, fleet))["v_sales"]
+    return B.stored_views(spark, _two_batches(spark, fleet))["v_sales"]
 
 
 def stored_operations(spark: SparkSession, fleet: Fleet) -> DataFrame:
-    return W.stored_views(spark, _two_batches(spark, fleet))["v_operations"]
+    return B.stored_views(spark, _two_batches(spark, fleet))["v_operations"]
 
 
 def day_totals(fleet: Fleet) -> DataFrame:

@@ -62,6 +62,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, asked of its own file system; none if it is absent."""
+    if not path_exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(e.getPath().getName() for e in fs.listStatus(p))
+
+
 def write_summary_json(summary: DataFrame, path: str) -> None:
     """Write a one-row summary (e.g. :func:`convoy.plans.quality.summary_json`)."""
     summary.coalesce(1).write.mode("overwrite").text(path)

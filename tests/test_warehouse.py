@@ -5,6 +5,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, make_fleet
+from convoy.plans import batches as B
 from convoy.plans import warehouse as W
 from convoy.sources.fleet import cached_fleet
 
@@ -68,12 +69,12 @@ def test_daily_totals_empty_day_gives_one_row(spark):
 def test_run_daily_is_rerun_safe(spark, tmp_dir):
     fleet = cached_fleet(spark, SF_SMALL)
     out = os.path.join(tmp_dir, "wh")
-    m1 = W.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1)
-    facts1 = W.stored(spark, out)["fact_deliveries"].drop("etl_timestamp")
+    m1 = B.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1)
+    facts1 = B.stored(spark, out)["fact_deliveries"].drop("etl_timestamp")
     n1 = facts1.count()
     assert m1["records_loaded"] == n1 > 0 and m1["errors"] == 0
-    W.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1)
-    t = W.stored(spark, out)
+    B.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1)
+    t = B.stored(spark, out)
     facts2 = t["fact_deliveries"].drop("etl_timestamp")
     assert sorted(facts2.collect()) == sorted(facts1.collect()) and facts2.count() == n1
     assert t["dim_driver"].where("is_current").groupBy("driver_id").count().where("count > 1").count() == 0
@@ -94,34 +95,34 @@ def _at(hours, i):
 def test_later_batches_keep_earlier_facts(spark, tmp_dir):
     f = _fleet(spark, [_at(h, i) for i, h in enumerate((11, 12, 13, 20, 30, 40), 1)])
     out = os.path.join(tmp_dir, "wh")
-    ids = lambda: sorted(r.delivery_id for r in W.stored(spark, out)["fact_deliveries"].collect())
+    ids = lambda: sorted(r.delivery_id for r in B.stored(spark, out)["fact_deliveries"].collect())
     one = dict(start="2001-07-31 00:00:00", end="2001-07-31 18:00:00")
-    W.run_daily(spark, f, out, "2001-08-01 00:00:00", 1, **one)
+    B.run_daily(spark, f, out, "2001-08-01 00:00:00", 1, **one)
     assert ids() == [1, 2, 3]
     two = dict(start="2001-07-31 12:30:00", end="2001-08-02 00:00:00")  # overlaps, and comes late for the day
-    m = W.run_daily(spark, f, out, "2001-08-02 00:00:00", 2, **two)
+    m = B.run_daily(spark, f, out, "2001-08-02 00:00:00", 2, **two)
     assert ids() == [1, 2, 3, 4, 5, 6] and m["records_loaded"] == 3
-    (c,) = W.stored(spark, out)["dim_customer"].collect()
+    (c,) = B.stored(spark, out)["dim_customer"].collect()
     assert c.total_deliveries == 6
-    views = W.stored_views(spark, out)
+    views = B.stored_views(spark, out)
     assert views["v_sales"].count() == views["v_operations"].count() == 6
     for batch, as_of, window in ((1, "2001-08-01 00:00:00", one), (2, "2001-08-02 00:00:00", two)):
-        W.run_daily(spark, f, out, as_of, batch, **window)
+        B.run_daily(spark, f, out, as_of, batch, **window)
         assert ids() == [1, 2, 3, 4, 5, 6]
-    (day,) = spark.read.parquet(f"{out}/daily_totals").where("date_key = 20010802").collect()
+    (day,) = B.stored(spark, out)["daily_totals"].where("date_key = 20010802").collect()
     assert day.total_deliveries == 0
 
 
 def test_broken_run_is_not_seen(spark, tmp_dir, monkeypatch):
     f = _fleet(spark, [_at(11, 1), _at(30, 2)])
     out = os.path.join(tmp_dir, "wh")
-    W.run_daily(spark, f, out, "2001-08-01 00:00:00", 1, start="2001-07-31 00:00:00", end="2001-07-31 18:00:00")
-    monkeypatch.setattr(W, "daily_totals", lambda *a, **k: 1 / 0)
+    B.run_daily(spark, f, out, "2001-08-01 00:00:00", 1, start="2001-07-31 00:00:00", end="2001-07-31 18:00:00")
+    monkeypatch.setattr(B, "_totals", lambda *a, **k: 1 / 0)
     try:
-        W.run_daily(spark, f, out, "2001-08-02 00:00:00", 2, start="2001-07-31 18:00:00", end="2001-08-03 00:00:00")
+        B.run_daily(spark, f, out, "2001-08-02 00:00:00", 2, start="2001-07-31 18:00:00", end="2001-08-03 00:00:00")
     except ZeroDivisionError:
         pass
-    assert [r.delivery_id for r in W.stored(spark, out)["fact_deliveries"].collect()] == [1]
+    assert [r.delivery_id for r in B.stored(spark, out)["fact_deliveries"].collect()] == [1]
 
 
 def test_second_batch_versions_changed_drivers(spark, tmp_dir):
@@ -129,15 +130,15 @@ def test_second_batch_versions_changed_drivers(spark, tmp_dir):
 
     fleet = cached_fleet(spark, SF_SMALL)
     out = os.path.join(tmp_dir, "wh2")
-    W.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1)
-    d1 = W.stored(spark, out)["dim_driver"]
+    B.run_daily(spark, fleet, out, "2001-08-01 00:00:00", batch_id=1)
+    d1 = B.stored(spark, out)["dim_driver"]
     flip = F.when(F.col("status") == "active", "inactive").otherwise("active")
     changed = fleet.drivers.withColumn("status", F.when(F.col("driver_id") % 5 == 0, flip)
                                        .otherwise(F.col("status")))
-    W.run_daily(spark, replace(fleet, drivers=changed), out, "2001-08-02 00:00:00", batch_id=2,
+    B.run_daily(spark, replace(fleet, drivers=changed), out, "2001-08-02 00:00:00", batch_id=2,
                 start="2001-07-01 00:00:00", end="2001-08-02 00:00:00")
 
-    d2 = W.stored(spark, out)["dim_driver"]
+    d2 = B.stored(spark, out)["dim_driver"]
     n_drivers = fleet.drivers.count()
     assert d1.count() == n_drivers
     n_changed = fleet.drivers.where(F.col("driver_id") % 5 == 0).count()
@@ -147,7 +148,7 @@ def test_second_batch_versions_changed_drivers(spark, tmp_dir):
     assert closed.count() == n_changed
     assert {str(r.valid_to) for r in closed.select("valid_to").distinct().collect()} == {"2001-08-02"}
     # facts of batch 2 are scheduled before the change: they keep the old versions
-    facts = W.stored(spark, out)["fact_deliveries"].where("etl_batch_id = 2")
+    facts = B.stored(spark, out)["fact_deliveries"].where("etl_batch_id = 2")
     old_keys = {r.driver_key for r in d1.select("driver_key").collect()}
     assert facts.count() > 0
     assert {r.driver_key for r in facts.select("driver_key").collect()} <= old_keys
@@ -156,9 +157,9 @@ def test_second_batch_versions_changed_drivers(spark, tmp_dir):
 def test_idle_driver_keeps_the_rating(spark, tmp_dir):
     f = _fleet(spark, [_at(10.2, 1)])  # twelve minutes late: on time
     out = os.path.join(tmp_dir, "wh")
-    W.run_daily(spark, f, out, "2001-08-01 00:00:00", 1, start="2001-07-31 00:00:00", end="2001-08-01 00:00:00")
-    rating = lambda: [r.performance_category for r in W.stored(spark, out)["dim_driver"].collect()]
+    B.run_daily(spark, f, out, "2001-08-01 00:00:00", 1, start="2001-07-31 00:00:00", end="2001-08-01 00:00:00")
+    rating = lambda: [r.performance_category for r in B.stored(spark, out)["dim_driver"].collect()]
     assert rating() == ["Alto"]
     g = _fleet(spark, [_at(10.2, 1), _at(60, 2)])
-    W.run_daily(spark, g, out, "2001-08-03 00:00:00", 2, start="2001-08-01 00:00:00", end="2001-08-02 00:00:00")
+    B.run_daily(spark, g, out, "2001-08-03 00:00:00", 2, start="2001-08-01 00:00:00", end="2001-08-02 00:00:00")
     assert rating() == ["Alto"]
