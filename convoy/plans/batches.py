@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,7 +43,7 @@ from convoy.plans.manifest import Batch, State
 from convoy.sources.fleet import Fleet
 from convoy.sources.sinks import stage_raw_json
 
-# Rows of one batch for each file that a single month may be spread over.
+# Rows of a fact file.
 ROWS_A_FILE = 2_000_000
 
 #: Tables of parts, one row group of each for every live fact file.
@@ -163,24 +164,28 @@ def _merge(folder: _Folder, was: State, mine: DataFrame | None, batch: int, run:
 
 
 def _write_facts(folder: _Folder, new: DataFrame, run: str) -> list[str]:
-    """Write fact rows by month with their parts; the files that hold rows."""
+    """Write fact rows in ranges of days, with their parts; the files that hold rows."""
     path, n = folder.of_run("fact_deliveries", run), new.count()
-    # hash on the month and a salt that follows the size: few files, a very
-    # large month is still written by several tasks, and rows in order of the day
-    # let a day's filter skip row groups
-    salt = F.pmod(F.xxhash64("delivery_id"), F.lit(1 + n // ROWS_A_FILE))
-    (new.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int")).repartition("month_key", salt)
-     .sortWithinPartitions("month_key", "date_key").write.partitionBy("month_key").parquet(path))
+    # whole files of consecutive days (a large day in several): a day's filter
+    # skips files and row groups, and small batches make few files
+    (new.repartitionByRange(1 + n // ROWS_A_FILE, "date_key", "delivery_id")
+     .sortWithinPartitions("date_key", "delivery_id").write.parquet(path))
     stored = _with_file(folder.spark.read.schema(new.schema).parquet(path))
     ratings = stored.groupBy("file", "driver_id", "etl_batch_id").agg(
         F.count("is_on_time").alias("n"), F.count_if("is_on_time").alias("on_time"), F.count(F.lit(1)).alias("rows"))
-    for name, parts in {"fact_index": key_blocks(stored, "delivery_id", "file"), "customer_parts": W.customer_parts(stored, "file"),
-                        "driver_parts": ratings, "day_parts": W.day_parts(stored, "file"), "day_keys": W.day_keys(stored, "file"),
-                        "day_customers": W.day_customers(stored, "file")}.items():
-        parts.coalesce(max(1, n // ROWS_A_FILE)).write.parquet(folder.of_run(name, run))
+    parts = {"fact_index": key_blocks(stored, "delivery_id", "file"), "customer_parts": W.customer_parts(stored, "file"),
+             "driver_parts": ratings, "day_parts": W.day_parts(stored, "file"), "day_keys": W.day_keys(stored, "file"),
+             "day_customers": W.day_customers(stored, "file")}
+    _write_all({folder.of_run(name, run): p.coalesce(1 + n // ROWS_A_FILE) for name, p in parts.items()})
     return [r.file for r in folder.spark.read.parquet(folder.of_run("day_parts", run)).select("file").distinct().collect()]
 
 
+def _write_all(tables: dict[str, DataFrame]) -> None:
+    """Write independent tables side by side; the first failure is raised."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        list(pool.map(lambda t: t[1].write.parquet(t[0]), tables.items()))
+
+
 # Dimensions ---------------------------------------------------------------
 def _rates(folder: _Folder, state: State, batch: int) -> DataFrame | None:
     """On-time share of each driver over the facts of batches up to ``batch``."""
@@ -204,8 +209,7 @@ def _fold_versions(folder: _Folder, state: State, batch: int, run: str) -> State
         dv, dd = W.next_versions(dv, dd, folder.snapshot("vehicles", b, batches[b].run), drivers,
                                  F.lit(batches[b].day).cast("date"))
         batches[b] = replace(batches[b], dims=run)
-        for name, dim in (("dim_vehicle", dv), ("dim_driver", dd)):
-            dim.write.parquet(f"{folder.of_run(name, run)}/as_of_batch={b}")
+        _write_all({f"{folder.of_run(n, run)}/as_of_batch={b}": d for n, d in (("dim_vehicle", dv), ("dim_driver", dd))})
         dv, dd = (folder.dims(n, b, batches[b]) for n in ("dim_vehicle", "dim_driver"))
     return replace(state, batches=batches)
 
@@ -245,12 +249,12 @@ def run_daily(spark: SparkSession, fleet: Fleet, out: str, as_of, batch_id: int,
     mine = None
     if counts["n"]:
         raw = stage_raw_json(m.select(F.to_json(F.struct(*W.EXTRACT_COLUMNS)).alias("raw")), "raw")
-        raw.write.parquet(f"{folder.out}/raw-data/staging_daily_load/batch={batch_id}/run={run}")
+        _write_all({f"{folder.out}/raw-data/staging_daily_load/batch={batch_id}/run={run}": raw,
+                    folder.landed("vehicles", batch_id, run): W.vehicle_snapshot(fleet, as_of),
+                    folder.landed("drivers", batch_id, run): W.driver_snapshot(fleet, as_of),
+                    folder.landed("routes", batch_id, run): W.dim_route(fleet)})
         accepted, _ = W.split_measured(m)
         mine = _land(folder, W.with_batch(W.fact_rows(accepted), batch_id), counts["ok"], batch_id, run)
-        for name, snap in (("vehicles", W.vehicle_snapshot(fleet, as_of)), ("drivers", W.driver_snapshot(fleet, as_of)),
-                           ("routes", W.dim_route(fleet))):
-            snap.write.parquet(folder.landed(name, batch_id, run))
     state, days = _merge(folder, was, mine, batch_id, run)
     day = str(spark.range(1).select(W.batch_date(as_of)).first()[0])
     batches = {b: x for b, x in was.batches.items() if b != batch_id}
