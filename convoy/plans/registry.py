@@ -77,6 +77,14 @@ def _registry() -> dict[str, QueryFn]:
         "fact_driver_versions": _with_spark(WQ.fact_driver_versions),
         "stored_sales": _with_spark(WQ.stored_sales),
         "stored_operations": _with_spark(WQ.stored_operations),
+        "batch_metrics": _with_spark(WQ.batch_metrics),
+        "corrected_facts": _with_spark(WQ.corrected_facts),
+        "corrected_totals": _with_spark(WQ.corrected_totals),
+        "reordered_facts": _with_spark(WQ.reordered_facts),
+        "reordered_customers": _with_spark(WQ.reordered_customers),
+        "reordered_drivers": _with_spark(WQ.reordered_drivers),
+        "reordered_dates": _with_spark(WQ.reordered_dates),
+        "reordered_totals": _with_spark(WQ.reordered_totals),
         # re-aimed generator work
         "vehicle_span_as_written": _on_fleet(S.vehicle_span_as_written),
         "vehicle_span": _on_fleet(S.vehicle_span),

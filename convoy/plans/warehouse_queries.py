@@ -9,6 +9,7 @@ with an SQL engine that hashes differently.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from convoy.operators.merge import scd2_apply
 from convoy.plans import batches as B
 from convoy.plans import warehouse as W
 from convoy.plans.reports import DEFAULT_AS_OF
+from convoy.session import checkpoint_dir
 from convoy.sources.fleet import Fleet
+from convoy.sources.sinks import path_exists
 
 BATCH_DATE = "2001-08-01"
 NATURAL_KEYS = {"delivery": "delivery_id", "vehicle": "vehicle_id", "driver": "driver_id",
@@ -116,9 +119,6 @@ def v_operations(spark: SparkSession, fleet: Fleet) -> DataFrame:
 
 
 def _folder(spark: SparkSession) -> str:
-    import uuid
-
-    from convoy.session import checkpoint_dir
     return f"{checkpoint_dir(spark).rstrip('/')}/convoy-warehouse-{uuid.uuid4().hex}"
 
 
@@ -151,21 +151,89 @@ def second_day(fleet: Fleet) -> Fleet:
     return replace(fleet, drivers=d)
 
 
-_STORED: dict[str, str] = {}
+#: Three batches for corrections: the second begins half a year before the first
+#: ends, the third goes over two months that both have loaded.
+CORRECTED = [WINDOWS[0], ("1998-01-01 00:00:00", *WINDOWS[1][1:]), ("1998-04-01 00:00:00", "1998-06-01 00:00:00", "2000-02-01 00:00:00")]
 
 
-def _two_batches(spark: SparkSession, fleet: Fleet) -> str:
-    """Folder of a warehouse after both batches; run once for each set of fleet
-    tables, then read by every query over it."""
-    key = min(fleet.trips.inputFiles())
-    if key not in _STORED:
+def corrected_day(fleet: Fleet, batch: int) -> Fleet:
+    """The fleet as batch 1, 2 or 3 of :data:`CORRECTED` sees it. From the second on, deliveries
+    whose id leaves 3 on division by 10 were scheduled a day earlier and weigh a
+    kilogram more; in the third, every other of them is as it was at first."""
+    if batch == 1:
+        return fleet
+    wrong = F.col("delivery_id") % (10 if batch == 2 else 20) == (3 if batch == 2 else 13)
+    d = (fleet.deliveries
+         .withColumn("scheduled_datetime", F.when(wrong, F.col("scheduled_datetime") - F.expr("interval 1 day")).otherwise(F.col("scheduled_datetime")))
+         .withColumn("package_weight_kg", F.when(wrong, F.col("package_weight_kg") + 1).otherwise(F.col("package_weight_kg")).cast("decimal(10,2)")))
+    return replace(second_day(fleet), deliveries=d)
+
+
+_STORED: dict[tuple, str] = {}
+
+
+def _warehouse(spark: SparkSession, fleet: Fleet, name: str, steps: list[tuple]) -> str:
+    """Folder of a warehouse after ``steps`` (batch, fleet, window); run once for each set
+    of fleet tables and scratch folder, then read by every query over it."""
+    key = (name, checkpoint_dir(spark), min(fleet.trips.inputFiles()))
+    if key not in _STORED or not path_exists(spark, _STORED[key]):
         out = _folder(spark)
-        for i, (start, end, as_of) in enumerate(WINDOWS):
-            B.run_daily(spark, second_day(fleet) if i else fleet, out, as_of, i + 1, start, end)
+        for batch, seen, (start, end, as_of) in steps:
+            B.run_daily(spark, seen, out, as_of, batch, start, end)
         _STORED[key] = out
     return _STORED[key]
 
 
+def _two_batches(spark: SparkSession, fleet: Fleet) -> str:
+    return _warehouse(spark, fleet, "two", [(1, fleet, WINDOWS[0]), (2, second_day(fleet), WINDOWS[1])])
+
+
+def _corrected(spark: SparkSession, fleet: Fleet, order: list[int]) -> str:
+    return _warehouse(spark, fleet, f"corrected {order}", [(b, corrected_day(fleet, b), CORRECTED[b - 1]) for b in order])
+
+
+def _reordered(spark: SparkSession, fleet: Fleet) -> dict[str, DataFrame]:
+    """The three batches loaded out of order, the first of them twice."""
+    return B.stored(spark, _corrected(spark, fleet, [1, 3, 2, 1]))
+
+
+def corrected_facts(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    """Facts after corrections of stored deliveries, batches loaded in order."""
+    return B.stored(spark, _corrected(spark, fleet, [1, 2, 3]))["fact_deliveries"].drop(*KEYS, "etl_timestamp")
+
+
+def corrected_totals(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    """Stored totals of all days with facts; each batch rolled up the days it touched."""
+    t = B.stored(spark, _corrected(spark, fleet, [1, 2, 3]))["daily_totals"]
+    return t.where("total_deliveries > 0").drop("date_update", "etl_batch_id")
+
+
+def reordered_facts(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    return _reordered(spark, fleet)["fact_deliveries"].drop(*KEYS, "etl_timestamp")
+
+
+def reordered_customers(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    return _reordered(spark, fleet)["dim_customer"].drop("customer_key")
+
+
+def reordered_drivers(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    return _reordered(spark, fleet)["dim_driver"].drop("driver_key")
+
+
+def reordered_dates(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    return _reordered(spark, fleet)["dim_date"]
+
+
+def reordered_totals(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    return _reordered(spark, fleet)["daily_totals"].where("total_deliveries > 0").drop("date_update", "etl_batch_id")
+
+
+def batch_metrics(spark: SparkSession, fleet: Fleet) -> DataFrame:
+    """What each of the two batches extracted, accepted and has in effect."""
+    m = spark.read.json(f"{_two_batches(spark, fleet)}/etl_metrics").drop("batch")
+    return m.select("batch_id", "records_extracted", "records_transformed", "records_loaded", "errors")
+
+
 def two_day_run(spark: SparkSession, fleet: Fleet) -> DataFrame:
     """The facts stored after two batches with overlapping windows."""
     return B.stored(spark, _two_batches(spark, fleet))["fact_deliveries"].drop(*KEYS, "etl_timestamp")
