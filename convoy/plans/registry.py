@@ -101,6 +101,13 @@ def _registry() -> dict[str, QueryFn]:
         "stream_delivery_verification": SQ.stream_delivery_verification,
         "stream_vehicle_tracking": SQ.stream_vehicle_tracking,
         "latest_ping_per_vehicle": SQ.latest_ping_per_vehicle,
+        "verify_bodies": SQ.verify_bodies,
+        "eta_bodies": SQ.eta_bodies,
+        "deviation_bodies": SQ.deviation_bodies,
+        "stream_newest_positions": SQ.stream_newest_positions,
+        "stream_tracking_table": SQ.stream_tracking_table,
+        "stream_keyed_verification": SQ.stream_keyed_verification,
+        "stream_alert_messages": SQ.stream_alert_messages,
         # sources and sinks
         "staging_variant": SRC.staging_variant,
         "snapshot_reconcile": SRC.snapshot_reconcile,

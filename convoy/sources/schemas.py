@@ -45,3 +45,5 @@ GPS_PING = _s(("event_id", L), ("vehicle_id", L), ("driver_id", L), ("route_id",
 DELIVERY_MARK = _s(("event_id", L), ("ts", NTZ), ("delivery_id", L), ("tracking_number", S))
 
 WAYPOINTS = _s(("route_id", L), ("waypoints", T.ArrayType(POINT)))
+
+STATUS = _s(("delivery_id", L), ("tracking_number", S), ("status", S), ("delivered_datetime", NTZ))

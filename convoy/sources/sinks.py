@@ -71,6 +71,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(e.getPath().getName() for e in fs.listStatus(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making from its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_summary_json(summary: DataFrame, path: str) -> None:
     """Write a one-row summary (e.g. :func:`convoy.plans.quality.summary_json`)."""
     summary.coalesce(1).write.mode("overwrite").text(path)

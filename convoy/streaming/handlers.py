@@ -125,8 +125,9 @@ def deviation_alerts(checked: DataFrame, *more: str) -> DataFrame:
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
-    """JSON message per alert, ready for a message sink."""
+    """JSON message per alert, ready for a message sink, with the alert's event id if it has one."""
     return alerts.select(
+        *[c for c in ["event_id"] if c in alerts.columns],
         F.col("vehicle_id").cast("string").alias("key"),
         F.to_json(F.struct("vehicle_id", "driver_id", "route_id", "deviation_km",
                            "current_location", C.iso_text("timestamp").alias("timestamp"),

@@ -6,12 +6,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from convoy.session import checkpoint_dir
 from convoy.sources import events as EV
 from convoy.sources.fleet import cached_fleet
 from convoy.streaming import handlers as H
 from convoy.streaming import jobs as J
+from convoy.streaming.keyed_table import KeyedTable
 
 
 def flat_points(df: DataFrame) -> DataFrame:
@@ -48,6 +50,27 @@ def deviation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_points(H.deviation_alerts(_checked(spark, sf_dir)))
 
 
+def _parsed(bodies: DataFrame, fields: str) -> DataFrame:
+    """JSON answers as columns, so that they compare value by value."""
+    return bodies.select("event_id", F.from_json("body", f"{fields}, error string").alias("b")).select("event_id", "b.*")
+
+
+def verify_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = EV.delivery_status(cached_fleet(spark, sf_dir))
+    return _parsed(H.verify_deliveries(EV.delivery_marks(spark, sf_dir), status),
+                   "delivery_id bigint, tracking_number string, is_completed boolean, status string, delivered_datetime string")
+
+
+def eta_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(H.eta_body(H.vehicle_eta(EV.gps_pings(spark, sf_dir))),
+                   "vehicle_id bigint, distance_remaining_km double, eta string, estimated_minutes bigint")
+
+
+def deviation_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(H.deviation_body(_checked(spark, sf_dir)),
+                   "vehicle_id bigint, is_deviated boolean, deviation_km double, alert_sent boolean, threshold_km int")
+
+
 def stream_deviation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the pings as files, run the streaming deviation job to the end of
     its input (``availableNow``) and read the alert table back."""
@@ -85,3 +108,60 @@ def stream_vehicle_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_ping_per_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from convoy.sources.sinks import latest_per_vehicle
     return flat_points(latest_per_vehicle(EV.gps_pings(spark, sf_dir)))
+
+
+def _base(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/convoy-stream-{uuid.uuid4().hex}"
+
+
+def stream_newest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest ping of each vehicle out of a stream that brings pings in any order, a micro-batch
+    a file, into a table compacted on the way."""
+    base = _base(spark)
+    EV.write_event_files(EV.gps_pings(spark, sf_dir), f"{base}/pings", files=12)
+    table = KeyedTable(spark, f"{base}/table", ["vehicle_id"], ["ts", "event_id"], buckets=4)
+    J.newest_positions(EV.read_event_stream(spark, f"{base}/pings", "gps", max_files_per_trigger=1), table, f"{base}/_checkpoint",
+                       trigger="availableNow", compact_every=5).awaitTermination()
+    return flat_points(table.read().drop("batch_id"))
+
+
+def stream_tracking_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ETA of each vehicle and time (highest event id) from a compacted table."""
+    base = _base(spark)
+    EV.write_event_files(EV.gps_pings(spark, sf_dir), f"{base}/pings", files=12)
+    table = KeyedTable(spark, f"{base}/table", ["vehicle_id", "ts"], ["event_id"], buckets=4)
+    J.tracking_table(EV.read_event_stream(spark, f"{base}/pings", "gps", max_files_per_trigger=1), table, f"{base}/_checkpoint",
+                     trigger="availableNow", compact_every=5).awaitTermination()
+    return flat_points(table.read().drop("batch_id"))
+
+
+def stream_keyed_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verification against a keyed status table whose statuses have come in two writes:
+    every third delivery as under way first, then as it is."""
+    base = _base(spark)
+    EV.write_event_files(EV.delivery_marks(spark, sf_dir), f"{base}/marks")
+    status = EV.delivery_status(cached_fleet(spark, sf_dir))
+    third = F.col("delivery_id") % 3 == 0
+    table = KeyedTable(spark, f"{base}/status", ["delivery_id"], ["batch_id"], bucket="delivery_id div 16384")
+    table.put(status.withColumn("status", F.when(third, "in_transit").otherwise(F.col("status"))), 0)
+    table.compact()
+    table.put(status.where(third), 1)
+    J.keyed_verification(EV.read_event_stream(spark, f"{base}/marks", "marks", max_files_per_trigger=2), table, f"{base}/out",
+                         f"{base}/_checkpoint", trigger="availableNow").awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("body", "batch_id")
+
+
+def stream_alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert messages published from the outbox of a stream, while it runs and after."""
+    base = _base(spark)
+    pings = EV.gps_pings(spark, sf_dir)
+    for part in range(2):
+        EV.write_event_files(pings.where(F.col("event_id") % 2 == part), f"{base}/pings", files=2)
+        J.route_deviation_alerts(EV.read_event_stream(spark, f"{base}/pings", "gps", max_files_per_trigger=1),
+                                 EV.route_waypoints(spark, sf_dir), f"{base}/alerts", f"{base}/messages", f"{base}/_checkpoint",
+                                 trigger="availableNow").awaitTermination()
+        J.publish_messages(spark, f"{base}/messages", f"{base}/published")
+    got = spark.read.parquet(f"{base}/published/messages")
+    fields = ("vehicle_id bigint, driver_id bigint, route_id bigint, deviation_km double, "
+              "current_location struct<lat: double, lon: double>, timestamp string, alert_type string")
+    return flat_points(got.select(F.col("key").alias("message_key"), F.from_json("value", fields).alias("m")).select("message_key", "m.*"))
