@@ -203,14 +203,15 @@ def _search(k: int):
 
 def search(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k: int = 10, p: Params | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows of ``vectors``
-    found for each row of ``queries`` (the row of the same id left out)."""
+    found for each id of ``queries`` (rows of the same id left out; of several vectors
+    of one id the least, element by element, is asked)."""
     p, spark = p or Params(), vectors.sparkSession
     rows, asked = usable(vectors, id_col, vec_col), usable(queries, id_col, vec_col)
     model, _, probes = fit(rows, p)
     model = None if model is None else spark.sparkContext.broadcast(model)  # of fixed size
     schema = "id long, v array<double>, parts array<int>"
     rows = rows.mapInPandas(_route(model, 1), schema).select("id", "v", F.explode("parts").alias("part"))
-    asked = asked.dropDuplicates(["id"]).mapInPandas(_route(model, probes), schema).select("id", "v", F.explode("parts").alias("part"))
+    asked = asked.groupBy("id").agg(F.min("v").alias("v")).mapInPandas(_route(model, probes), schema).select("id", "v", F.explode("parts").alias("part"))
     rows, asked = cut(rows), cut(asked)
     blocks = lambda df, name: df.groupBy("part").agg(F.ceil(F.count("*") / p.block).cast("int").alias(name))
     # a row a partition: p.most at most

@@ -19,7 +19,6 @@ repeated rows are scored row by row; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +30,6 @@ from pyspark.sql import functions as F
 
 from convoy.llm.common import byte_slices
 
-LETTER = re.compile(r"[^\W\d_]")
 #: A-Z to lower case, ASCII that is no letter to a space; 1 marks the ends of a text.
 _PLAIN = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 or b == 1 else 32 for b in range(256)], np.uint8)
 MUL = np.uint32(2654435761)
@@ -151,7 +149,7 @@ def predict(docs: DataFrame, m: Model) -> DataFrame:
                 g, n = grams(texts, m.order, m.bits)
                 pred, score = ["und"] * len(texts), [0.0] * len(texts)
                 for i, (t, x) in enumerate(zip(texts, np.split(g, np.cumsum(n)[:-1]))):
-                    if m.langs and len(x) and LETTER.search(t.decode("utf-8", "replace")):
+                    if m.langs and len(x) and any(map(str.isalpha, t.decode("utf-8", "replace"))):
                         k, score[i] = infer(m, x)
                         pred[i] = m.langs[k]
                 yield pa.RecordBatch.from_arrays([own.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])

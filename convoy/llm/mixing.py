@@ -37,7 +37,7 @@ DRAWS = 512
 
 def sized(docs: DataFrame) -> DataFrame:
     n = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
-    return docs.select("doc_id", "source", F.coalesce(n, F.lit(0)).cast("long").alias("size"))
+    return docs.select("doc_id", "source", F.coalesce(n, F.lit(0)).cast("long").alias("size"), F.xxhash64("doc_id", "text").alias("_h"))
 
 
 def targets(sizes: DataFrame, weights: list[int], share: float, most: float) -> DataFrame:
@@ -139,7 +139,7 @@ def mix(docs: DataFrame, weights: list[int] = (3, 1, 2), share: float = 1.5, mos
     d = d.withColumn("base", F.floor(per)).withColumn("p", per - F.floor(per))
     d = d.withColumn("p", F.when(F.col("size") == 0, F.lit(0.0)).otherwise(F.col("p")))
     d = d.withColumn("_s", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
-    d = d.withColumn("_h", F.xxhash64("doc_id")).withColumn("_k", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    d = d.withColumn("_k", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     d = d.withColumn("_c", F.floor(F.log2(F.col("size") + 1) * 2).cast("int"))
     d = d.withColumn("_n", F.ceil(F.col("n") / GROUP).cast("long"))
     d = d.withColumn("_t", F.pmod(F.col("_h"), F.col("_n")))
@@ -169,12 +169,15 @@ def mix(docs: DataFrame, weights: list[int] = (3, 1, 2), share: float = 1.5, mos
 
 
 def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mixed`` says. Repeated ids are
-    told apart by their order of size, so each row gets one decision."""
-    order = Window.partitionBy("doc_id").orderBy
-    size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-    left = docs.withColumn("_i", F.row_number().over(order(F.col("source").asc_nulls_last(), size)))
-    right = mixed.withColumn("_j", F.row_number().over(order(F.col("source").asc_nulls_last(), "size"))).select(
-        F.col("doc_id").alias("_d"), "_j", F.col("copies").cast("int").alias("_copies")).filter("_copies > 0")
-    both = left.join(right, left["doc_id"].eqNullSafe(right["_d"]) & (left["_i"] == right["_j"]))
-    return both.withColumn("_x", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """The rows of ``docs``, each as often as ``mixed`` says. Rows of equal id, source
+    and size are told apart by the order of their texts' hashes, so each row gets one
+    decision, the same on every run."""
+    size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    rows = docs.select(F.struct("*").alias("record"), "doc_id", "source", size.alias("size"), F.xxhash64("text").alias("t"))
+    same = Window.partitionBy("doc_id", "source", "size").orderBy
+    left = rows.withColumn("i", F.row_number().over(same("t")))
+    right = mixed.withColumn("i", F.row_number().over(same("copies"))).filter("copies > 0").select(
+        F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), F.col("i").alias("j"), F.col("copies").cast("int").alias("copies"))
+    both = left.join(right, left["doc_id"].eqNullSafe(right["d"]) & left["source"].eqNullSafe(right["s"])
+                     & (left["size"] == right["z"]) & (left["i"] == right["j"]))
+    return both.select("record", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("record.*")

@@ -46,7 +46,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines.remove_lines(table(spark, sf_dir, "documents"), similarity=0.8, distance=None)
+    return fuzzy_lines.remove_lines(table(spark, sf_dir, "documents"), similarity=0.8, distance=3, grams=True)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,3 +51,11 @@ def test_partitions_are_balanced():
     part = ann.balanced_partition(ann.nearest(x, 8), 6)
     size = np.bincount(part, minlength=6)
     assert size.sum() == 600 and size.max() <= 600 / 6 * 1.15 + 1
+
+
+def test_an_id_of_several_vectors_asks_with_the_least(spark):
+    rows = [(100, [2.0, 1.0]), (100, [1.0, 1.0]), (1, [1.0, 1.1]), (2, [2.0, 1.1]), (3, [9.0, 9.0])]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>").repartition(2)
+        got = ann.search(df, df.filter("vec_id = 100"), "vec_id", "embedding", k=2).orderBy("rank").collect()
+        assert [r.vec_id for r in got] == [1, 2]

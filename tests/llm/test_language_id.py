@@ -57,3 +57,11 @@ def test_a_language_behind_four_others_joins():
     m = I.Model([f"l{k}" for k in range(7)], p.astype(np.float32), 4, 16)
     k, score = I.infer(m, np.arange(100))
     assert k == 0 and 0.85 < score < 0.97
+
+
+def test_number_signs_are_no_letters(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the river and the stone", "en"), ("der Fluss und der Stein", "de")] * 6)]
+    model = I.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    odd = spark.createDataFrame([(1, "½ ² ① Ⅷ"), (2, "12 _ -"), (3, "ª"), (4, "the ½")], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in I.predict(odd, model).collect()}
+    assert got[1] == got[2] == "und" and got[3] != "und" and got[4] == "en"

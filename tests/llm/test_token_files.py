@@ -66,3 +66,24 @@ def test_reads_only_wanted_frames_and_checks_sums(tmp_dir):
 def test_empty_table(spark, tmp_dir):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert W.read(W.write(df, f"{tmp_dir}/e", tokenizer_path())).count() == 0
+
+
+def test_another_tokenizer_is_encoded_whole():
+    """What the fast path takes for granted is checked; without it ids are those of the tokenizer."""
+    enc = W.Encoder(tokenizer_path())
+    assert enc.exact
+    texts = pa.array(["One, two. THREE", None, "", "x" * 50], pa.large_string())
+    fast = enc.encode(texts, 1)
+    enc.exact = False
+    slow = enc.encode(texts, 1)
+    assert fast[0].tolist() == slow[0].tolist() and fast[1].tolist() == slow[1].tolist()
+
+
+def test_rows_of_one_id_lie_in_several_files(spark, tmp_dir):
+    df = spark.range(400).selectExpr("CASE WHEN id % 4 = 0 THEN id END AS doc_id", "concat('text ', id) AS text")
+    made = W.write(df, f"{tmp_dir}/t", tokenizer_path(), files=4)
+    n = sorted(r.n_docs for r in made.collect())
+    assert sum(n) == 400 and n[-1] <= 200
+    got = W.read(made).collect()
+    assert len(got) == 400 and sum(r.doc_id is None for r in got) == 300
+    assert sorted(r.start for r in got) == [sum(r.n_tokens for r in sorted(got, key=lambda r: r.start)[:i]) for i in range(400)]
