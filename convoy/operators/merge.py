@@ -18,7 +18,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convoy.functions.columns import OPEN_VALID_TO
@@ -107,15 +107,34 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, key: str, tracked: li
 
 def point_in_time(facts: DataFrame, dim: DataFrame, key: str, at: str, surrogate: str,
                   unknown: int = -1) -> DataFrame:
-    """Attach the surrogate key of the dimension version valid at ``at``:
-    equi-join on the business key, then ``valid_from <= at < valid_to``.
-    Facts without a matching version get the unknown member key."""
-    versions = dim.select(F.col(key).alias("_k"), F.col(surrogate).alias("_sk"),
-                          "valid_from", "valid_to")
-    at_date = F.to_date(F.col(at))
-    cond = ((F.col(key) == F.col("_k")) & (F.col("valid_from") <= at_date)
-            & (at_date < F.col("valid_to")))
-    out = facts.join(versions, cond, "left")
-    return (out.withColumn(surrogate, F.coalesce(F.col("_sk"), F.lit(unknown).cast("bigint")))
-            .drop("_k", "_sk", "valid_from", "valid_to"))
-
+    """Attach the surrogate key of the dimension version valid at ``at``
+    (``valid_from <= at < valid_to``; a key's versions don't overlap). Facts
+    without a matching version get the unknown member key.
+
+    Facts and versions are merged in one ordered pass for each key and month, the
+    last version carried forward, so no pairs of facts and versions are formed. What
+    is valid when a month begins is carried in from a pass over the versions and the
+    months that have facts alone; a key's facts are thus spread over their months.
+    """
+    day = F.to_date(F.col(at))
+    versions = dim.select(F.col(key).alias("_k"), F.col("valid_from").alias("_at"),
+                          F.struct(F.col(surrogate).alias("sk"), "valid_to").alias("_version"))
+    none = F.lit(None).cast(versions.schema["_version"].dataType)
+    stream = facts.withColumn("_k", F.col(key)).withColumn("_at", day).withColumn("_month", F.trunc("_at", "month"))
+    begun = stream.where(F.col("_k").isNotNull() & F.col("_month").isNotNull()).select(
+        "_k", F.col("_month").alias("_at")).distinct().select("*", none.alias("_version"))
+
+    def carried(*by: str) -> Column:
+        # versions come before the marks and facts of their day
+        order = Window.partitionBy(*by).orderBy("_at", F.col("_version").isNull())
+        return F.last("_version", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+
+    marks = versions.select(*begun.columns).unionByName(begun).withColumn("_carried", carried("_k"))
+    opening = marks.where(F.col("_version").isNull() & F.col("_carried").isNotNull()).select("_k", "_at", F.col("_carried").alias("_version"))
+    # a version that begins on the first of a month is its own opening, too
+    known = versions.unionByName(opening).distinct().withColumn("_month", F.trunc("_at", "month")).withColumn("_fact", F.lit(False))
+    merged = stream.withColumn("_version", none).withColumn("_fact", F.lit(True)).unionByName(known, allowMissingColumns=True)
+    found = merged.withColumn("_found", carried("_k", "_month")).where("_fact")
+    valid = F.when(F.col("_at") < F.col("_found.valid_to"), F.col("_found.sk"))
+    out = found.withColumn(surrogate, F.coalesce(valid, F.lit(unknown).cast("bigint")))
+    return out.select(*facts.columns, surrogate)

@@ -5,13 +5,8 @@ A window with an ORDER BY and no PARTITION BY moves every row into one task.
 
 1. collapse rows to distinct values with their multiplicity (partial
    aggregation, so a value held by a third of the rows becomes one row);
-2. cut the distinct values into ``buckets`` ranges at approximate quantiles
-   (a scalar subquery of at most ``buckets - 1`` boundaries); NULL gets its
-   own bucket before or after all others;
-3. rows-before-bucket = running sum over the per-bucket totals (one row per
-   bucket, a bounded window), rows-before-value = running sum inside the
-   bucket (a window partitioned by bucket);
-4. rank = 1 + both sums.
+2. rank = 1 + the rows of all smaller values: a running total over range
+   partitions whose number follows the data (:mod:`convoy.operators.prefix`).
 
 :func:`with_ranks` joins one or more such rank tables back to the rows on
 the value. Ties share a rank and the next rank skips, exactly as ``rank()``.
@@ -21,52 +16,29 @@ PostgreSQL default) unless ``nulls_last`` is given.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.operators.lineage import materialize
+from convoy.operators.prefix import running_totals
 
-DEFAULT_BUCKETS = 256
 
-
-def rank_table(df: DataFrame, key: str, ascending: bool = True,
-               nulls_last: bool | None = None, buckets: int = DEFAULT_BUCKETS,
-               accuracy: int = 10000) -> DataFrame:
+def rank_table(df: DataFrame, key: str, ascending: bool = True, nulls_last: bool | None = None) -> DataFrame:
     """Distinct values of ``key`` with their rank: columns ``(_v, _rank)``."""
     if nulls_last is None:
         nulls_last = ascending
     counts = df.groupBy(F.col(key).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = (counts.where(F.col("_v").isNotNull())
-              .select(F.percentile_approx(F.col("_v").cast("double"), probs, accuracy))
-              .scalar())
-    # Bounds go into a column first: subqueries may not sit inside a lambda.
-    below = F.size(F.filter("_bounds", lambda b: b < F.col("_v").cast("double")))
-    ordered = below if ascending else F.lit(buckets - 1) - below
-    null_bucket = F.lit(buckets) if nulls_last else F.lit(-1)
-    keyed = (counts.withColumn("_bounds", bounds)
-             .withColumn("_b", F.when(F.col("_v").isNull(), null_bucket).otherwise(ordered))
-             .drop("_bounds"))
-
-    # At most buckets + 1 rows: a bounded global window.
-    per_bucket = keyed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select("_b", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"))
-
-    order = F.col("_v").asc() if ascending else F.col("_v").desc()
-    inside = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return keyed.join(F.broadcast(offsets), "_b").select(
-        "_v",
-        (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .cast("bigint").alias("_rank"))
+    v = F.col("_v")
+    order = {(True, True): v.asc_nulls_last(), (True, False): v.asc_nulls_first(),
+             (False, True): v.desc_nulls_last(), (False, False): v.desc_nulls_first()}[ascending, nulls_last]
+    return running_totals(counts, [order], {"_n": "_before"}).select("_v", (F.col("_before") + 1).alias("_rank"))
 
 
 _EXACT_IN_DOUBLE = {"tinyint", "smallint", "int", "float", "double"}
 
 
 def with_ranks(df: DataFrame, specs: list[tuple[str, str, bool]],
-               buckets: int = DEFAULT_BUCKETS, row_key: str | None = None) -> DataFrame:
+               row_key: str | None = None) -> DataFrame:
     """Add ``rank() over (order by key asc|desc)`` columns.
 
     ``specs`` is a list of ``(key, output_column, ascending)``. When every key
@@ -79,12 +51,12 @@ def with_ranks(df: DataFrame, specs: list[tuple[str, str, bool]],
     types = dict(df.dtypes)
     stackable = len(specs) > 1 and all(types[k] in _EXACT_IN_DOUBLE for k, _, _ in specs)
     if stackable and row_key is not None:
-        return _with_ranks_keyed(df, specs, buckets, row_key)
+        return _with_ranks_keyed(df, specs, row_key)
     if stackable:
         # One row per (key, distinct value), read by one join per key: written
         # once, otherwise each join would re-run the whole ranking (the
         # per-key filter is pushed below the windows, so plans differ).
-        ranked = materialize(_stacked_rank_table(df, specs, buckets))
+        ranked = materialize(_stacked_rank_table(df, specs))
         out = df
         for i, (key, name, _) in enumerate(specs):
             rt = ranked.where(F.col("_m") == i).select(F.col("_v").alias("_rv"),
@@ -93,7 +65,7 @@ def with_ranks(df: DataFrame, specs: list[tuple[str, str, bool]],
         return out
     out = df
     for key, name, asc in specs:
-        rt = rank_table(df, key, ascending=asc, buckets=buckets)
+        rt = rank_table(df, key, ascending=asc)
         out = (out.join(rt, out[key].eqNullSafe(rt["_v"]), "left")
                .withColumnRenamed("_rank", name).drop("_v"))
     return out
@@ -103,11 +75,10 @@ def _signed(specs: list[tuple[str, str, bool]]) -> list:
     return [F.col(k).cast("double") if asc else -F.col(k).cast("double") for k, _, asc in specs]
 
 
-def _with_ranks_keyed(df: DataFrame, specs: list[tuple[str, str, bool]], buckets: int,
-                      row_key: str) -> DataFrame:
+def _with_ranks_keyed(df: DataFrame, specs: list[tuple[str, str, bool]], row_key: str) -> DataFrame:
     """Stacked ranks joined back through the stacked rows ``(row_key, _m,
     _v)`` and pivoted to one column per key."""
-    ranked = _stacked_rank_table(df, specs, buckets)
+    ranked = _stacked_rank_table(df, specs)
     stacked = df.select(row_key, F.explode(F.array(*[
         F.struct(F.lit(i).alias("_sm"), F.col(k).cast("double").alias("_sv"))
         for i, (k, _, _) in enumerate(specs)])).alias("_s")).select(row_key, "_s.*")
@@ -119,41 +90,25 @@ def _with_ranks_keyed(df: DataFrame, specs: list[tuple[str, str, bool]], buckets
     return df.join(pivot, row_key)
 
 
-def _stacked_rank_table(df: DataFrame, specs: list[tuple[str, str, bool]], buckets: int,
-                        accuracy: int = 10000) -> DataFrame:
+def _stacked_rank_table(df: DataFrame, specs: list[tuple[str, str, bool]]) -> DataFrame:
     """Ranks of several numeric keys at once: rows ``(_m, _v, _rank)`` with
     ``_m`` the spec index and ``_v`` the key value as double.
 
-    Descending keys are ranked as ascending on ``-v``; NULL goes to bucket
-    ``buckets`` (ascending, NULLS LAST) or ``-1`` (descending, NULLS FIRST).
+    Descending keys are ranked as ascending on ``-v``, with NULLs first instead of last.
     """
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_m"), o.alias("_o")) for i, o in enumerate(_signed(specs))
     ])).alias("_s")).select("_s.*")
     counts = stacked.groupBy("_m", "_o").agg(F.count(F.lit(1)).alias("_n"))
-    probs = [i / buckets for i in range(1, buckets)]
-    # One row per key: bounded broadcast.
-    bounds = (counts.where(F.col("_o").isNotNull()).groupBy("_m")
-              .agg(F.percentile_approx("_o", probs, accuracy).alias("_bounds")))
-    null_bucket = F.element_at(F.array(*[F.lit(buckets if asc else -1) for _, _, asc in specs]),
-                               F.col("_m") + 1)
-    below = F.size(F.filter("_bounds", lambda b: b < F.col("_o")))
-    keyed = (counts.join(F.broadcast(bounds), "_m", "left")
-             .withColumn("_b", F.when(F.col("_o").isNull(), null_bucket).otherwise(below))
-             .drop("_bounds"))
-    # At most len(specs) * (buckets + 1) rows.
-    per_bucket = keyed.groupBy("_m", "_b").agg(F.sum("_n").alias("_bn"))
-    before = Window.partitionBy("_m").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select("_m", "_b", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_m", "_b").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
-    sign = F.element_at(F.array(*[F.lit(1.0 if asc else -1.0) for _, _, asc in specs]),
-                        F.col("_m") + 1)
-    return keyed.join(F.broadcast(offsets), ["_m", "_b"]).select(
-        "_m", (F.col("_o") * sign).alias("_v"),
-        (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .cast("bigint").alias("_rank"))
-
-
-def global_rank(df: DataFrame, key: str, out: str, ascending: bool = True,
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    return with_ranks(df, [(key, out, ascending)], buckets)
+    per_spec = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_m") + 1)
+    nulls = F.when(F.col("_o").isNull(), per_spec([1 if asc else -1 for _, _, asc in specs])).otherwise(F.lit(0))
+    totals = running_totals(counts, [F.col("_m"), nulls, F.col("_o")], {"_n": "_before"})
+    # rows before a key's own: one row for each key
+    first = F.broadcast(totals.groupBy("_m").agg(F.min("_before").alias("_first")))
+    return totals.join(first, "_m").select(
+        "_m", (F.col("_o") * per_spec([1.0 if asc else -1.0 for _, _, asc in specs])).alias("_v"),
+        (F.col("_before") - F.col("_first") + 1).alias("_rank"))
+
+
+def global_rank(df: DataFrame, key: str, out: str, ascending: bool = True) -> DataFrame:
+    return with_ranks(df, [(key, out, ascending)])

@@ -111,6 +111,7 @@ def _registry() -> dict[str, QueryFn]:
         # sources and sinks
         "staging_variant": SRC.staging_variant,
         "snapshot_reconcile": SRC.snapshot_reconcile,
+        "snapshot_differences": SRC.snapshot_differences,
     }
     return q
 

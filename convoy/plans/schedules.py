@@ -8,11 +8,12 @@ so every output is a pure function of the input tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.functions import columns as C
 from convoy.operators.expand import allocate, expand_range
+from convoy.operators.prefix import row_numbers
 from convoy.plans.warehouse import pd_round
 from convoy.sources.fleet import Fleet
 
@@ -145,15 +146,14 @@ def route_table(fleet: Fleet, hub: str | None = None, count: int | None = None)
     70 km/h, codes R001, R002 ... in (origin, destination, variant) order.
 
     Cities are the distinct route endpoints; the hub defaults to the first
-    city in name order. The route count is bounded by the square of the city
-    count, so the numbering window is bounded.
+    city in name order. Cities and routes are numbered over range partitions.
     """
     cities = fleet.routes.select(F.col("origin_city").alias("city")) \
         .union(fleet.routes.select(F.col("destination_city").alias("city"))).distinct()
     hub_city = F.lit(hub) if hub else cities.select(F.min("city")).scalar()
     # ordered pairs via an equi-join on a city index: each origin lists the
     # other cities by position (no nested-loop pair enumeration)
-    idx = cities.withColumn("ci", F.dense_rank().over(Window.orderBy("city")) - 1)
+    idx = row_numbers(cities, [F.col("city")], "ci").withColumn("ci", F.col("ci") - 1)
     n = idx.select(F.count(F.lit(1))).scalar()
     origins = idx.select(F.col("city").alias("origin_city"), F.col("ci").alias("oi"),
                          F.explode(F.sequence(F.lit(1), (n - 1).cast("int"))).alias("step"))
@@ -170,11 +170,9 @@ def route_table(fleet: Fleet, hub: str | None = None, count: int | None = None)
              .join(lookup, ["a", "b"], "left")
              .withColumn("variant", F.explode(F.sequence(F.lit(0), variants - 1))))
     km = F.coalesce(F.col("base_km"), F.lit(DEFAULT_PAIR_KM).cast("decimal(10,2)"))
-    w = Window.orderBy("origin_city", "destination_city", "variant")
+    pairs = row_numbers(pairs, [F.col("origin_city"), F.col("destination_city"), F.col("variant")], "number")
     if count is not None:  # the first ``count`` numbers, in order of the number
-        pairs = pairs.withColumn("number", F.row_number().over(w)).where(F.col("number") <= count)
-    else:
-        pairs = pairs.withColumn("number", F.row_number().over(w))
+        pairs = pairs.where(F.col("number") <= count)
     return pairs.select(
         C.zero_pad_code("R", F.col("number"), 3).alias("route_code"),
         "origin_city", "destination_city", km.cast("decimal(10,2)").alias("distance_km"),

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from convoy.operators.lineage import materialize
 from convoy.operators.merge import latest_per_key
 from convoy.sources.fleet import Fleet
 
@@ -125,6 +126,48 @@ def reconcile(spark: SparkSession, fleet: Fleet, paths: dict[str, str]) -> DataF
     return out.withColumn("ok", F.col("source_rows") == F.col("snapshot_rows"))
 
 
+def differences(source: DataFrame, copy: DataFrame, key: str, leaves: int = 4096, fanout: int = 64) -> DataFrame:
+    """``key, difference`` of every row in which ``copy`` differs from ``source``: ``missing``,
+    ``extra`` or ``changed: <columns>``. ``key`` is a long that identifies a row.
+
+    A tree of order-free sums of row hashes is compared from the root down: ranges of
+    the key are leaves, ``fanout`` of them a node. Equal tables are settled by their
+    roots, and only rows of leaves that differ are ever brought together.
+    """
+    cols = [c for c in source.columns if c != key]
+    low, high = source.select(key).union(copy.select(key)).agg(F.min(key), F.max(key)).first()
+    width = 1 if low is None else max(1, -(-(high - low + 1) // leaves))
+
+    def leaf(df: DataFrame) -> DataFrame:
+        every = [x for c in [key, *cols] for x in (F.col(c).isNull(), F.col(c))]
+        return df.withColumn("_leaf", F.floor((F.col(key) - F.lit(low)) / F.lit(width)).cast("bigint")).withColumn(
+            "_hash", F.xxhash64(*every).cast("decimal(38,0)"))
+
+    def sums(df: DataFrame, side: str) -> DataFrame:
+        return leaf(df).groupBy("_leaf").agg(F.sum("_hash").alias(f"{side}_sum"), F.count(F.lit(1)).alias(f"{side}_n"))
+
+    tree = materialize(sums(source, "s").join(sums(copy.select(source.columns), "c"), "_leaf", "full_outer"))  # at most ``leaves`` rows
+    node = F.floor(F.col("_leaf") / F.lit(fanout))
+
+    def unequal(level: DataFrame) -> DataFrame:
+        agg = level.groupBy("_at").agg(*[F.sum(f"{x}_{y}").alias(f"{x}_{y}") for x in "sc" for y in ("sum", "n")])
+        return agg.where(~(F.col("s_sum").eqNullSafe(F.col("c_sum")) & F.col("s_n").eqNullSafe(F.col("c_n")))).select("_at")
+
+    level = tree.withColumn("_at", F.lit(0).cast("bigint"))
+    if unequal(level).isEmpty():
+        level = level.limit(0)
+    level = level.withColumn("_at", node)
+    level = level.join(F.broadcast(unequal(level)), "_at", "left_semi").withColumn("_at", F.col("_leaf"))
+    found = F.broadcast(materialize(unequal(level).withColumnRenamed("_at", "_leaf")))  # at most ``leaves`` rows
+    a = leaf(source).join(found, "_leaf", "left_semi").select(F.col(key).alias("_a"), F.struct(*cols).alias("_x"))
+    b = leaf(copy.select(source.columns)).join(found, "_leaf", "left_semi").select(F.col(key).alias("_b"), F.struct(*cols).alias("_y"))
+    both = a.join(b, F.col("_a") == F.col("_b"), "full_outer")
+    changed = F.array_compact(F.array(*[F.when(~F.col(f"_x.{c}").eqNullSafe(F.col(f"_y.{c}")), F.lit(c)) for c in cols]))
+    what = (F.when(F.col("_b").isNull(), F.lit("missing")).when(F.col("_a").isNull(), F.lit("extra"))
+            .when(F.size(changed) > 0, F.concat(F.lit("changed: "), F.array_join(changed, ", "))))
+    return both.select(F.coalesce("_a", "_b").alias(key), what.alias("difference")).where("difference is not null")
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, lower: int, upper: int,
               partitions: int, properties: dict | None = None) -> DataFrame:
     """Parallel read of a relational table split on a numeric key range.

@@ -76,3 +76,30 @@ def test_second_change_on_one_day_replaces_the_version(spark):
     assert d.select("k").distinct().count() == 2
     d = stored(scd2_apply(d, spark.createDataFrame([(1, None)], schema), "driver_id", ["status"], "2001-09-01", "k"))
     assert scd2_apply(d, spark.createDataFrame([(1, None)], schema), "driver_id", ["status"], "2001-10-01", "k").count() == 3
+
+
+def test_point_in_time_is_one_pass(spark):
+    """Many versions and facts of one key, gaps, days that begin and end versions, NULLs."""
+    import random
+    rng = random.Random(4)
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(days=n)
+    versions, k = [], 0
+    for key, n in ((1, 1000), (2, 5), (3, 1)):
+        at = rng.randrange(40)
+        for _ in range(n):
+            end = at + rng.randint(1, 3)
+            k += 1
+            versions.append((key, k, day(at), day(end)))
+            at = end + rng.choice([0, 0, 1, 40])
+    dim = spark.createDataFrame(versions, "id bigint, sk bigint, valid_from date, valid_to date").repartition(3)
+    rows = [(i, rng.choice([1, 1, 1, 2, 3, 4, None]), None if i % 50 == 9 else dt.datetime(2000, 1, 1) + dt.timedelta(hours=rng.randrange(-500, 60_000)))
+            for i in range(4000)]
+    facts = spark.createDataFrame(rows, "fact int, id bigint, at timestamp_ntz").repartition(5)
+    got = {r.fact: r.sk for r in point_in_time(facts, dim, "id", "at", "sk").collect()}
+    held = {}
+    for key, sk, a, b in versions:
+        for n in range((b - a).days):
+            held[key, a + dt.timedelta(days=n)] = sk
+    assert got == {i: held.get((key, at and at.date()), -1) for i, key, at in rows}
+    plan = point_in_time(facts, dim, "id", "at", "sk")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

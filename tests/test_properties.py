@@ -32,7 +32,7 @@ def test_with_ranks_matches_definition(spark, a, b):
     want_b = _rank([r[2] for r in rows], False)
     want = {rows[i][0]: (want_a[i], want_b[i]) for i in range(n)}
     for key in (None, "id"):
-        got = with_ranks(df, [("a", "ra", True), ("b", "rb", False)], buckets=4, row_key=key)
+        got = with_ranks(df, [("a", "ra", True), ("b", "rb", False)], row_key=key)
         assert {r.id: (r.ra, r.rb) for r in got.collect()} == want
 
 
@@ -65,7 +65,7 @@ def test_per_key_rank_path_matches_definition(spark, a, b):
     rows = [(i, a[i], b[i]) for i in range(n)]
     df = spark.createDataFrame(rows, "id int, a bigint, b int") \
         .selectExpr("id", "a", "cast(b as decimal(20,2)) as b")
-    got = with_ranks(df, [("a", "ra", False), ("b", "rb", True)], buckets=3)
+    got = with_ranks(df, [("a", "ra", False), ("b", "rb", True)])
     res = {r.id: (r.ra, r.rb) for r in got.collect()}
     want_a = _rank([r[1] for r in rows], False)
     want_b = _rank([r[2] for r in rows], True)

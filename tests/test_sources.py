@@ -85,3 +85,17 @@ def test_append_rejects_another_type(spark, tmp_dir):
     with pytest.raises(SchemaMismatch):
         append_table(spark.createDataFrame([("3", "c")], "n string, s string"), path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_differences_name_every_changed_cell(spark):
+    from convoy.sources.sinks import differences
+    a = spark.createDataFrame([(i, f"v{i}", None if i % 5 else i) for i in range(-50, 400)], "id long, v string, n int")
+    assert differences(a, a.repartition(3), "id").count() == 0
+    b = [(i, "x" if i == 7 else None if i == 300 else f"v{i}", 0 if i in (7, 8) else None if i % 5 else i) for i in range(-50, 400) if i not in (9, 399)]
+    b = spark.createDataFrame([*b, (1000, "new", 1)], "id long, v string, n int")
+    want = {7: "changed: v, n", 8: "changed: n", 300: "changed: v", 9: "missing", 399: "missing", 1000: "extra"}
+    for leaves in (1, 16, 4096):
+        assert dict(tuple(r) for r in differences(a, b, "id", leaves=leaves, fanout=4).collect()) == want
+    none = a.limit(0)
+    assert differences(none, none, "id").count() == 0
+    assert {r.difference for r in differences(a, none, "id").collect()} == {"missing"}
