@@ -19,7 +19,12 @@ not every suffix has to travel, the passes are prepared:
    document) speaks for all others, per task and per group, so copies by the
    thousand don't meet.
 3. Where an anchor has different surroundings, its suffixes - one for each window
-   over it - are fetched and radix-sorted through ``length`` bytes.
+   over it - are fetched and radix-sorted through ``length`` bytes. An anchor with
+   more than ``HOT`` places is parted first: half of its windows hold the bytes
+   after it, the others those before it, and these bytes join its key.
+
+Positions go back to their texts in packed blobs, dealt by text, so that the rows
+that Spark moves follow the bytes and not texts times shards.
 
 A last pass over the texts unites the covered bytes. Equal whole texts are
 settled by their digest before that.
@@ -48,6 +53,12 @@ Q = 16
 GAP = 0xFF
 #: Bytes of text whose anchors one group should receive.
 SHARD_BYTES, LEAST_SHARDS = 32 << 20, 8
+#: Places from which on an anchor is parted by its neighbouring bytes.
+HOT = 4096
+#: Marks such an anchor; shards and hashes stay below.
+HOT_BIT = np.int64(1 << 62)
+#: Copies of one text from which on it is looked up apart: a share of all rows.
+HOT_SHARE = 1000
 LAST = np.iinfo(np.int64).max
 
 
@@ -104,19 +115,58 @@ def _first_of(keys: list[np.ndarray], doc: np.ndarray) -> tuple[np.ndarray, np.n
     return order, d[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
 
 
-def _by_row(rid: np.ndarray, full: np.ndarray, pos: np.ndarray, h: np.ndarray, shard: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``(rid, full, open, anchor, shard)``: a text's positions settled and open."""
-    order = np.lexsort((pos, rid))
-    rid, full, pos, h = rid[order], full[order], pos[order], h[order]
+def _lists(n: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(values))
+
+
+BLOBS = "shard int, n int, body binary"
+BLOB_SCHEMA = pa.schema([("shard", pa.int32()), ("n", pa.int32()), ("body", pa.binary())])
+
+
+def _dealt(rid: np.ndarray, shards: int, *cols: np.ndarray) -> pa.Table:
+    """One packed blob of ``rid`` and the other columns for each shard of texts."""
+    shard = (mix(rid.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((rid, shard))
+    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+    rows = []
+    for i in np.flatnonzero(cuts[1:] > cuts[:-1]):
+        k = order[cuts[i]:cuts[i + 1]]
+        rows.append((int(i), len(k), pack(rid[k], *[c[k] for c in cols])))
+    return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows) if rows else ([], [], []), BLOB_SCHEMA)], schema=BLOB_SCHEMA)
+
+
+def _opened(table: pa.Table, kinds: list[str]) -> list[np.ndarray]:
+    """The columns of all packed blobs of a group."""
+    n, body = table.column("n").to_pylist(), table.column("body").to_pylist()
+    return [np.concatenate(c) for c in zip(*(unpack(z, k, kinds) for k, z in zip(n, body)))]
+
+
+PLACES = ["<i8", "<u4", "<i8", "<u1"]  # row, position, anchor, settled
+
+
+def _unite_places(table: pa.Table) -> pa.Table:
+    """Rows ``(rid, full, open, anchor)``: a text's positions settled and open."""
+    rid, pos, h, full = _opened(table, PLACES)
+    order = np.lexsort((full, pos, rid))
+    rid, pos, h, full = rid[order], pos[order], h[order], full[order] > 0
+    # a place of a repeated row: once, settled if any says so
+    last = np.r_[(rid[1:] != rid[:-1]) | (pos[1:] != pos[:-1]), True]
+    rid, pos, h, full = rid[last], pos[last].astype(np.int32), h[last], full[last]
     cuts = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1]])
-    if not len(rid):
-        return
     n_full = np.add.reduceat(full.astype(np.int64), cuts)
-    n_all = np.diff(np.r_[cuts, len(rid)])
-    lists = lambda n, v: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(v))
-    yield pa.RecordBatch.from_arrays([
-        pa.array(rid[cuts]), lists(n_full, pos[full].astype(np.int32)), lists(n_all - n_full, pos[~full].astype(np.int32)),
-        lists(n_all - n_full, h[~full].astype(np.int64) + (np.int64(max(shard, 0)) << np.int64(32)))], names=["rid", "full", "open", "anchor"])
+    n_open = np.diff(np.r_[cuts, len(rid)]) - n_full
+    return pa.Table.from_arrays([pa.array(rid[cuts]), _lists(n_full, pos[full]), _lists(n_open, pos[~full]), _lists(n_open, h[~full])],
+                                names=["rid", "full", "open", "anchor"])
+
+
+def _unite_runs(table: pa.Table) -> pa.Table:
+    """Rows ``(rid, lo, hi)``: a text's repeated runs."""
+    rid, lo, hi = _opened(table, ["<i8", "<i4", "<i4"])
+    order = np.lexsort((lo, rid))
+    rid, lo, hi = rid[order], lo[order], hi[order]
+    cuts = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1]])
+    n = np.diff(np.r_[cuts, len(rid)])
+    return pa.Table.from_arrays([pa.array(rid[cuts]), _lists(n, lo), _lists(n, hi)], names=["rid", "lo", "hi"])
 
 
 FOUND = "rid long, full array<int>, open array<int>, anchor array<long>"
@@ -132,6 +182,8 @@ def _anchor_blobs(length: int, shards: int):
         for b in batches:
             for s in byte_slices(b.column("text"), 4_000_000):
                 own = b.slice(s.start, s.stop - s.start)
+                # of a repeated row, one speaks for all
+                own = own.take(pa.array(np.sort(np.unique(own.column("rid").to_numpy(), return_index=True)[1])))
                 texts = own.column("text").to_pylist()
                 doc_of, rid_of = own.column("doc").to_numpy(), own.column("rid").to_numpy()
                 buf, start, end = layout([t or b"" for t in texts], length)
@@ -163,32 +215,61 @@ def _anchor_blobs(length: int, shards: int):
     return run
 
 
-def _match(key: tuple, table: pa.Table) -> pa.Table:
-    """Anchors of one shard: settled positions, and open ones of anchors with several surroundings."""
-    shard, n, body = key[0].as_py(), table.column("n").to_pylist(), table.column("body").to_pylist()
-    if shard < 0:
-        rid, pos = (np.concatenate(c) for c in zip(*(unpack(z, k, ["<i8", "<u4"]) for k, z in zip(n, body))))
-        return pa.Table.from_batches(list(_by_row(rid, np.ones(len(rid), bool), pos, pos, 0)), schema=_SCHEMA)
-    h, ctx, doc, rid, pos = (np.concatenate(c) for c in zip(*(unpack(z, k, KINDS) for k, z in zip(n, body))))
-    order, least = _first_of([h, ctx], doc)
-    h, ctx, doc, rid, pos = h[order], ctx[order], doc[order], rid[order], pos[order]
-    full = doc > least
-    new = np.r_[True, h[1:] != h[:-1]]
-    cuts = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    mixed = (ctx[cuts] != ctx[np.r_[cuts[1:], len(h)] - 1]) & (np.minimum.reduceat(doc, cuts) != np.maximum.reduceat(doc, cuts))
-    want = full | mixed[group]
-    out = list(_by_row(rid[want], full[want], pos[want], h[want], shard))
-    return pa.Table.from_batches(out, schema=_SCHEMA)
+def _match(shards: int, most: int):
+    """Anchors of one shard: settled positions, and open ones of anchors with several
+    surroundings, as blobs dealt by text."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        shard = key[0].as_py()
+        if shard < 0:
+            rid, pos = _opened(table, ["<i8", "<u4"])
+            return _dealt(rid, shards, pos, np.zeros(len(rid), np.int64), np.ones(len(rid), np.uint8))
+        h, ctx, doc, rid, pos = _opened(table, KINDS)
+        order, least = _first_of([h, ctx], doc)
+        h, ctx, doc, rid, pos = h[order], ctx[order], doc[order], rid[order], pos[order]
+        full = doc > least
+        new = np.r_[True, h[1:] != h[:-1]]
+        cuts = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        mixed = (ctx[cuts] != ctx[np.r_[cuts[1:], len(h)] - 1]) & (np.minimum.reduceat(doc, cuts) != np.maximum.reduceat(doc, cuts))
+        anchor = h.astype(np.int64) + (np.int64(shard) << np.int64(32))
+        anchor[(np.diff(np.r_[cuts, len(h)]) > most)[group]] |= HOT_BIT
+        want = full | mixed[group]
+        return _dealt(rid[want], shards, pos[want], np.where(full, 0, anchor)[want], full[want].astype(np.uint8))
+
+    return run
 
 
-_SCHEMA = pa.schema([("rid", pa.int64()), ("full", pa.list_(pa.int32())), ("open", pa.list_(pa.int32())), ("anchor", pa.list_(pa.int64()))])
+def _beside(buf: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of the ``n`` bytes from each position, and whether all belong to the text."""
+    h, whole = np.zeros(len(at), np.uint64), np.ones(len(at), bool)
+    for i in range(n):
+        x = buf[at + i]
+        h = (h ^ x) * STEP
+        h ^= h >> np.uint64(31)
+        whole &= x != GAP
+    return h, whole
+
+
+def _parted(buf: np.ndarray, at: np.ndarray, anchor: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, side, key)``: what each open place is sorted under. A place of a hot
+    anchor comes twice, with the ``after`` bytes that windows of its first half hold
+    (side 1) and with the bytes that the other windows hold before it (side 2)."""
+    after = (pad + 1) // 2
+    key = mix(anchor.view(np.uint64))
+    hot = (anchor & HOT_BIT) > 0
+    parts = [(np.flatnonzero(~hot), 0, key[~hot])]
+    rows = np.flatnonzero(hot)
+    for side, start, n in ((1, at[rows] + Q, after), (2, at[rows] - (pad - after + 1), pad - after + 1)):
+        h, whole = _beside(buf, start, n)
+        parts.append((rows[whole], side, mix(key[rows[whole]] ^ mix(h[whole] + np.uint64(side)))))
+    row, key = (np.concatenate([p[i] for p in parts]) for i in (0, 2))
+    return row, np.repeat([p[1] for p in parts], [len(p[0]) for p in parts]), key
 
 
 def _suffix_blobs(length: int, shards: int):
     """The surroundings of open positions, dealt by anchor: ``(shard, n, body)``."""
     pad = length - Q
-    span = np.arange(-pad, length)
+    span, after = np.arange(-pad, length), (pad + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -203,15 +284,21 @@ def _suffix_blobs(length: int, shards: int):
                     continue
                 doc, rid = (np.repeat(own.column(c).to_numpy(), n) for c in ("doc", "rid"))
                 at = np.repeat(start, n) + pos
+                row, side, key = _parted(buf, at, h, pad)
+                h, at, doc, rid, pos = key.view(np.int64), at[row], doc[row], rid[row], pos[row]
                 # anchors are dealt anew, evenly: a shard has few open ones
-                shard = (mix(h.view(np.uint64)) >> np.uint64(32)) % np.uint64(shards)
+                shard = (mix(key) >> np.uint64(32)) % np.uint64(shards)
                 order = np.argsort(shard, kind="stable")
                 cuts = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
                 rows = []
                 for i in range(shards):
                     k = order[cuts[i]:cuts[i + 1]]
                     if len(k):
-                        rows.append((i, len(k), pack(h[k], doc[k], rid[k], pos[k].astype(np.uint32)), buf[at[k][:, None] + span].tobytes()))
+                        raw = buf[at[k][:, None] + span]
+                        # what the windows of the other side begin or end with
+                        raw[side[k] == 1, :after] = GAP
+                        raw[side[k] == 2, length - 1 + after:] = GAP
+                        rows.append((i, len(k), pack(h[k], doc[k], rid[k], pos[k].astype(np.uint32)), raw.tobytes()))
                 kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["shard", "n", "body", "bytes"])
 
@@ -244,14 +331,13 @@ def radix_repeats(groups: np.ndarray, suffixes: list[np.ndarray], doc: np.ndarra
     return rows[order][doc[rows[order]] > least]
 
 
-def _sort_suffixes(length: int):
+def _sort_suffixes(length: int, shards: int):
     pad, wide = length - Q, 2 * length - Q
     whole = length // 8
     starts = [*range(0, 8 * whole, 8), *([length - 8] if length % 8 else [])]
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        n, body = table.column("n").to_pylist(), table.column("body").to_pylist()
-        h, doc, rid, pos = (np.concatenate(c) for c in zip(*(unpack(z, k, ["<i8", "<i8", "<i8", "<u4"]) for k, z in zip(n, body))))
+        h, doc, rid, pos = _opened(table, ["<i8", "<i8", "<i8", "<u4"])
         raw = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, wide)
         order = np.argsort(h, kind="stable")
         cuts = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1], True]) if len(h) else np.zeros(1, np.int64)
@@ -275,16 +361,10 @@ def _sort_suffixes(length: int):
         r, p = (np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out) if out else ([], [])))
         order = np.lexsort((p, r))
         r, p = r[order], p[order]
-        if not len(r):
-            return pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))], names=["rid", "lo", "hi"])
         same = r[1:] == r[:-1]
-        new = np.r_[True, ~(same & (p[1:] <= p[:-1] + length))]
-        i = np.flatnonzero(new)
-        lo, hi, rr = p[i], p[np.r_[i[1:], len(p)] - 1] + length, r[i]
-        j = np.flatnonzero(np.r_[True, rr[1:] != rr[:-1]])
-        offs = pa.array(np.r_[j, len(rr)], pa.int32())
-        lists = [pa.ListArray.from_arrays(offs, pa.array(x.astype(np.int32))) for x in (lo, hi)]
-        return pa.Table.from_arrays([pa.array(rr[j]), *lists], names=["rid", "lo", "hi"])
+        i = np.flatnonzero(np.r_[True, ~(same & (p[1:] <= p[:-1] + length))]) if len(r) else np.zeros(0, np.int64)
+        lo, hi = p[i], p[np.r_[i[1:], len(p)] - 1] + length if len(r) else p
+        return _dealt(r[i], shards, lo.astype(np.int32), hi.astype(np.int32))
 
     return run
 
@@ -314,25 +394,31 @@ def _apply(length: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, keep_text: bool = False, hot_places: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the
-    remaining bytes, on request) for each row of ``docs(doc_id, text)``."""
+    remaining bytes, on request) for each row of ``docs(doc_id, text)``. Anchors
+    with more than ``hot_places`` places are parted by their neighbouring bytes."""
     spark, path = docs.sparkSession, scratch(docs.sparkSession, "suffix-dedup")
     raw = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("text"))
     rows = rows.withColumn("doc", F.coalesce("doc_id", F.lit(LAST))).withColumn("rid", F.xxhash64("doc_id", "text"))
     rows.select("doc_id", "doc", "rid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")).write.parquet(f"{path}/base")
     base = spark.read.parquet(f"{path}/base")
-    total = base.agg(F.sum("n_bytes")).first()[0] or 0
-    shards = max(LEAST_SHARDS, -(-total // SHARD_BYTES))
-
-    first = base.filter(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc").alias("_first"), F.max("doc").alias("_last")).filter("_first < _last")
-    copies = base.join(first.drop("_last"), "sha").filter("doc > _first").select("rid").distinct()
-
-    blobs = rows.select("doc", "rid", "text").mapInArrow(lean(_anchor_blobs(length, shards)), "shard int, n int, body binary")
-    found = blobs.groupBy("shard").applyInArrow(_match, FOUND)  # a row for each text a shard has a say on
-    found = found.groupBy("rid").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("full", "open", "anchor")])
-    found = found.join(copies, "rid", "left_anti")
+    total, count = base.agg(F.sum("n_bytes"), F.count(F.lit(1))).first()
+    shards = max(LEAST_SHARDS, -(-(total or 0) // SHARD_BYTES))
+
+    first = base.filter(F.col("n_bytes") >= length).groupBy("sha").agg(
+        F.min("doc").alias("_first"), F.max("doc").alias("_last"), F.count(F.lit(1)).alias("_n")).filter("_first < _last")
+    # texts that many rows hold: HOT_SHARE of them at most, so they may be broadcast
+    often = F.col("_n") * HOT_SHARE > count
+    hot = F.broadcast(first.filter(often).select("sha", "_first"))
+    copies = base.join(hot, "sha").select("rid", "doc", "_first").unionByName(
+        base.join(hot, "sha", "left_anti").join(first.filter(~often), "sha").select("rid", "doc", "_first"))
+    copies = copies.filter("doc > _first").select("rid").distinct()
+
+    blobs = rows.select("doc", "rid", "text").mapInArrow(lean(_anchor_blobs(length, shards)), BLOBS)
+    found = blobs.groupBy("shard").applyInArrow(_match(shards, hot_places), BLOBS)
+    found = found.groupBy("shard").applyInArrow(_unite_places, FOUND).join(copies, "rid", "left_anti")
     found.write.parquet(f"{path}/found")
     del found, blobs
     release(spark)
@@ -340,8 +426,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, keep_text: bool = False) -
 
     opened = found.filter("size(open) > 0").select("rid", "open", "anchor").join(rows.select("rid", "doc", "text"), "rid")
     suffixes = opened.mapInArrow(lean(_suffix_blobs(length, 2 * shards)), "shard int, n int, body binary, bytes binary")
-    runs = suffixes.groupBy("shard").applyInArrow(_sort_suffixes(length), "rid long, lo array<int>, hi array<int>")
-    runs = runs.groupBy("rid").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
+    runs = suffixes.groupBy("shard").applyInArrow(_sort_suffixes(length, shards), BLOBS)
+    runs = runs.groupBy("shard").applyInArrow(_unite_runs, "rid long, lo array<int>, hi array<int>")
     runs.write.parquet(f"{path}/runs")
     del runs, suffixes, opened
     release(spark)

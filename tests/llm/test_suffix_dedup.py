@@ -51,6 +51,39 @@ def test_equals_brute_force(spark, monkeypatch, seed, length):
     assert sorted(got, key=key) == sorted(brute(rows, length), key=key)
 
 
+@pytest.mark.parametrize("length", [50, 16, 17])
+def test_hot_anchors_are_parted_without_losing_windows(spark, length):
+    r = random.Random(length)
+    noise = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    phrase, passage = "of the united states of america", "a passage that many documents share, each within words of its own."
+    rows = rows_of(4, length) + [(10_000 + i, noise(60) + (phrase if i % 3 else passage) + noise(60)) for i in range(150)]
+    rows += [(20_000 + i, noise(9) + phrase + " is the same everywhere, as are these") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    key = lambda x: (x[0] is None, x[0] or 0, x[4])
+    want = sorted(brute(rows, length), key=key)
+    for places in (1, 40):
+        got = [(x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256, bytes(x.kept))
+               for x in S.remove_repeats(df, length, keep_text=True, hot_places=places).collect()]
+        assert sorted(got, key=key) == want
+
+
+def test_parted_places_of_one_anchor_lie_apart():
+    texts = [b"left %02d|common anchor 16|right %02d" % (i % 7, i % 5) * 2 for i in range(100)]
+    buf, start, _ = S.layout(texts, 50)
+    at = start + texts[0].index(b"common")
+    row, side, key = S._parted(buf, at, np.full(100, 5 | S.HOT_BIT), 8)
+    assert sorted(side.tolist()) == [1] * 100 + [2] * 100
+    assert len(set(key[side == 1])) == 1 and len(set(key[side == 2])) == 7  # "|rig" follows all, five bytes stand before
+
+
+def test_hot_copies_are_found_apart(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT_SHARE", 4)
+    rows = [(i, "a text that is copied very many times over, word for word") for i in range(40, 0, -1)]
+    rows += [(100 + i, "another text with only two copies of it in this whole table %d" % (i // 2)) for i in range(20)]
+    got = {x.doc_id: x.n_removed for x in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {r[0]: r[2] for r in brute(rows, 50)}
+
+
 def test_repeated_rows_and_empty_table(spark):
     t = "the same long passage stands here twice, in one document only. " * 2
     df = spark.createDataFrame([(1, t), (1, t), (2, "q" + t[:55])], "doc_id long, text string")
