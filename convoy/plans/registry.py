@@ -108,6 +108,8 @@ def _registry() -> dict[str, QueryFn]:
         "stream_tracking_table": SQ.stream_tracking_table,
         "stream_keyed_verification": SQ.stream_keyed_verification,
         "stream_alert_messages": SQ.stream_alert_messages,
+        "stop_deviation": SQ.stop_deviation,
+        "stream_stop_alerts": SQ.stream_stop_alerts,
         # sources and sinks
         "staging_variant": SRC.staging_variant,
         "snapshot_reconcile": SRC.snapshot_reconcile,

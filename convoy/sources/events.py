@@ -21,6 +21,7 @@ from convoy.sources.fleet import Fleet, read_driver_table
 from convoy.sources.schemas import DELIVERY_MARK, GPS_PING, WAYPOINTS
 
 N_GPS_ROUTES = 5          # ping route ids are 0..4
+STOPS_A_ROUTE = 400       # customers whose stops make one route
 WAYPOINT_ROUTES = 4       # routes 0..3 have a waypoint list (route 3's is empty)
 
 
@@ -69,6 +70,25 @@ def route_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(k == WAYPOINT_ROUTES - 1, empty).otherwise(pts).alias("waypoints"))
 
 
+def stop_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The GPS pings spread over the routes of :func:`stop_waypoints`, number 0 (no
+    route) and one number past the last (an unknown route)."""
+    last = read_driver_table(spark, sf_dir, "customer").select(F.max("c_custkey")).scalar()
+    routes = F.floor(last / F.lit(STOPS_A_ROUTE)) + 3
+    return gps_pings(spark, sf_dir).withColumn("route_id", (F.col("event_id") % routes).cast("bigint"))
+
+
+def stop_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes from 1 over customer stops: ``STOPS_A_ROUTE`` consecutive customers each,
+    so that routes grow with the customers and no list does."""
+    k = F.col("c_custkey").cast("bigint")
+    spread = lambda step, of: (k * step % of).cast("double") / F.lit(float(of))
+    point = F.struct((F.lit(4.0) + spread(7919, 10007) * 3.0).alias("lat"), (F.lit(-74.0) - spread(104729, 10009)).alias("lon"))
+    return (read_driver_table(spark, sf_dir, "customer")
+            .groupBy((F.floor(k / F.lit(STOPS_A_ROUTE)) + 1).cast("bigint").alias("route_id"))
+            .agg(F.collect_list(point).alias("waypoints")))
+
+
 def write_event_files(df: DataFrame, path: str, files: int = 4) -> None:
     """Land events as parquet files for a file stream source."""
     df.repartition(files).write.mode("append").parquet(path)

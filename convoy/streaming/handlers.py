@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.functions import columns as C
+from convoy.operators.nearest import nearest_in_cells_km
 from convoy.plans.warehouse import pd_round
 
 
@@ -83,12 +84,18 @@ def vehicle_eta(pings: DataFrame) -> DataFrame:
 # I3 ---------------------------------------------------------------------
 def route_deviation(pings: DataFrame, waypoints: DataFrame) -> DataFrame:
     """Minimum planar distance to the route's waypoints; deviated beyond
-    5 km (an empty list is infinitely far, so it always alerts)."""
-    w = waypoints.select(F.col("route_id").alias("_rid"), "waypoints")
+    5 km (an empty list is infinitely far, so it always alerts).
+
+    ``waypoints`` holds a list for each route (``waypoints``) or, for long lists, the
+    table of :func:`convoy.operators.nearest.cell_index` (``cells``).
+    """
+    indexed = "cells" in waypoints.columns
+    w = waypoints.select(F.col("route_id").alias("_rid"), "cells" if indexed else "waypoints")
     j = pings.join(w, pings.route_id == w._rid, "left")
     bad = _falsy("vehicle_id") | F.col("current_location").isNull() | _falsy("route_id")
     code = F.when(bad, 400).when(F.col("_rid").isNull(), 404).otherwise(200)
-    dist = C.nearest_waypoint_km("waypoints", "current_location.lat", "current_location.lon")
+    here = F.col("current_location.lat"), F.col("current_location.lon")
+    dist = nearest_in_cells_km(F.col("cells"), *here) if indexed else C.nearest_waypoint_km("waypoints", *here)
     ok = code == 200
     return j.select(
         "event_id", "vehicle_id", "driver_id", "route_id", "ts", "current_location",

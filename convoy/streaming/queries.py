@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convoy.operators.nearest import cell_index
 from convoy.session import checkpoint_dir
 from convoy.sources import events as EV
 from convoy.sources.fleet import cached_fleet
@@ -50,6 +51,22 @@ def deviation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_points(H.deviation_alerts(_checked(spark, sf_dir)))
 
 
+def stop_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviation of every ping from the customer stops of its route, by the cell index."""
+    return flat_points(H.route_deviation(EV.stop_pings(spark, sf_dir), cell_index(EV.stop_waypoints(spark, sf_dir))))
+
+
+def stream_stop_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of a stream of pings against a stored cell index."""
+    base = _base(spark)
+    EV.write_event_files(EV.stop_pings(spark, sf_dir), f"{base}/pings")
+    cell_index(EV.stop_waypoints(spark, sf_dir)).write.parquet(f"{base}/index")
+    J.route_deviation_alerts(EV.read_event_stream(spark, f"{base}/pings", "gps", max_files_per_trigger=2),
+                             spark.read.parquet(f"{base}/index"), f"{base}/alerts", f"{base}/messages",
+                             f"{base}/_checkpoint", trigger="availableNow").awaitTermination()
+    return flat_points(spark.read.parquet(f"{base}/alerts").drop("batch_id", "event_id"))
+
+
 def _parsed(bodies: DataFrame, fields: str) -> DataFrame:
     """JSON answers as columns, so that they compare value by value."""
     return bodies.select("event_id", F.from_json("body", f"{fields}, error string").alias("b")).select("event_id", "b.*")
