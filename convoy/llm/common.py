@@ -76,6 +76,12 @@ def split_words(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.nd
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased (``lower``); NULL is
     empty. Splitting and dictionary encoding run in Arrow's kernels.
     """
+    uniq, codes, count = word_codes(texts, lower)
+    return uniq.cast(pa.large_binary()).to_pylist(), codes, count
+
+
+def word_codes(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """As ``split_words``, with the distinct words as an Arrow array."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     # a copy without an offset: ascii_lower misreads slices of large strings (pyarrow 23)
@@ -87,8 +93,7 @@ def split_words(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.nd
         doc = np.repeat(np.arange(len(count)), count)
         flat, count = flat.filter(pa.array(full)), np.bincount(doc[full], minlength=len(count))
     enc = flat.dictionary_encode()
-    uniq = enc.dictionary.cast(pa.large_binary()).to_pylist()
-    return uniq, enc.indices.to_numpy(zero_copy_only=False), count
+    return enc.dictionary, enc.indices.to_numpy(zero_copy_only=False), count
 
 
 def byte_slices(texts: pa.Array, most: int = 8_000_000) -> Iterator[slice]:

@@ -25,6 +25,7 @@ first; repeated ids keep all rows; no rows give no file; other columns are ignor
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import uuid
@@ -34,11 +35,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from convoy.llm.common import byte_slices, lean, parts, scratch, split_words
+from convoy.llm.common import byte_slices, lean, parts, scratch, word_codes
 
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE, HAS_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -46,6 +48,8 @@ ENTRY, FOOTER = struct.Struct("<III"), struct.Struct("<IBI")
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<u8")])
 #: Bytes of ids after which a frame is closed (at the end of a document).
 FRAME = 1 << 18
+#: Whether a byte is an ASCII letter or digit.
+ALNUM = np.array([bytes([i]).isalnum() for i in range(256)])
 MANIFEST = "part int, file string, n_docs long, n_ids long"
 DOCUMENTS = "doc_id long, part int, at long, n_tokens long, ids_crc32 long"
 
@@ -54,8 +58,10 @@ class Encoder:
     """Ids of texts, by way of each distinct piece between ASCII white space.
 
     The tokenizer drops white space and never looks across it, so a text's ids
-    are the ids of its pieces in order. Distinct pieces are encoded once, many in
-    one call; ``most`` bounds the store. In a call of words of letters alone, a
+    are the ids of its pieces in order. Sentence marks behind a letter or digit are
+    set apart in Arrow's kernels, so that only what stands before them is looked up.
+    Distinct pieces are encoded once, many in one call; beyond ``most`` of them the
+    store drops those that fewest batches held. In a call of words of letters alone, a
     token with the end-of-word suffix closes a word; other pieces are set apart
     by a special token, and pieces that hold that token are encoded one by one."""
 
@@ -87,9 +93,19 @@ class Encoder:
         return n.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
 
     def clear(self) -> None:
-        self.rows: dict[bytes, int] = {}
-        self.alias: dict[bytes, int] = {}
-        self.flat, self.start, self.n = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.rows: dict[bytes, int] = {b"": 0}
+        self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.n, self.met = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _shrink(self) -> None:
+        """Keep the half of the store that most batches have met."""
+        keep = np.zeros(len(self.n), bool)
+        keep[np.argsort(-self.met, kind="stable")[:self.most // 2]] = True
+        keep[0] = True
+        row = (np.cumsum(keep) - 1).tolist()
+        ids, n = self._gather(np.flatnonzero(keep))
+        self.rows = {w: row[r] for w, r in self.rows.items() if keep[r]}
+        self.flat, self.n, self.start, self.met = ids, n, np.cumsum(n) - n, self.met[keep] // 2
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
@@ -97,6 +113,7 @@ class Encoder:
     def _store(self, flat: list[np.ndarray], n: np.ndarray) -> None:
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(n) - n])
         self.n = np.concatenate([self.n, n])
+        self.met = np.concatenate([self.met, np.zeros(len(n), np.int64)])
         self.flat = np.concatenate([self.flat, *flat])
 
     def _encode(self, new: list[bytes]) -> None:
@@ -131,36 +148,19 @@ class Encoder:
         self._store(flat + got, np.concatenate(size))
 
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = self.n[at]
-        offset = np.cumsum(n) - n
-        return self.flat[np.repeat(self.start[at] - offset, n) + np.arange(n.sum())], n
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Rows for ``new``. ASCII pieces are stored in lower case once (the
-        tokenizer folds case), and sentence marks after an ASCII letter or digit,
-        a token of their own, are set behind the ids of what precedes them."""
-        joint, alias, seen = [], [], {}
-        for w in new:
-            base = w.rstrip(b".,;:!?")
-            tail = w[len(base):]
-            if not (tail and base and base[-1:].isalnum()):
-                base, tail = w, b""
-            if base.isascii() and b"<" not in base:
-                base = base.lower()
-            for x in (base, tail) if tail else (base,):
-                if x not in self.rows:
-                    seen[x] = None
-            if tail:
-                joint.append((w, base, tail))
-            elif base != w:
-                alias.append((w, base))
-        self._encode(list(seen))
-        rows = self.rows
-        self.alias.update((w, rows[b]) for w, b in alias)
-        if joint:
-            ids, n = self._gather(np.array([rows[x] for _, b, t in joint for x in (b, t)], np.int64))
-            self.alias.update((w, len(self.n) + i) for i, (w, _, _) in enumerate(joint))
-            self._store([ids], n.reshape(-1, 2).sum(1))
+        return _take(self.flat, self.start, self.n, at)
+
+    def _rows(self, pieces: pa.Array) -> np.ndarray:
+        """The store's row of each piece; pieces that it lacks are encoded."""
+        enc = pieces.dictionary_encode()
+        keys = enc.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(self.rows.get, keys, itertools.repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            self._encode([keys[i] for i in new])
+            at[new] = [self.rows[keys[i]] for i in new]
+        self.met[at] += 1
+        return at[enc.indices.to_numpy(zero_copy_only=False)]
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, ``end`` after each text, and the number of each text's ids."""
@@ -170,21 +170,44 @@ class Encoder:
         return np.concatenate(got) if got else np.zeros(0, np.uint32), np.array([len(x) for x in got], np.int64)
 
     def _pieces(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.rows) + len(self.alias) > self.most:
-            self.clear()
-        uniq, codes, count = split_words(texts, lower=False)
-        rows, alias = self.rows, self.alias
-        self._learn([w for w in uniq if w not in rows and w not in alias])
-        at = np.array([rows[w] if w in rows else alias[w] for w in uniq], np.int64)[codes] if uniq else np.zeros(0, np.int64)
+        if len(self.rows) > self.most:
+            self._shrink()
+        uniq, codes, count = word_codes(texts, lower=False)
         stop = np.cumsum(count)
-        held = self.flat, self.start, self.n
-        self._store([np.array([end], np.uint32)], np.ones(1, np.int64))
-        ids, n = self._gather(np.insert(at, stop, len(self.n) - 1))  # the end id after each text
-        self.flat, self.start, self.n = held
+        base, tail = _base_and_tail(uniq)
+        both = np.stack([self._rows(base), self._rows(tail)], axis=1).reshape(-1)
+        flat, n = self._gather(both)
+        flat, n = np.append(flat, np.uint32(end)), np.append(n.reshape(-1, 2).sum(1), 1)  # the end id is the last row
+        at = np.insert(codes.astype(np.int64), stop, len(n) - 1)  # ... and comes after each text
+        ids, n = _take(flat, np.cumsum(n) - n, n, at)
         first = stop - count + np.arange(len(count))
         return ids, np.add.reduceat(n, first) if len(count) else np.zeros(0, np.int64)
 
 
+def _take(flat: np.ndarray, start: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``at`` of ``flat`` one after another, and their lengths."""
+    n = n[at]
+    return flat[np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())], n
+
+
+def _base_and_tail(pieces: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Pieces parted before the sentence marks that follow an ASCII letter or digit
+    (a token of their own); ASCII pieces in lower case (the tokenizer folds case)."""
+    plain = pc.and_(pc.string_is_ascii(pieces), pc.invert(pc.match_substring(pieces, "<")))
+    text = pc.if_else(plain, pc.ascii_lower(pieces), pieces)
+    base = pc.ascii_rtrim(text, ".,;:!?")
+    whole, kept = (pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (text, base))
+    raw = np.frombuffer(text.buffers()[2] or b"", np.uint8)
+    start = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text)]
+    parted = (kept > 0) & (kept < whole)
+    parted[parted] = ALNUM[raw[(start + kept)[parted] - 1]]
+    n = np.where(parted, whole - kept, 0)
+    marks, _ = _take(raw, start + kept, n, np.arange(len(n)))
+    offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+    tail = pa.Array.from_buffers(pa.large_string(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(marks)])
+    return pc.if_else(pa.array(parted), base, text), tail
+
+
 def _fs(path: str):
     from pyarrow import fs
 
@@ -279,7 +302,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = 1, files: int
         part = TaskContext.get().partitionId()
         file = f"{folder}/files/part-{part:06d}-{uuid.uuid4().hex}.ids"
         for b in batches:
-            for s in byte_slices(b.column("text"), 4_000_000):
+            for s in byte_slices(b.column("text")):
                 own = b.slice(s.start, s.stop - s.start)
                 if out is None:
                     where, p = _fs(f"{folder}/files")
