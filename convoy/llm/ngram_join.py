@@ -261,10 +261,11 @@ def _plausible(percent: int):
     return run
 
 
-def _verify(percent: int):
+def _verify(n: int, percent: int):
+    """Links of all nodes within a pair of blocks: a forest of them, and counts."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in sorted_groups(batches, ["root", "i", "j"]):
-            sets = [np.frombuffer(x, np.uint64) for x in g["shingles"]]
+        for g in sorted_groups(_with_shingles(batches, n), ["root", "i", "j"]):
+            sets = g["shingles"].tolist()
             node, copies, block = g["node"].to_numpy(), g["copies"].to_numpy(), g["block"].to_numpy()
             i, j = g["i"].iloc[0], g["j"].iloc[0]
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
@@ -288,25 +289,44 @@ def _verify(percent: int):
     return run
 
 
-def _blocks(n: int):
-    """Shingle sets of the candidates, once for each pair of blocks they take part in."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for s in byte_slices(b.column("text"), 2_000_000):
-                own = b.slice(s.start, s.stop - s.start)
-                cols = {c: own.column(c).to_pylist() for c in ("root", "node", "blocks", "copies")}
-                out = []
-                for root, node, nb, copies, x in zip(*cols.values(), shingle_sets(own.column("text"), n)):
-                    if fingerprint(x) != node:
-                        continue  # another text of the same hash
-                    block = node % nb
-                    out += [(root, min(block, o), max(block, o), block, node, copies, x.tobytes()) for o in range(nb)]
-                if out:
-                    names = ["root", "i", "j", "block", "node", "copies", "shingles"]
-                    kinds = [pa.int64()] * 6 + [pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of the candidates, compressed, once for each pair of blocks they take part
+    in (a text is far smaller than its shingle hashes, which don't compress)."""
+    import zstandard as zstd
+
+    press = zstd.ZstdCompressor(level=1)
+    names = ["root", "i", "j", "block", "node", "copies", "body"]
+    kinds = [pa.int64()] * 6 + [pa.binary()]
+    for b in batches:
+        for s in byte_slices(b.column("text"), 2_000_000):
+            own = b.slice(s.start, s.stop - s.start)
+            cols = [own.column(c).to_pylist() for c in ("root", "node", "blocks", "copies")]
+            out = []
+            for root, node, nb, copies, text in zip(*cols, own.column("text").cast(pa.binary()).to_pylist()):
+                block, body = node % nb, press.compress(text)
+                out += [(root, min(block, o), max(block, o), block, node, copies, body) for o in range(nb)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
-    return run
+
+def _with_shingles(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
+    """Rows of ``_blocks`` with the shingle set in place of the text; a node's text is
+    split once a batch. A text of another set (of an equal hash) goes."""
+    import zstandard as zstd
+
+    for b in batches:
+        once = b.drop_duplicates("node")
+        press = zstd.ZstdDecompressor()
+        texts = pa.array([press.decompress(z) for z in once["body"]], pa.large_binary()).cast(pa.large_string(), safe=False)
+        sets, at = {}, 0
+        for s in byte_slices(texts, 2_000_000):
+            for x in shingle_sets(texts.slice(s.start, s.stop - s.start), n):
+                node = int(once["node"].iat[at])
+                if fingerprint(x) == node:
+                    sets[node] = x
+                at += 1
+        b = b.drop(columns="body").assign(shingles=[sets.get(k) for k in b["node"]])
+        yield b[b["shingles"].notna()]
 
 
 def _block_pairs(group: DataFrame) -> DataFrame:
@@ -351,9 +371,9 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, width: float = 1.3) ->
     members = group.join(size, "root").join(nodes, group["node"] == nodes["key"]).select("root", "node", "blocks", "copies", "row")
     # one text for each node, also if its row is repeated or has no id
     texts = members.join(docs.select(row_key(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("row"), "text"), "row").dropDuplicates(["row"]).drop("row")
-    one = texts.mapInArrow(lean(_blocks(n)), "root long, i long, j long, block long, node long, copies long, shingles binary")
+    one = texts.mapInArrow(lean(_blocks), "root long, i long, j long, block long, node long, copies long, body binary")
     one = one.repartition(width_, "root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
-    one.mapInPandas(lean(_verify(percent)), "a long, b long, links long").write.parquet(f"{path}/links")
+    one.mapInPandas(lean(_verify(n, percent)), "a long, b long, links long").write.parquet(f"{path}/links")
     del one, texts, members
     release(spark)
     links = spark.read.parquet(f"{path}/links")
