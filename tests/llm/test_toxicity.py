@@ -51,3 +51,24 @@ def test_empty_tables_and_single_class(spark, docs_of):
 
 def test_training_sample_is_not_lowered_for_memory():
     assert T.Params().sample == 8000
+
+
+def test_every_labelled_row_is_learnt_from(spark, docs_of):
+    # a word that only rows beyond the first fit show
+    texts, label = _texts(600, 3)
+    docs = docs_of(texts)
+    order = [r.doc_id for r in docs.select("doc_id").orderBy(T.F.xxhash64("doc_id"), "doc_id").collect()]
+    late = set(order[300:])
+    rare = [t if i not in late or not label[i] else " ".join(w if not any(w.startswith(b) for b in BAD) else "vermin" for w in t.split())
+            for i, t in enumerate(texts)]
+    docs = docs_of(rare)
+    labels = spark.createDataFrame(list(enumerate(label)), "doc_id long, toxic int")
+    p = dict(sample=100, steps=200, share=200, passes=20)
+    net = T.train(docs, labels, T.Params(**p))
+    row = T.zlib.crc32(b"vermin") & ((1 << net.p.bits) - 1)
+    first = T.ConvNet(net.p)
+    assert abs(net.emb[row] - first.emb[row]).max() > 0  # learnt, though not in the first fit
+    got = {r.doc_id: r.score for r in T.score(docs.drop("score"), net).collect()}
+    assert sum((got[i] >= net.p.cutoff) == bool(x) for i, x in enumerate(label)) >= 560
+    again = T.train(docs, labels, T.Params(**p))
+    assert {r.doc_id: r.score for r in T.score(docs.drop("score"), again).collect()} == got
