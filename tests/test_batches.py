@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from convoy.operators.key_index import files_holding, key_blocks, merged
+from convoy.operators.key_index import files_holding, files_with, key_blocks, key_rows, merged
 from convoy.plans import batches as B
 from convoy.plans import manifest
 from test_warehouse import S, _at, _fleet
@@ -130,3 +130,22 @@ def test_key_index_is_exact(spark, ids):
             break
     none = key_blocks(spark.createDataFrame([(12345,)], "k long"), "k")
     assert files_holding(index, none) == [] and merged([]) is None
+
+
+def test_fact_index_grows_with_the_rows_not_with_files_times_blocks(spark, tmp_path):
+    # five files that each hold keys of eighty blocks
+    rows = spark.range(400).selectExpr("concat('f', id % 5) file", "id * 40000 k")
+    key_rows(rows, "k", "file").sortWithinPartitions("k").write.parquet(str(tmp_path / "rows"))
+    index = spark.read.parquet(str(tmp_path / "rows"))
+    assert index.count() == 400 and [f.dataType.typeName() for f in index.schema] == ["string", "long", "long"]
+    for i in (0, 7, 399):
+        keys = spark.createDataFrame([(i * 40000,), (i * 40000 + 1,), (None,)], "k long")
+        assert files_with(index, keys, "k", key_blocks(keys, "k")) == [f"f{i % 5}"]
+    none = spark.createDataFrame([(12345,)], "k long")
+    assert files_with(index, none, "k", key_blocks(none, "k")) == []
+    assert files_with(index, none.limit(0), "k", key_blocks(none.limit(0), "k")) == []
+
+
+def test_stored_fact_index_holds_keys_not_bitmaps(spark):
+    assert "bits" not in key_rows(spark.range(3).selectExpr("id k", "'f' file"), "k", "file").columns
+    assert key_rows(spark.createDataFrame([(1, "a"), (None, "a")], "k long, file string"), "k", "file").count() == 1
