@@ -152,6 +152,17 @@ def stream_tracking_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_points(table.read().drop("batch_id"))
 
 
+#: Rows of a bucket of the status table.
+STATUS_ROWS = 200_000
+
+
+def bucket_width(rows: DataFrame, key: str) -> int:
+    """Width of the ranges of ``key`` that hold about ``STATUS_ROWS`` rows each, so that
+    buckets, and with them files, grow with the rows and not with the span of the ids."""
+    r = rows.agg(F.count(key).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    return max(1, (r.hi - r.lo + 1) * STATUS_ROWS // r.n) if r.n else STATUS_ROWS
+
+
 def stream_keyed_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verification against a keyed status table whose statuses have come in two writes:
     every third delivery as under way first, then as it is."""
@@ -159,7 +170,7 @@ def stream_keyed_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     EV.write_event_files(EV.delivery_marks(spark, sf_dir), f"{base}/marks")
     status = EV.delivery_status(cached_fleet(spark, sf_dir))
     third = F.col("delivery_id") % 3 == 0
-    table = KeyedTable(spark, f"{base}/status", ["delivery_id"], ["batch_id"], bucket="delivery_id div 16384")
+    table = KeyedTable(spark, f"{base}/status", ["delivery_id"], ["batch_id"], bucket=f"delivery_id div {bucket_width(status, 'delivery_id')}")
     table.put(status.withColumn("status", F.when(third, "in_transit").otherwise(F.col("status"))), 0)
     table.compact()
     table.put(status.where(third), 1)

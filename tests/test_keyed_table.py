@@ -128,3 +128,14 @@ def test_messages_are_published_once(spark, tmp_dir):
     assert J.publish_messages(spark, out, pub) == 0
     ids = [r.message_id for r in spark.read.parquet(f"{pub}/messages").collect()]
     assert len(ids) == 12 == len(set(ids))
+
+
+def test_buckets_follow_the_rows_not_the_span_of_the_ids(spark, monkeypatch):
+    from convoy.streaming import queries as Q
+
+    monkeypatch.setattr(Q, "STATUS_ROWS", 50)
+    thin = spark.range(1000).selectExpr("id * 100000 delivery_id")
+    width = Q.bucket_width(thin, "delivery_id")
+    assert thin.selectExpr(f"delivery_id div {width} b").distinct().count() in (20, 21)
+    assert Q.bucket_width(thin.limit(0), "delivery_id") == 50
+    assert Q.bucket_width(spark.createDataFrame([(None,), (7,)], "delivery_id long"), "delivery_id") == 50
