@@ -94,7 +94,9 @@ def route_deviation_alerts(pings: DataFrame, waypoints: DataFrame, alerts_out: s
                            trigger: str | None = None, dedupe_delay: str | None = None
                            ) -> StreamingQuery:
     def each(batch: DataFrame, batch_id: int) -> None:
-        alerts = H.deviation_alerts(H.route_deviation(batch, waypoints), "event_id").persist()
+        # a file often is one row group, so one task: the search is dealt to all of them
+        spread = batch.repartition("event_id")
+        alerts = H.deviation_alerts(H.route_deviation(spread, waypoints), "event_id").persist()
         try:
             # the event id says which of two writes of one key in a batch is the later
             _write_batch(alerts, alerts_out, batch_id)

@@ -130,3 +130,19 @@ def test_response_bodies(spark):
     got = {r.event_id: json.loads(r.body) for r in H.deviation_body(checked).collect()}
     assert got[1] == {"vehicle_id": 7, "is_deviated": True, "deviation_km": 6.25, "alert_sent": True, "threshold_km": 5}
     assert got[2] == {"error": H.ERROR_ROUTE_NOT_FOUND} and got[3] == {"error": H.ERROR_MISSING_FIELDS}
+
+
+def test_pings_of_one_file_are_searched_by_many_tasks(spark, tmp_path):
+    import os
+    from convoy.sources import events as EV
+    from convoy.streaming import jobs as J
+
+    EV.write_event_files(EV.gps_pings(spark, SF_SMALL), str(tmp_path / "pings"), files=1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        J.route_deviation_alerts(EV.read_event_stream(spark, str(tmp_path / "pings"), "gps"), EV.route_waypoints(spark, SF_SMALL),
+                                 str(tmp_path / "alerts"), str(tmp_path / "messages"), str(tmp_path / "ck"), trigger="availableNow").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f for _, _, fs in os.walk(tmp_path / "alerts") for f in fs if f.endswith(".parquet")]
+    assert len(files) > 1
