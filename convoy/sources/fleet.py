@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,6 +30,10 @@ from convoy.sources.schemas import FLEET_SCHEMAS
 # Fixed value of the fleet mapping: route ids are origin * 25 + destination.
 ROUTE_KEY_SPACE = 25
 
+#: Rows that one task sorts at most, so that no sort outgrows its memory (and
+#: spills) however many rows there are.
+SORT_ROWS = 500_000
+
 FLEET_TABLES = ("vehicles", "drivers", "routes", "trips", "deliveries", "maintenance")
 
 
@@ -55,15 +60,38 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Read one fleet table previously written under ``base`` with its explicit schema."""
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}")
+    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in FLEET_SCHEMAS[name].fields])
+
+
 def load_fleet(spark: SparkSession, base: str) -> Fleet:
     """Read fleet tables previously written under ``base`` with explicit schemas."""
-    base = base.rstrip("/")
-    out = {}
-    for t in FLEET_TABLES:
-        schema = FLEET_SCHEMAS[t]
-        df = spark.read.parquet(f"{base}/{t}")
-        out[t] = df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
-    return Fleet(**out)
+    return Fleet(**{t: load_table(spark, base, t) for t in FLEET_TABLES})
+
+
+class LazyFleet(Fleet):
+    """Fleet tables that ``table(name)`` brings when they are first asked for."""
+
+    def __init__(self, table: Callable[[str], DataFrame] | None = None, **tables: DataFrame):
+        self._table = table
+        for name, df in tables.items():
+            setattr(self, name, df)
+
+    def __getattr__(self, name: str) -> DataFrame:  # a table not asked for before
+        if name not in FLEET_TABLES:
+            raise AttributeError(name)
+        df = self._table(name)
+        setattr(self, name, df)
+        return df
+
+
+def sort_tasks(spark: SparkSession, rows: int) -> list[int]:
+    """Number of partitions, as an optional argument, that a sort of ``rows`` is dealt
+    to: none (the session's, joined by AQE) while those hold :data:`SORT_ROWS` each at most."""
+    width = -(-rows // SORT_ROWS)
+    return [width] if width > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
 
 
 def _days(n) -> F.Column:
@@ -141,7 +169,8 @@ def fleet_from_tpch(spark: SparkSession, sf_dir: str) -> Fleet:
     o = F.col("o_orderkey")
     cu = F.col("o_custkey")
     open_trip = F.col("o_orderstatus") == "P"
-    trips = read("orders").select(
+    orders = read("orders")
+    trips = orders.select(
         o.alias("trip_id"),
         (o % n_vehicles).alias("vehicle_id"),
         cu.alias("driver_id"),
@@ -164,28 +193,27 @@ def fleet_from_tpch(spark: SparkSession, sf_dir: str) -> Fleet:
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     lines = read("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate"
-    ).withColumn("rn", F.row_number().over(w))
+        "l_extendedprice", "l_returnflag", "l_shipdate")
+    rows = {"trips": orders.count(), "deliveries": lines.count()}  # from the file footers
+    if width := sort_tasks(spark, rows["deliveries"]):
+        lines = lines.repartition(*width, "l_orderkey")
+    lines = lines.withColumn("rn", F.row_number().over(w))
     t = trips.select("trip_id", "route_id", "departure_datetime", "arrival_datetime")
     r = routes.select("route_id", "destination_city")
     x = lines.join(t, lines.l_orderkey == t.trip_id).join(r, "route_id")
-    did = F.col("l_orderkey") * 100 + F.col("rn")
     late_min = F.when(F.col("l_partkey") % 10 == 0,
                       F.lit(60) + (F.col("l_orderkey") + F.col("l_suppkey")) % 121) \
                 .otherwise(F.col("l_partkey") % 61 - 30)
     arrived = F.col("arrival_datetime").isNotNull()
-    deliveries = x.select(
-        did.alias("delivery_id"),
-        F.col("l_orderkey").alias("trip_id"),
-        F.concat(F.lit("FL"), did.cast("string")).alias("tracking_number"),
-        F.concat(F.lit("Customer "), F.col("l_partkey").cast("string")).alias("customer_name"),
-        F.concat(F.lit("Calle "), F.col("l_suppkey").cast("string"), F.lit(", "),
-                 F.col("destination_city")).alias("delivery_address"),
+    # Narrow rows: what write_fleet sorts; the texts are made of them after it.
+    narrow = x.select(
+        (F.col("l_orderkey") * 100 + F.col("rn")).alias("delivery_id"),
+        "l_orderkey", "l_partkey", "l_suppkey", "destination_city",
         F.col("l_quantity").cast("decimal(10,2)").alias("package_weight_kg"),
         (F.col("departure_datetime") + _minutes(F.col("rn") * 30)).alias("scheduled_datetime"),
         F.when(arrived, F.col("departure_datetime") + _minutes(F.col("rn") * 30 + late_min))
          .alias("delivered_datetime"),
-        F.when(arrived, "delivered").otherwise("pending").alias("delivery_status"),
+        arrived.alias("arrived"),
         (arrived & (F.col("l_returnflag") != "R")).alias("recipient_signature"),
     )
 
@@ -204,30 +232,67 @@ def fleet_from_tpch(spark: SparkSession, sf_dir: str) -> Fleet:
         F.concat(F.lit("Tecnico "), F.col("p_brand")).alias("performed_by"),
     )
 
-    return Fleet(vehicles, drivers, routes, trips, deliveries, maintenance)
+    return DerivedFleet(vehicles, drivers, routes, trips, _delivery_columns(narrow), maintenance, narrow, rows)
 
 
-def write_fleet(fleet: Fleet, base: str, mode: str = "overwrite") -> None:
-    """Materialise the fleet tables.
+@dataclass
+class DerivedFleet(Fleet):
+    """Fleet tables with the rows that the deliveries are made of, and the number of
+    source rows of the tables that are sorted."""
+    delivery_rows: DataFrame
+    source_rows: dict[str, int]
+
+    def items(self):
+        return super().items()[:len(FLEET_TABLES)]
+
+
+def _delivery_columns(rows: DataFrame) -> DataFrame:
+    did = F.col("delivery_id").cast("string")
+    return rows.select(
+        "delivery_id",
+        F.col("l_orderkey").alias("trip_id"),
+        F.concat(F.lit("FL"), did).alias("tracking_number"),
+        F.concat(F.lit("Customer "), F.col("l_partkey").cast("string")).alias("customer_name"),
+        F.concat(F.lit("Calle "), F.col("l_suppkey").cast("string"), F.lit(", "),
+                 F.col("destination_city")).alias("delivery_address"),
+        "package_weight_kg",
+        "scheduled_datetime",
+        "delivered_datetime",
+        F.when(F.col("arrived"), "delivered").otherwise("pending").alias("delivery_status"),
+        "recipient_signature",
+    )
+
+
+def write_table(fleet: Fleet, name: str, path: str, mode: str = "overwrite") -> None:
+    """Materialise one fleet table.
 
     Trips and deliveries are range-partitioned on their main timestamp
     before writing, so every file (and parquet row group) covers a narrow
     time range: time filters are answered from the min/max statistics and
     skip most files, and no task writes more than its share of the range.
     """
-    base = base.rstrip("/")
     # The id is a second range key: rows sharing one timestamp value (e.g.
     # the NULL delivered time of every pending delivery) are still split
     # over many tasks instead of forming one huge range.
     order = {"trips": ["departure_datetime", "trip_id"],
              "deliveries": ["delivered_datetime", "delivery_id"]}
-    for name, df in fleet.items():
-        if name in order:
-            df = df.repartitionByRange(*order[name]).sortWithinPartitions(*order[name])
-        df.write.mode(mode).parquet(f"{base}/{name}")
+    narrow = name == "deliveries" and isinstance(fleet, DerivedFleet)
+    df = fleet.delivery_rows if narrow else getattr(fleet, name)
+    if name in order:
+        width = sort_tasks(df.sparkSession, fleet.source_rows[name] if isinstance(fleet, DerivedFleet) else df.count())
+        df = df.repartitionByRange(*width, *order[name]).sortWithinPartitions(*order[name])
+    if narrow:
+        df = _delivery_columns(df)
+    df.write.mode(mode).parquet(path)
 
 
-_CACHE: dict[tuple[str, str], str] = {}
+def write_fleet(fleet: Fleet, base: str, mode: str = "overwrite") -> None:
+    """Materialise the fleet tables (:func:`write_table`)."""
+    for name in FLEET_TABLES:
+        write_table(fleet, name, f"{base.rstrip('/')}/{name}", mode)
+
+
+_CACHE: dict[tuple[str, str, str], str] = {}
 _PROCESS_TOKEN = uuid.uuid4().hex[:12]
 
 
@@ -244,16 +309,19 @@ def _fingerprint(sf_dir: str) -> str:
 
 
 def cached_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
-    """Fleet tables derived from ``sf_dir`` once, written to the shared
-    checkpoint folder, then read back by every query (instead of re-deriving
-    them from the TPC-H tables in every plan)."""
+    """Fleet tables derived from ``sf_dir``, each written once to the shared
+    checkpoint folder when a query first asks for it, then read back by every
+    query (instead of re-deriving them from the TPC-H tables in every plan)."""
     from convoy.session import checkpoint_dir
 
-    root = checkpoint_dir(spark).rstrip("/")
-    key = (root, _fingerprint(sf_dir))
-    base = _CACHE.get(key)
-    if base is None:
-        base = f"{root}/convoy-fleet-{key[1]}-{_PROCESS_TOKEN}"
-        write_fleet(fleet_from_tpch(spark, sf_dir), base)
-        _CACHE[key] = base
-    return load_fleet(spark, base)
+    root, print_ = checkpoint_dir(spark).rstrip("/"), _fingerprint(sf_dir)
+
+    def table(name: str) -> DataFrame:
+        key = (root, print_, name)
+        if key not in _CACHE:
+            base = f"{root}/convoy-fleet-{print_}-{_PROCESS_TOKEN}"
+            write_table(fleet_from_tpch(spark, sf_dir), name, f"{base}/{name}")
+            _CACHE[key] = base
+        return load_table(spark, _CACHE[key], name)
+
+    return LazyFleet(table)

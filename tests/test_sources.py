@@ -99,3 +99,33 @@ def test_differences_name_every_changed_cell(spark):
     none = a.limit(0)
     assert differences(none, none, "id").count() == 0
     assert {r.difference for r in differences(a, none, "id").collect()} == {"missing"}
+
+
+def test_fleet_tables_are_written_when_asked_for(spark, tmp_path):
+    import os
+    import shutil
+    from convoy.session import checkpoint_dir
+
+    sf = str(tmp_path / "sf")
+    shutil.copytree(SF_SMALL, sf)
+    stored = lambda: {p for p in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if p.startswith("convoy-fleet-")}
+    before = stored()
+    fleet = cached_fleet(spark, sf)
+    assert fleet.vehicles.count() == spark.read.parquet(f"{sf}/supplier.parquet").count()
+    (new,) = stored() - before
+    assert os.listdir(f"{checkpoint_dir(spark).removeprefix('file:')}/{new}") == ["vehicles"]
+    assert [name for name, _ in fleet.items()] == ["vehicles", "drivers", "routes", "trips", "deliveries", "maintenance"]
+
+
+def test_sorts_of_fleet_tables_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    from convoy.sources import fleet as FL
+
+    derived = fleet_from_tpch(spark, SF_SMALL)
+    monkeypatch.setattr(FL, "SORT_ROWS", 100)
+    wide = fleet_from_tpch(spark, SF_SMALL)
+    for name in ("trips", "deliveries"):
+        FL.write_table(wide, name, str(tmp_path / name))
+        got = FL.load_table(spark, str(tmp_path), name)
+        want = getattr(derived, name)
+        assert len(got.inputFiles()) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
