@@ -85,3 +85,10 @@ def test_links_of_rows_without_an_id_and_of_repeated_rows(spark):
     rows = [(None, texts[0]), (None, texts[1]), (4, texts[0].replace("w", "v")), (4, texts[0].replace("w", "v")), (5, texts[1].replace("w", "v")), (4, "unlike all that")]
     got = {(r.doc_id, r.n_shingles > 3, r.component_id, r.n_links) for r in J.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     assert got == {(None, True, None, 1), (4, True, 4, 2), (5, True, 4, 2), (4, False, 4, 0)}
+
+
+def test_partitions_of_few_elements_are_left_out():
+    bands, r = J.Bands(85), np.random.default_rng(3)
+    sets = [np.unique(np.r_[np.uint64(77), r.integers(0, 1 << 62, 199).astype(np.uint64)]) for _ in range(1500)]
+    sig, n = np.unique(np.concatenate(J.signatures(sets, bands)), return_counts=True)
+    assert n.max() <= 12  # sets that one common shingle joins: 23 when it counts alone
