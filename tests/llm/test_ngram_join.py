@@ -92,3 +92,23 @@ def test_partitions_of_few_elements_are_left_out():
     sets = [np.unique(np.r_[np.uint64(77), r.integers(0, 1 << 62, 199).astype(np.uint64)]) for _ in range(1500)]
     sig, n = np.unique(np.concatenate(J.signatures(sets, bands)), return_counts=True)
     assert n.max() <= 12  # sets that one common shingle joins: 23 when it counts alone
+
+
+def test_nodes_that_only_share_a_signature_connect_nothing(spark):
+    r = np.random.default_rng(5)
+    sets = [np.unique(r.integers(0, 1 << 62, 200).astype(np.uint64)) for _ in range(41)]
+    sets[40] = sets[39].copy()
+    sets[40][0] += np.uint64(1)
+    cells = spark.createDataFrame([(i, J.histogram(s)) for i, s in enumerate(sets)], "node long, cells binary")
+    shared = spark.createDataFrame([(m, i) for m in (1, 2) for i in range(m - 1, 41)], "met long, node long")
+    assert {(x.node, x.root) for x in J._candidates(shared, cells, 85, 3).collect()} == {(39, 39), (40, 39)}
+
+
+def test_intersections_of_blocks(monkeypatch):
+    r = np.random.default_rng(0)
+    for often, columns, stretch in [(3, 4, 50), (48, 2048, 2_000_000), (1, 2, 10), (1000, 5, 1)]:
+        for name, x in [("OFTEN", often), ("COLUMNS", columns), ("STRETCH", stretch)]:
+            monkeypatch.setattr(J, name, x)
+        for _ in range(20):
+            left, right = ([np.unique(r.integers(0, 40, r.integers(1, 30)).astype(np.uint64)) for _ in range(r.integers(1, 20))] for _ in range(2))
+            assert (J.common(left, right) == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
