@@ -112,3 +112,26 @@ def test_intersections_of_blocks(monkeypatch):
         for _ in range(20):
             left, right = ([np.unique(r.integers(0, 40, r.integers(1, 30)).astype(np.uint64)) for _ in range(r.integers(1, 20))] for _ in range(2))
             assert (J.common(left, right) == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
+
+
+def test_blocks_of_texts_and_of_histograms(docs_of, monkeypatch):
+    for name, x in [("BLOCK", 4), ("TEXT_BLOCK", 16), ("BLOCK_SHINGLES", 900), ("CELL_BLOCK", 8)]:
+        monkeypatch.setattr(J, name, x)
+    texts = variants(8, 2, 40, (60, 90))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in J.join(docs_of(texts), 4, 85).collect()}
+    assert got == brute(list(enumerate(texts)), 4, 85)
+
+
+def test_nodes_of_a_signature_travel_once(spark):
+    group = spark.range(3000).selectExpr("1L met", "id node", "id comp")
+    assert J._block_pairs(group).count() == 3000  # 9000 in blocks of 1024
+
+
+def test_histograms_of_all_widths():
+    r = np.random.default_rng(2)
+    counts = [np.bincount(r.integers(0, 64, n), minlength=64) for n in (3, 64 * 250, 64 * 300)]
+    sets = [r.integers(0, 1 << 62, n).astype(np.uint64) for n in (0, 3, 900, 64 * 230, 64 * 400)]
+    raw = [J.histogram(s) for s in sets] + [c.astype("<u4").tobytes() for c in counts]
+    got = J.histograms(raw)
+    assert got.sum(1).tolist() == [*map(len, sets), *(c.sum() for c in counts)]
+    assert (got[-3:] == counts).all() and len(raw[1]) == 64 and len(raw[4]) == 128
