@@ -149,3 +149,23 @@ def test_fact_index_grows_with_the_rows_not_with_files_times_blocks(spark, tmp_p
 def test_stored_fact_index_holds_keys_not_bitmaps(spark):
     assert "bits" not in key_rows(spark.range(3).selectExpr("id k", "'f' file"), "k", "file").columns
     assert key_rows(spark.createDataFrame([(1, "a"), (None, "a")], "k long, file string"), "k", "file").count() == 1
+
+
+def test_a_run_leaves_nothing_staged_and_files_of_bounded_rows(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(B, "ROWS_A_FILE", 4)
+    out = os.path.join(tmp_dir, "wh")
+    rows = [_moved(_at(11, i), i // 6) for i in range(1, 25)]
+    _run(spark, out, rows[:16], 1)
+    _run(spark, out, [_moved(rows[0], -1), *rows[8:]], 2)  # eight unchanged, one moved, eight new
+    facts = _facts(spark, out)
+    assert len(facts) == 24 and {k for k, v in facts.items() if v[1] == 2} == {1, *range(17, 25)}
+    left = [f for _, _, fs in os.walk(os.path.join(out, "staged")) for f in fs]
+    assert not left and not [d for d in os.listdir(os.path.join(out, "staged")) if os.listdir(os.path.join(out, "staged", d))]
+    # a folded delivery is moved, not the whole batch
+    checkpoints = spark.sparkContext.getCheckpointDir()
+    was = sum(len(fs) for _, _, fs in os.walk(checkpoints.removeprefix("file:")))
+    _run(spark, out, rows[:2], 3)
+    assert sum(len(fs) for _, _, fs in os.walk(checkpoints.removeprefix("file:"))) == was
+    assert _facts(spark, out)[1] == (rows[0][6].year * 10000 + rows[0][6].month * 100 + rows[0][6].day, 3)
+    written = [len([1 for f in fs if f.startswith("part-")]) for d, _, fs in os.walk(os.path.join(out, "fact_deliveries")) if fs]
+    assert max(written) >= 4
