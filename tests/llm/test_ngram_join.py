@@ -115,7 +115,7 @@ def test_intersections_of_blocks(monkeypatch):
 
 
 def test_blocks_of_texts_and_of_histograms(docs_of, monkeypatch):
-    for name, x in [("BLOCK", 4), ("TEXT_BLOCK", 16), ("BLOCK_SHINGLES", 900), ("CELL_BLOCK", 8)]:
+    for name, x in [("BLOCK", 7), ("STEP_SHINGLES", 300), ("BATCH_BYTES", 500), ("TEXT_BLOCK", 16), ("BLOCK_SHINGLES", 900), ("CELL_BLOCK", 8)]:
         monkeypatch.setattr(J, name, x)
     texts = variants(8, 2, 40, (60, 90))
     got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in J.join(docs_of(texts), 4, 85).collect()}
@@ -135,3 +135,12 @@ def test_histograms_of_all_widths():
     got = J.histograms(raw)
     assert got.sum(1).tolist() == [*map(len, sets), *(c.sum() for c in counts)]
     assert (got[-3:] == counts).all() and len(raw[1]) == 64 and len(raw[4]) == 128
+
+
+def test_steps_hold_bounded_elements():
+    r = np.random.default_rng(8)
+    size, at = r.integers(1, 90, 300), r.permutation(300)[:200]
+    got = J._steps(at, size, 9, 500)
+    assert np.concatenate(got).tolist() == at.tolist()
+    assert all(len(x) <= 9 and (size[x].sum() <= 500 or len(x) == 1) for x in got) and max(map(len, got)) == 9
+    assert J._steps(at[:0], size, 9, 200) == [] and [len(x) for x in J._steps(at, size, 9, 0)] == [1] * 200
